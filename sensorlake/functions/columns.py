@@ -71,3 +71,12 @@ def day_of_week(ts: Column) -> Column:
 def present(items: list[Column]) -> Column:
     """Array of the non-null items."""
     return F.array_compact(F.array(*items))
+
+
+def once(value: Column) -> Column:
+    """Select-list generator that evaluates ``value`` one time per row.
+
+    The optimizer copies a plain expression into every later projection and filter
+    that uses it; a generator's output is computed once and filters stay above it.
+    """
+    return F.explode(F.array(value))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.functions.columns import present, to_double, to_int
+from sensorlake.functions.columns import once, present, to_double, to_int
 from sensorlake.spec import (ALARM, BOUNDED_CHANNELS, COUNTER, DEFAULT_SPEC, NUMERIC_CHANNELS,
                              REQUIRED_CHANNELS, Rule, SensorSpec, c)
 
@@ -21,11 +21,12 @@ RAW_SCHEMA = T.StructType(
 def decode(df: DataFrame, payload: str = "value") -> DataFrame:
     """Parse a JSON payload column into a text struct ``raw`` and its field names ``fields``."""
     text = c(payload).cast("string")
-    return df.withColumns({
-        "raw": F.from_json(text, RAW_SCHEMA, {"mode": "PERMISSIVE",
-                                              "columnNameOfCorruptRecord": "_corrupt"}),
-        "fields": F.json_object_keys(text),
-    })
+    parsed = F.struct(
+        F.from_json(text, RAW_SCHEMA, {"mode": "PERMISSIVE",
+                                       "columnNameOfCorruptRecord": "_corrupt"}).alias("raw"),
+        F.json_object_keys(text).alias("fields"))
+    return df.select("*", once(parsed).alias("_parsed")).select(
+        *[c(n) for n in df.columns], "_parsed.raw", "_parsed.fields")
 
 
 def raw_field(name: str) -> Column:
@@ -106,7 +107,8 @@ def reading_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
 def validate(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Add ``errors`` and ``is_valid`` to a decoded frame."""
     errors = F.when(is_corrupt(), F.array(F.lit("Corrupt record"))).otherwise(payload_errors(spec))
-    return decoded.withColumn("errors", errors).withColumn("is_valid", F.size("errors") == 0)
+    return decoded.select("*", once(errors).alias("errors")).withColumn(
+        "is_valid", F.size("errors") == 0)
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
