@@ -124,8 +124,8 @@ def _islands(table: str, key: str, flag: str, seconds: int, order: str, name: st
 @query("h08_sustained_alert", _islands("flagged", "location", "hit", 3600, "ts, id", "TVOC above 200"),
        "flagged AS (SELECT *, coalesce(tvoc > 200, false) AS hit FROM r)")
 def h08(spark, d):
-    return tidy(rolling.sustained_alerts(readings(spark, d), ["location"], c(TVOC) > 200, 3600,
-                                         "TVOC above 200", SPEC))
+    rule = {"TVOC above 200": (c(TVOC) > 200, 3600)}
+    return tidy(rolling.sustained(readings(spark, d), ["location"], ["timestamp", "event_id"], rule, SPEC))
 
 
 _RULE_HITS = {"HighTemperature": "t > 30", "HighTVOC": "tvoc > 1000", "HighCO2": "eco2 > 1000",
@@ -136,12 +136,7 @@ _RULE_HITS = {"HighTemperature": "t > 30", "HighTVOC": "tvoc > 1000", "HighCO2":
        unioned([_islands(f"(SELECT *, coalesce({cond}, false) AS hit FROM r)", "location", "hit", 300, "ts, id", name)
                 for name, cond in _RULE_HITS.items()]))
 def h08_rules(spark, d):
-    df = readings(spark, d)
-    out = None
-    for name in _RULE_HITS:
-        part = rolling.sustained_rule(df, ["location"], name, SPEC)
-        out = part if out is None else out.unionByName(part)
-    return tidy(out)
+    return tidy(rolling.sustained_rules(readings(spark, d), ["location"], spec=SPEC))
 
 
 @query("h08_sustained_rates",
@@ -150,13 +145,8 @@ def h08_rules(spark, d):
                                    ("PoorDataQuality", "quality < 0.8"), ("HighAnomalyRate", "anomaly_rate > 0.1"),
                                    ("ProcessingDelay", "seconds > 1"))]), _RATES)
 def h08_rates(spark, d):
-    rates = _rates(spark, d)
-    out = None
-    for name in ("HighErrorRate", "LowProcessingRate", "PoorDataQuality", "HighAnomalyRate",
-                 "ProcessingDelay"):
-        part = rolling.sustained_rate_rule(rates, ["location"], name, SPEC)
-        out = part if out is None else out.unionByName(part)
-    return tidy(out)
+    names = ["HighErrorRate", "LowProcessingRate", "PoorDataQuality", "HighAnomalyRate", "ProcessingDelay"]
+    return tidy(rolling.sustained_rate_rules(_rates(spark, d), ["location"], names, SPEC))
 
 
 _GAUGES = ["Temperature[C]", "Humidity[%]", "TVOC[ppb]", "eCO2[ppm]", "Pressure[hPa]", "PM1.0", "PM2.5"]

@@ -141,21 +141,31 @@ def numbered(df: DataFrame, keys: Sequence[str] = (), *, batch_size: int = 1000,
     }).drop("_at")
 
 
-def sustained_alerts(df: DataFrame, keys: Sequence[str], condition: Column, seconds: int,
-                     name: str, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Runs during which ``condition`` held for at least ``seconds`` seconds."""
-    runs = islands(df, keys, [spec.event_time, spec.row_id], condition,
+def sustained(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+              rules: dict[str, tuple[Column, int]], spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Runs during which a rule's condition held for at least its number of seconds.
+
+    ``rules`` maps a name to (condition, seconds). The rule name joins the key, so
+    any number of rules shares one scan and one pass over the ordered rows.
+    """
+    flags = F.array(*[
+        F.struct(F.lit(name).alias("alert"), F.lit(seconds).alias("_need"),
+                 F.coalesce(hit, F.lit(False)).alias("_hit"))
+        for name, (hit, seconds) in rules.items()])
+    long = df.select(*[c(n) for n in (*keys, *order)], F.inline(flags))
+    runs = islands(long, [*keys, "alert", "_need"], order, F.col("_hit"),
                    slice_seconds=spec.slice_seconds)
     lasted = F.unix_seconds("end_time") - F.unix_seconds("start_time")
-    return (runs.withColumns({"alert": F.lit(name), "duration_seconds": lasted})
-            .where(F.col("duration_seconds") >= seconds))
+    return (runs.withColumn("duration_seconds", lasted)
+            .where(F.col("duration_seconds") >= F.col("_need")).drop("_need"))
 
 
-def sustained_rule(df: DataFrame, keys: Sequence[str], rule: str,
-                   spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """One of the named reading rules, e.g. ``HighTVOC``."""
-    channel, limit, seconds = SUSTAINED_RULES[rule]
-    return sustained_alerts(df, keys, c(channel) > limit, seconds, rule, spec)
+def sustained_rules(df: DataFrame, keys: Sequence[str], names: Sequence[str] = tuple(SUSTAINED_RULES),
+                    spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """The named reading rules, e.g. ``HighTVOC``."""
+    rules = {n: (c(SUSTAINED_RULES[n][0]) > SUSTAINED_RULES[n][1], SUSTAINED_RULES[n][2])
+             for n in names}
+    return sustained(df, keys, [spec.event_time, spec.row_id], rules, spec)
 
 
 # Sustained rules on rolling rates (fixed values): name -> (column, side, limit, seconds).
@@ -169,16 +179,15 @@ RATE_RULES = {
 }
 
 
-def sustained_rate_rule(rates: DataFrame, keys: Sequence[str], rule: str,
-                        spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Sustained condition on a per-second metric table ordered by ``at``."""
-    column, side, limit, seconds = RATE_RULES[rule]
-    v = c(column)
-    hit = v > limit if side == ">" else v < limit if side == "<" else v == limit
-    runs = islands(rates, keys, ["at"], hit, slice_seconds=spec.slice_seconds)
-    lasted = F.unix_seconds("end_time") - F.unix_seconds("start_time")
-    return (runs.withColumns({"alert": F.lit(rule), "duration_seconds": lasted})
-            .where(F.col("duration_seconds") >= seconds))
+def sustained_rate_rules(rates: DataFrame, keys: Sequence[str], names: Sequence[str],
+                         spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Named rules on a metric table with one row per key and ``at``."""
+    rules = {}
+    for name in names:
+        column, side, limit, seconds = RATE_RULES[name]
+        v = c(column)
+        rules[name] = (v > limit if side == ">" else v < limit if side == "<" else v == limit, seconds)
+    return sustained(rates, keys, ["at"], rules, spec)
 
 
 def latest_values(df: DataFrame, channels: Sequence[str],

@@ -36,8 +36,9 @@ def rule_scores(df: DataFrame, limit: float = 60.0) -> DataFrame:
 
 def linear_scores(df: DataFrame) -> DataFrame:
     """Score proportional to temperature, held within [0.01, 0.99], two decimals."""
-    score = F.round(F.coalesce(
-        F.least(F.lit(0.99), F.greatest(F.lit(0.01), c(TEMPERATURE) / 100)), F.lit(0.01)), 2)
+    # The small offset keeps temperatures such as 28.5 off the rounding border.
+    score = F.round(F.coalesce(F.least(F.lit(0.99), F.greatest(
+        F.lit(0.01), c(TEMPERATURE) / 100)), F.lit(0.01)) + F.lit(1e-9), 2)
     return as_prediction(df, score, score > 0.5)
 
 
