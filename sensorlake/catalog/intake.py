@@ -114,11 +114,11 @@ _LIMITS = [(r.channel, SHORT[r.channel], r.lo, r.hi) for r in RULES]
     f"SELECT id AS event_id, '{n}' AS channel, {rounded(s, 'value')} FROM r WHERE {s} < {lo}"
     + (f" OR {s} > {hi}" if hi is not None else "") for n, s, lo, hi in _LIMITS]))
 def c06(spark, d):
-    tests = fn.present([
-        F.when(validate.range_error(r, c(r.channel).cast("double")).isNotNull(),
+    tests = [
+        F.when(validate.out_of_range(r, c(r.channel)),
                F.struct(F.lit(r.channel).alias("channel"), c(r.channel).cast("double").alias("value")))
-        for r in RULES])
-    return tidy(readings(spark, d).select("event_id", F.inline(tests)))
+        for r in RULES]
+    return tidy(fn.rows_from(readings(spark, d), ["event_id"], tests))
 
 
 @query("c07_alarm_domain",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorlake.catalog.base import SHORT, SPEC, long_cte, query, readings, rounded, tidy, unioned
+from sensorlake.functions.columns import rows_from
 from sensorlake.operators import patterns, rolling, scoring, validate, windows
 from sensorlake.plans.processing import processing_log
 from sensorlake.spec import RULES, TVOC, c
@@ -204,11 +205,9 @@ def e31(spark, d):
         F.lit("alarm").alias("kind"), F.col("location").alias("label")), "kind", "label")
     predicted = scoring.labelled_counts(scoring.rule_scores(df).select(
         F.lit("prediction").alias("kind"), F.col("prediction_label").alias("label")), "kind", "label")
-    failing = F.array_compact(F.array(*[
-        F.when(validate.range_error(r, c(r.channel).cast("double")).isNotNull(), SHORT[r.channel])
-        for r in RULES]))
-    failures = scoring.labelled_counts(df.select(
-        F.lit("failure").alias("kind"), F.explode(failing).alias("label")), "kind", "label")
+    failing = [F.when(validate.out_of_range(r, c(r.channel)), F.struct(
+        F.lit(SHORT[r.channel]).alias("label"), F.lit("failure").alias("kind"))) for r in RULES]
+    failures = scoring.labelled_counts(rows_from(df, [], failing), "kind", "label")
     return alarms.unionByName(predicted).unionByName(failures)
 
 

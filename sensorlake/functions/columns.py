@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.spec import NULL_MARKER
@@ -15,7 +16,9 @@ def to_double(text: Column) -> Column:
 
     A cast alone would also take Java literals with a type suffix such as ``1.5d``.
     """
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text).try_cast("double")
+    tail = F.right(F.rtrim(text), F.lit(1))
+    suffixed = tail.isin("d", "D", "f", "F") & ~F.lower(text).contains("inf")
+    return F.when(~suffixed, text).try_cast("double")
 
 
 def to_int(text: Column) -> Column:
@@ -68,9 +71,28 @@ def day_of_week(ts: Column) -> Column:
     return F.weekday(ts)
 
 
-def present(items: list[Column]) -> Column:
-    """Array of the non-null items."""
-    return F.array_compact(F.array(*items))
+def texts(items: list[Column]) -> Column:
+    """Array of the non-null texts among ``items`` (which must differ from one another).
+
+    ``array_compact`` would do the same, but it is a lambda function, and those
+    evaluate everything below them without generated code.
+    """
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
+
+
+def hits(items: list[Column]) -> Column:
+    """Number of non-null items."""
+    return reduce(lambda a, b: a + b, [x.isNotNull().cast("int") for x in items])
+
+
+def rows_from(df: DataFrame, keep: Sequence[str], items: list[Column]) -> DataFrame:
+    """One row per non-null struct among ``items``, with the kept columns.
+
+    All items are produced in the same generated loop and the absent ones filtered
+    right behind it. The first field of the struct must not be NULL in a real item.
+    """
+    out = df.select(*[F.col(f"`{k}`") for k in keep], F.inline(F.array(*items)))
+    return out.where(F.col(f"`{out.columns[len(keep)]}`").isNotNull())
 
 
 def once(value: Column) -> Column:

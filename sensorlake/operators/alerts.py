@@ -1,7 +1,7 @@
 """Alert detectors.
 
-Row-level detectors are expressions giving an array of alerts, so any number of
-them costs one scan; ``explode_alerts`` turns the array into one row per alert.
+A row-level detector is a list of alert expressions, NULL where nothing is wrong.
+Any number of detectors costs one scan: join the lists and ``explode_alerts`` them.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import present, truthy
-from sensorlake.spec import (ALARM, ALERT_SCHEMA, DEFAULT_SPEC, ECO2, HUMIDITY, PATTERN_LIMITS, PM25,
+from sensorlake.functions.columns import rows_from, truthy
+from sensorlake.spec import (ALARM, DEFAULT_SPEC, ECO2, HUMIDITY, PATTERN_LIMITS, PM25,
                              TEMPERATURE, TVOC, Ladder, SensorSpec, WindowLimits, c)
 
 
@@ -29,7 +29,7 @@ def _text(template: str, *args: Column) -> Column:
     return F.format_string(template, *args)
 
 
-def window_alerts(limits: WindowLimits = WindowLimits()) -> Column:
+def window_alerts(limits: WindowLimits = WindowLimits()) -> list[Column]:
     """Alerts of a window-analytics row: first matching level per channel."""
     t, tvoc, pm = c("avg_temperature"), c("avg_tvoc"), c("avg_pm25")
     fires = c("fire_alarm_count")
@@ -37,7 +37,7 @@ def window_alerts(limits: WindowLimits = WindowLimits()) -> Column:
     def level(severity: str, sensor: str, value: Column, limit: float, text: str) -> Column:
         return alert(sensor, value, limit, severity, _text(text, value), "WINDOW")
 
-    return present([
+    return [
         F.when(~truthy(t), None)
         .when(t > limits.temperature_critical,
               level("CRITICAL", "TEMPERATURE", t, limits.temperature_critical,
@@ -59,10 +59,10 @@ def window_alerts(limits: WindowLimits = WindowLimits()) -> Column:
               level("HIGH", "PM2.5", pm, limits.pm25_high, "High PM2.5 level: %.2f μg/m³")),
         F.when(fires > 0, alert("FIRE_ALARM", fires, 0.0, "CRITICAL",
                                 _text("Fire alarm triggered: %d alarms", fires), "WINDOW")),
-    ])
+    ]
 
 
-def reading_alerts() -> Column:
+def reading_alerts() -> list[Column]:
     """Basic row alerts; a missing value counts as 0."""
     value = lambda name: F.coalesce(c(name).cast("double"), F.lit(0.0))
     t, h, tvoc, eco2, pm = map(value, (TEMPERATURE, HUMIDITY, TVOC, ECO2, PM25))
@@ -70,7 +70,7 @@ def reading_alerts() -> Column:
     def over(sensor: str, v: Column, limit: float, severity: str, text: str) -> Column:
         return alert(sensor, v, limit, severity, F.concat(F.lit(text), v.cast("string")), "BASIC")
 
-    return present([
+    return [
         F.when(t > 50, over(TEMPERATURE, t, 50.0, "HIGH", "High temperature: "))
         .when(t < -10, over(TEMPERATURE, t, -10.0, "LOW", "Low temperature: ")),
         F.when(h > 90, over(HUMIDITY, h, 90.0, "HIGH", "High humidity: "))
@@ -80,7 +80,7 @@ def reading_alerts() -> Column:
         F.when(pm > 35, over(PM25, pm, 35.0, "HIGH", "High PM2.5: ")),
         F.when(c(ALARM) == 1, alert(ALARM, c(ALARM), 1.0, "CRITICAL",
                                     F.lit("Fire alarm triggered"), "BASIC")),
-    ])
+    ]
 
 
 def _ladder_alert(ladder: Ladder) -> Column:
@@ -104,9 +104,9 @@ def _ladder_alert(ladder: Ladder) -> Column:
     return chain
 
 
-def ladder_alerts(spec: SensorSpec = DEFAULT_SPEC) -> Column:
+def ladder_alerts(spec: SensorSpec = DEFAULT_SPEC) -> list[Column]:
     """Severity ladder over the channels that define one."""
-    return present([_ladder_alert(ladder) for ladder in spec.ladders])
+    return [_ladder_alert(ladder) for ladder in spec.ladders]
 
 
 def indicator_count() -> Column:
@@ -114,13 +114,13 @@ def indicator_count() -> Column:
                   [(c(n) > limit).cast("int") for n, limit in PATTERN_LIMITS.items()])
 
 
-def pattern_alerts() -> Column:
+def pattern_alerts() -> list[Column]:
     """Fire pattern over several channels; a NULL in any input silences the row."""
     n = indicator_count()
     known = reduce(lambda a, b: a & b,
                    [c(x).isNotNull() for x in (*PATTERN_LIMITS, ALARM)])
     alarm = alert(ALARM, c(ALARM), 1.0, "CRITICAL", F.lit("FIRE ALARM ACTIVATED!"), "PATTERN")
-    return present([
+    return [
         F.when(known & (c(ALARM) == 1), alarm),
         F.when(known & (n >= 3), alert(
             "Fire Pattern", n, 3.0, "CRITICAL",
@@ -128,19 +128,19 @@ def pattern_alerts() -> Column:
         .when(known & (n == 2), alert(
             "Fire Pattern", n, 2.0, "HIGH",
             _text("Potential fire risk: %d/4 indicators active", n), "PATTERN")),
-    ])
+    ]
 
 
-def prediction_alerts() -> Column:
+def prediction_alerts() -> list[Column]:
     """Alert of a positive prediction (columns ``prediction`` and ``confidence``)."""
-    return present([F.when(c("prediction") == 1, alert(
+    return [F.when(c("prediction") == 1, alert(
         "ML", c("confidence"), 0.5, "HIGH",
-        _text("Fire predicted with confidence %.2f", c("confidence")), "ML_FIRE_PREDICTION"))])
+        _text("Fire predicted with confidence %.2f", c("confidence")), "ML_FIRE_PREDICTION"))]
 
 
-def explode_alerts(df: DataFrame, alerts: Column, *keep: str) -> DataFrame:
+def explode_alerts(df: DataFrame, alerts: list[Column], *keep: str) -> DataFrame:
     """One row per alert with the kept columns and the alert fields."""
-    return df.select(*[c(k) for k in keep], F.inline(alerts))
+    return rows_from(df, keep, alerts)
 
 
 def statistical_alerts(scores: DataFrame, *keep: str, z_threshold: float = 3.0) -> DataFrame:
@@ -156,10 +156,5 @@ def statistical_alerts(scores: DataFrame, *keep: str, z_threshold: float = 3.0)
 
 def alert_history(windows: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Window alerts with their window and the time they were raised."""
-    return windows.select(
-        F.col("window"), F.inline(window_alerts(spec.window_limits)),
-    ).withColumn("timestamp", F.col("window.end"))
-
-
-def empty_alerts(spark) -> DataFrame:
-    return spark.createDataFrame([], ALERT_SCHEMA)
+    found = explode_alerts(windows, window_alerts(spec.window_limits), "window")
+    return found.withColumn("timestamp", F.col("window.end"))

@@ -34,14 +34,19 @@ def _by(keys: Sequence[str], *more: str) -> list[Column]:
     return [c(k) for k in (*keys, *more)]
 
 
-def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], exprs: WindowExprs,
-                *, before: int = 0, after: int = 0, slice_seconds: float = 3600) -> DataFrame:
+def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs: WindowExprs,
+                before: int = 0, after: int = 0, slice_seconds: float = 3600) -> DataFrame:
     """Add window columns whose frames reach ``before`` rows back and ``after`` rows ahead.
 
-    ``order`` starts with the event time and ends with a unique column. ``exprs``
-    receives the ordered window and builds the columns from it (a frame or lag/lead
-    no wider than announced).
+    ``order`` starts with the event time and ends with a unique column. Each of
+    ``exprs`` receives the ordered window and builds columns from it (a frame or
+    lag/lead no wider than announced); a later one may use the columns of an earlier.
     """
+    def apply(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        for e in exprs:
+            rows = rows.withColumns(e(window))
+        return rows
+
     reach = before + after
     in_slice = Window.partitionBy(*_by(keys, "_slice"))
     placed = df.withColumn("_slice", _slice_of(order[0], slice_seconds)).withColumns({
@@ -51,9 +56,9 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], exprs:
     complete = (F.col("_pos") > before) & (F.col("_pos") <= F.col("_size") - after)
     near_border = (F.col("_pos") <= reach) | (F.col("_pos") > F.col("_size") - reach)
 
-    inner = placed.withColumns(exprs(in_slice.orderBy(*_by(order)))).where(complete)
+    inner = apply(placed, in_slice.orderBy(*_by(order))).where(complete)
     across = Window.partitionBy(*_by(keys)).orderBy(*_by(order))
-    border = placed.where(near_border).withColumns(exprs(across)).where(~complete)
+    border = apply(placed.where(near_border), across).where(~complete)
     return inner.unionByName(border).drop("_slice", "_pos", "_size")
 
 

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import day_of_week
+from sensorlake.functions.columns import day_of_week, rows_from
 from sensorlake.spec import DEFAULT_SPEC, SensorSpec, c
 
 
@@ -33,13 +31,28 @@ def peak(rates: DataFrame, part: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, from one aggregate."""
-    pairs = list(combinations(range(len(columns)), 2))
-    wide = df.agg(*[F.corr(c(columns[a]).cast("double"), c(columns[b]).cast("double"))
-                    .alias(f"r_{a}_{b}") for a, b in pairs])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(columns[a]).alias("x"), F.lit(columns[b]).alias("y"),
-                 F.col(f"r_{a}_{b}").alias("r")) for a, b in pairs])))
+    """Pearson correlation of every pair of columns, in one pass.
+
+    One aggregate per pair would be too much code to compile. Instead each row
+    appears once per distance ``k`` next to its columns shifted by ``k`` places, and
+    a group per ``k`` correlates every column with its shifted partner.
+    """
+    n = len(columns)
+    shifts = range(1, n // 2 + 1)
+    x = [c(name).cast("double") for name in columns]
+    shifted = F.inline(F.array(*[
+        F.struct(F.lit(k).alias("k"), *[x[(i + k) % n].alias(f"y_{i}") for i in range(n)])
+        for k in shifts]))
+    pairs = df.select(*[e.alias(f"x_{i}") for i, e in enumerate(x)], shifted)
+    wide = pairs.groupBy("k").agg(*[F.corr(f"x_{i}", f"y_{i}").alias(f"r_{i}") for i in range(n)])
+    names = F.array(*map(F.lit, columns))
+    cells = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("a"), ((F.lit(i) + F.col("k")) % n).alias("b"),
+                 F.col(f"r_{i}").alias("r")) for i in range(n)])))
+    # With an even number of columns the largest shift meets every pair twice.
+    ordered = cells.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "r")
+    return (ordered.groupBy("a", "b").agg(F.max("r").alias("r"))
+            .select(names[F.col("a")].alias("x"), names[F.col("b")].alias("y"), "r"))
 
 
 def label_correlations(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -113,7 +126,7 @@ def insights(report: DataFrame) -> DataFrame:
         return F.when(known, F.struct(F.lit(kind).alias("kind"),
                                       F.format_string(template, *args).alias("text")))
 
-    return report.select(F.inline(F.array_compact(F.array(
+    return rows_from(report, [], [
         say("insight", "Fire incidents peak at %d:00 hours", h),
         say("recommendation", "Increase monitoring during %d:00-%d:00 hours", h, (h + 1) % 24),
         say("insight", "Fire incidents are highest on %ss", day),
@@ -131,4 +144,4 @@ def insights(report: DataFrame) -> DataFrame:
         say("insight", "Model historical accuracy: %.1f%%", F.col("accuracy") * 100),
         say("recommendation", "Model accuracy %.1f%% is below 85%% - consider retraining",
             F.col("accuracy") * 100, when=F.col("accuracy") < 0.85),
-    ))))
+    ])

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorlake.functions.columns import rows_from
 from sensorlake.spec import c
 
 SMALL_TABLE_ROWS = 1_000_000
@@ -61,12 +62,10 @@ def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
         for i, j in slots])))
 
     # Scan 3: value counts inside the brackets, about rows * 2 * margin values.
-    inside = bounded.select(F.inline(F.filter(
-        F.array(*[
-            F.when(F.col(f"v_{i}").between(F.col(f"lo_{i}_{j}"), F.col(f"hi_{i}_{j}")),
-                   F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"v_{i}").alias("v")))
-            for i, j in slots]),
-        lambda s: s.isNotNull())))
+    inside = rows_from(bounded, [], [
+        F.when(F.col(f"v_{i}").between(F.col(f"lo_{i}_{j}"), F.col(f"hi_{i}_{j}")),
+               F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"v_{i}").alias("v")))
+        for i, j in slots])
     counts = inside.groupBy("i", "j", "v").agg(F.count(F.lit(1)).alias("cnt"))
     upto = Window.partitionBy("i", "j").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     placed = (counts.withColumn("cum", F.sum("cnt").over(upto))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import ratio
+from sensorlake.functions.columns import ratio, rows_from
 from sensorlake.operators.ordered import islands, range_window, rows_window, running
 from sensorlake.spec import DEFAULT_SPEC, DOUBLE_CHANNELS, SUSTAINED_RULES, SensorSpec, c
 
@@ -53,11 +53,24 @@ def rolling_percentile(df: DataFrame, channel: str, p: float, *, size: int = 100
 
 def rolling_mean(df: DataFrame, keys: Sequence[str], columns: dict[str, str], *, size: int = 1000,
                  spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Mean of the last ``size`` rows for each ``{output: input}`` column."""
-    return rows_window(
-        df, keys, [spec.event_time, spec.row_id],
-        lambda w: {o: F.avg(c(i)).over(w.rowsBetween(1 - size, 0)) for o, i in columns.items()},
-        before=size - 1, slice_seconds=spec.slice_seconds)
+    """Mean of the last ``size`` rows for each ``{output: input}`` column.
+
+    A wide frame would be summed anew for every row. The mean comes from running
+    sums instead: the sum up to this row minus the sum up to ``size`` rows before.
+    """
+    def sums(w):
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        return {**{f"_s_{o}": F.sum(c(i)).over(upto) for o, i in columns.items()},
+                **{f"_n_{o}": F.count(c(i)).over(upto) for o, i in columns.items()}}
+
+    def means(w):
+        earlier = lambda n: F.coalesce(F.lag(n, size).over(w), F.lit(0))
+        return {o: F.try_divide(F.coalesce(F.col(f"_s_{o}"), F.lit(0)) - earlier(f"_s_{o}"),
+                                F.col(f"_n_{o}") - earlier(f"_n_{o}")) for o in columns}
+
+    out = rows_window(df, keys, [spec.event_time, spec.row_id], sums, means, before=size,
+                      slice_seconds=spec.slice_seconds)
+    return out.drop(*[f"_{x}_{o}" for x in "sn" for o in columns])
 
 
 def rolling_rates(log: DataFrame, keys: Sequence[str], *, seconds: int = 300,
@@ -99,7 +112,7 @@ def health_warnings(rates: DataFrame, *keep: str) -> DataFrame:
     }
     rows = [F.when(hit, F.struct(F.lit(name).alias("warning"), v.alias("value")))
             for name, (hit, v) in tests.items()]
-    return rates.select(*[c(k) for k in keep], F.inline(F.array_compact(F.array(*rows))))
+    return rows_from(rates, keep, rows)
 
 
 def counter_rate(df: DataFrame, keys: Sequence[str], counter: str, *, seconds: int = 300,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
-from sensorlake.functions.columns import alert_level, label_text, ratio
+from sensorlake.functions.columns import alert_level, label_text, ratio, texts
 from sensorlake.spec import DEFAULT_SPEC, TEMPERATURE, SensorSpec, c
 
 
@@ -182,7 +182,7 @@ def drift_report(predictions: DataFrame) -> DataFrame:
         F.when(F.col("fire_rate_percent") < 0.5, "very low fire rate"),
         F.when(F.col("mean_confidence") < 0.6, "low mean confidence"),
         F.when(F.col("low_share") > 0.2, "many low-confidence predictions")]
-    return rates.withColumn("indicators", F.array_compact(F.array(*tests)))
+    return rates.withColumn("indicators", texts(tests))
 
 
 def interval_metrics(log: DataFrame, duration: str, seconds: float,
@@ -233,15 +233,15 @@ def performance_report(metrics: DataFrame) -> DataFrame:
     scored = metrics.withColumn("performance_score", score)
     s = F.col("performance_score")
     return scored.withColumns({
-        "recommendations": F.array_compact(F.array(
+        "recommendations": texts([
             F.when(s < 70, "performance below threshold"),
             F.when(acc < 80, "consider retraining"),
             F.when(rt > 2, "optimize inference"),
-            F.when(drift > 2, "investigate data changes"))),
-        "alerts": F.array_compact(F.array(
+            F.when(drift > 2, "investigate data changes")]),
+        "alerts": texts([
             F.when(s < 50, "CRITICAL: performance degraded"),
             F.when(~healthy, "CRITICAL: scoring not available"),
             F.when(acc < 70, "CRITICAL: accuracy below 70%"),
             F.when(rt > 5, "WARNING: response time above 5 s"),
-            F.when(drift > 3, "WARNING: several drift indicators"))),
+            F.when(drift > 3, "WARNING: several drift indicators")]),
     })

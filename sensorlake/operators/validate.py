@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.functions.columns import once, present, to_double, to_int
+from sensorlake.functions.columns import once, rows_from, texts, to_double, to_int
 from sensorlake.spec import (ALARM, BOUNDED_CHANNELS, COUNTER, DEFAULT_SPEC, NUMERIC_CHANNELS,
                              REQUIRED_CHANNELS, Rule, SensorSpec, c)
 
@@ -60,14 +62,19 @@ def flatten(decoded: DataFrame, *keep: str, broker_time: str | None = None) -> D
         F.current_timestamp().alias("processing_timestamp"))
 
 
+def out_of_range(rule: Rule, value: Column) -> Column:
+    """Outside the rule's valid range; NULL for a missing value."""
+    return ~value.between(rule.lo, rule.hi) if rule.hi is not None else value < rule.lo
+
+
 def range_error(rule: Rule, value: Column) -> Column:
     """Message when the value lies outside the rule's valid range, else NULL."""
     shown = value.cast("string")
     if rule.hi is not None:
-        return F.when(~value.between(rule.lo, rule.hi), F.concat(
+        return F.when(out_of_range(rule, value), F.concat(
             F.lit(f"{rule.channel} out of range: "), shown,
             F.lit(f" (valid: {rule.lo} to {rule.hi})")))
-    return F.when(value < rule.lo, F.concat(
+    return F.when(out_of_range(rule, value), F.concat(
         F.lit(f"Negative value for {rule.channel}: "), shown, F.lit(f" (must be >= {rule.lo})")))
 
 
@@ -82,7 +89,7 @@ def payload_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     required = F.array(*[F.lit(n) for n in REQUIRED_CHANNELS])
     missing = F.array_except(required, F.coalesce(F.col("fields"), F.array().cast("array<string>")))
     alarm = raw_field(spec.label)
-    return present([
+    return texts([
         F.when(F.size(missing) > 0, F.concat(
             F.lit("Missing required fields: "), F.array_join(missing, ", "))),
         *[_numeric_error(r, raw_field(r.channel)) for r in spec.rules],
@@ -96,7 +103,7 @@ def payload_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
 def reading_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     """Error list of a typed reading, where only ranges and the alarm domain can fail."""
     alarm = c(spec.label)
-    return present([
+    return texts([
         *[range_error(r, c(r.channel).cast("double")) for r in spec.rules],
         F.when(~F.coalesce(alarm.isin(0, 1), F.lit(False)),
                F.concat(F.lit("Invalid Fire Alarm value: "),
@@ -104,6 +111,13 @@ def reading_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     ])
 
 
+def reading_failed(spec: SensorSpec = DEFAULT_SPEC) -> Column:
+    """Whether ``reading_errors`` would find anything, without building messages."""
+    tests = [out_of_range(r, c(r.channel)) for r in spec.rules]
+    tests.append(~F.coalesce(c(spec.label).isin(0, 1), F.lit(False)))
+    return reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in tests])
+
+
 def validate(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Add ``errors`` and ``is_valid`` to a decoded frame."""
     errors = F.when(is_corrupt(), F.array(F.lit("Corrupt record"))).otherwise(payload_errors(spec))
@@ -155,7 +169,7 @@ def declared_violations(df: DataFrame, *keep: str, spec: SensorSpec = DEFAULT_SP
             F.lit(r.declared_lo).alias("lo"), F.lit(r.declared_hi).alias("hi"),
             F.lit(r.unit).alias("unit")))
         for r in spec.rules if r.declared_hi is not None]
-    return df.select(*[c(k) for k in keep], F.inline(present(tests)))
+    return rows_from(df, keep, tests)
 
 
 def soft_warnings(df: DataFrame, *keep: str, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
@@ -165,4 +179,4 @@ def soft_warnings(df: DataFrame, *keep: str, spec: SensorSpec = DEFAULT_SPEC) ->
             F.lit(r.channel).alias("channel"), c(r.channel).alias("value"),
             F.lit("WARN").alias("severity"), range_error(r, c(r.channel)).alias("message")))
         for r in spec.rules if r.channel in BOUNDED_CHANNELS]
-    return df.select(*[c(k) for k in keep], F.inline(present(tests)))
+    return rows_from(df, keep, tests)

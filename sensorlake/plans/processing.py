@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import once
+from sensorlake.functions.columns import hits, once
 from sensorlake.operators.alerts import reading_alerts
 from sensorlake.operators.quality import message_quality
-from sensorlake.operators.validate import reading_errors
+from sensorlake.operators.validate import reading_failed
 from sensorlake.spec import DEFAULT_SPEC, SensorSpec, c
 
 
@@ -16,12 +16,9 @@ def processing_log(df: DataFrame, processing_ms: Column,
                    spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """One row per reading: failed, time, alert count, quality."""
     outcome = F.struct(
-        (F.size(reading_errors(spec)) > 0).alias("failed"),
-        processing_ms.alias("processing_ms"),
-        F.size(reading_alerts()).alias("alerts"),
-        message_quality(reading_alerts()).alias("quality"))
-    return df.select(
-        *[c(n) for n in (spec.row_id, spec.event_time, spec.device, spec.location)],
-        once(outcome).alias("_o")).select(
-        spec.row_id, spec.event_time, spec.device, spec.location, "_o.*",
-        (F.col("_o.alerts") > 0).alias("anomaly"))
+        reading_failed(spec).alias("failed"), processing_ms.alias("processing_ms"),
+        hits(reading_alerts()).alias("alerts"))
+    keep = [spec.row_id, spec.event_time, spec.device, spec.location]
+    judged = df.select(*[c(n) for n in keep], once(outcome).alias("_o"))
+    return judged.select(*[c(n) for n in keep], "_o.*").withColumns({
+        "anomaly": F.col("alerts") > 0, "quality": message_quality(F.col("alerts"))})
