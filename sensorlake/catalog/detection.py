@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sensorlake.catalog.base import (SHORT, SPEC, hops, long_cte, query, readings, rounded, tidy,
                                      unioned)
-from sensorlake.functions.columns import hits
 from sensorlake.operators import alerts, quality, rolling, windows
 from sensorlake.operators.scoring import rule_scores
 from sensorlake.plans.detect import detect_all
@@ -281,7 +280,7 @@ def m08(spark, d):
        f"FROM r LEFT JOIN (SELECT DISTINCT event_id FROM ({_M3})) a ON a.event_id = r.id", _ROW_VALUES)
 def m09(spark, d):
     return readings(spark, d).select(
-        "event_id", quality.message_quality(hits(alerts.reading_alerts())).alias("quality"))
+        "event_id", quality.message_quality(alerts.alert_count(alerts.reading_alerts())).alias("quality"))
 
 
 @query("m10_prediction_alerts",

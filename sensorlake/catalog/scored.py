@@ -7,9 +7,8 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from sensorlake.catalog.base import SHORT, query, readings, rounded, tidy, unioned
-from sensorlake.functions.columns import hits
 from sensorlake.operators import evaluation, patterns, profile, quality, scoring, validate, windows
-from sensorlake.operators.alerts import reading_alerts
+from sensorlake.operators.alerts import alert_count, reading_alerts
 from sensorlake.plans import features
 from sensorlake.plans.processing import processing_log
 from sensorlake.spec import (ALARM, HUMIDITY, NUMERIC_CHANNELS, PM1, REQUIRED_CHANNELS,
@@ -259,7 +258,7 @@ def n13(spark, d):
 def e16(spark, d):
     score, _ = quality.reading_quality()
     judged = _predictions(spark, d).withColumns({
-        "threshold_alerts": hits(reading_alerts()), "quality_score": score})
+        "threshold_alerts": alert_count(reading_alerts()), "quality_score": score})
     return tidy(scoring.prediction_summary(
         scoring.score_or_error(judged, validate.reading_errors())))
 

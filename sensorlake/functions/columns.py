@@ -16,8 +16,9 @@ def to_double(text: Column) -> Column:
 
     A cast alone would also take Java literals with a type suffix such as ``1.5d``.
     """
-    tail = F.right(F.rtrim(text), F.lit(1))
-    suffixed = tail.isin("d", "D", "f", "F") & ~F.lower(text).contains("inf")
+    doubtful = reduce(lambda a, b: a | b, [F.endswith(text, F.lit(x)) for x in ("d", "D", "f", "F", " ")])
+    # The costly test runs only behind the cheap one.
+    suffixed = doubtful & text.rlike(r"[0-9.][dDfF]\s*$")
     return F.when(~suffixed, text).try_cast("double")
 
 
@@ -80,11 +81,6 @@ def texts(items: list[Column]) -> Column:
     return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
 
 
-def hits(items: list[Column]) -> Column:
-    """Number of non-null items."""
-    return reduce(lambda a, b: a + b, [x.isNotNull().cast("int") for x in items])
-
-
 def rows_from(df: DataFrame, keep: Sequence[str], items: list[Column]) -> DataFrame:
     """One row per non-null struct among ``items``, with the kept columns.
 

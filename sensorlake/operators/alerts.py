@@ -1,157 +1,175 @@
 """Alert detectors.
 
-A row-level detector is a list of alert expressions, NULL where nothing is wrong.
-Any number of detectors costs one scan: join the lists and ``explode_alerts`` them.
+A row-level detector is a list of :class:`Check`: a value and the limits that
+apply to it. ``explode_alerts`` lays the checks of any number of detectors out as
+rows of one generated loop and judges them by a single rule chain, so the code to
+compile stays small however many checks there are, and the scan is shared.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import rows_from, truthy
 from sensorlake.spec import (ALARM, DEFAULT_SPEC, ECO2, HUMIDITY, PATTERN_LIMITS, PM25,
-                             TEMPERATURE, TVOC, Ladder, SensorSpec, WindowLimits, c)
-
-
-def alert(sensor: str | Column, value: Column, threshold: float | Column, severity: str | Column,
-          message: Column, alert_type: str) -> Column:
-    as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return F.struct(
-        as_col(sensor).alias("sensor"), value.cast("double").alias("value"),
-        as_col(threshold).cast("double").alias("threshold"), as_col(severity).alias("severity"),
-        message.alias("message"), F.lit(alert_type).alias("alert_type"))
-
-
-def _text(template: str, *args: Column) -> Column:
-    return F.format_string(template, *args)
+                             TEMPERATURE, TVOC, SensorSpec, WindowLimits, c)
+
+# Judged top to bottom, the first step that holds wins: limit, comparison, severity.
+STEPS = (
+    ("low_critical", "<", "CRITICAL"),
+    ("high_critical", ">", "CRITICAL"),
+    ("low_high", "<", "HIGH"),
+    ("high_high", ">", "HIGH"),
+    ("high_medium", ">", "MEDIUM"),
+    ("low_low", "<", "LOW"),
+    ("from_critical", ">=", "CRITICAL"),
+    ("from_high", ">=", "HIGH"),
+)
+
+
+@dataclass(frozen=True, eq=False)
+class Check:
+    """A value and its limits; ``name`` and ``unit`` are for the message."""
+
+    sensor: str
+    value: Column
+    alert_type: str
+    name: str = ""
+    unit: str = ""
+    low_critical: float | None = None
+    high_critical: float | None = None
+    low_high: float | None = None
+    high_high: float | None = None
+    high_medium: float | None = None
+    low_low: float | None = None
+    from_critical: float | None = None
+    from_high: float | None = None
+
+    def as_struct(self) -> Column:
+        text = {n: F.lit(getattr(self, n)) for n in ("sensor", "alert_type", "name", "unit")}
+        limits = {n: F.lit(getattr(self, n)).cast("double") for n, _, _ in STEPS}
+        return F.struct(*[e.alias(n) for n, e in text.items()],
+                        self.value.cast("double").alias("value"),
+                        *[e.alias(n) for n, e in limits.items()])
+
+    def hit(self) -> Column:
+        """Whether any step holds; false for a missing value."""
+        tests = [_holds(self.value, side, F.lit(getattr(self, n)))
+                 for n, side, _ in STEPS if getattr(self, n) is not None]
+        return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+
+
+def _holds(value: Column, side: str, limit: Column) -> Column:
+    return value < limit if side == "<" else value > limit if side == ">" else value >= limit
+
+
+def _chain(results: list[Column]) -> Column:
+    out = None
+    for (name, side, _), result in zip(STEPS, results):
+        test = _holds(F.col("value"), side, F.col(name))
+        out = F.when(test, result) if out is None else out.when(test, result)
+    return out
+
+
+def _message() -> Column:
+    """Alert text by detector."""
+    value, sensor, kind, sev = F.col("value"), F.col("sensor"), F.col("alert_type"), F.col("severity")
+    word = F.initcap(sev)
+    low = F.col("threshold").isin(F.col("low_critical"), F.col("low_high")) & (value < F.col("threshold"))
+    ladder = (F.when(sev == "MEDIUM", "Elevated")
+              .when(sev == "HIGH", F.when(low, "Low").otherwise("High"))
+              .otherwise(F.when(low, "Critically low").otherwise("Critically high")))
+    return (
+        F.when(sensor == "FIRE_ALARM", F.format_string("Fire alarm triggered: %.0f alarms", value))
+        .when(kind == "WINDOW", F.format_string("%s %s: %.2f%s", word, F.col("name"), value, F.col("unit")))
+        .when(kind == "THRESHOLD", F.concat(ladder, F.lit(" "), sensor, F.lit(": "), value.cast("string")))
+        .when(sensor == ALARM, F.lit("FIRE ALARM ACTIVATED!"))
+        .when(kind == "PATTERN", F.format_string(
+            "%s: %.0f/4 indicators active",
+            F.when(sev == "CRITICAL", "Fire pattern detected").otherwise("Potential fire risk"), value))
+        .when(kind == "ML_FIRE_PREDICTION", F.format_string("Fire predicted with confidence %.2f", value))
+        .otherwise(F.concat(word, F.lit(" "), F.col("name"), F.lit(": "), value.cast("string"), F.col("unit"))))
+
+
+def explode_alerts(df: DataFrame, checks: list[Check], *keep: str) -> DataFrame:
+    """One row per alert with the kept columns and the alert fields."""
+    laid_out = df.select(*[c(k) for k in keep], F.inline(F.array(*[x.as_struct() for x in checks])))
+    judged = laid_out.withColumns({
+        "severity": _chain([F.lit(sev) for _, _, sev in STEPS]),
+        "threshold": _chain([F.col(n) for n, _, _ in STEPS]),
+    }).where(F.col("severity").isNotNull())
+    return judged.withColumn("message", _message()).select(
+        *[c(k) for k in keep], "sensor", "value", "threshold", "severity", "message", "alert_type")
 
 
-def window_alerts(limits: WindowLimits = WindowLimits()) -> list[Column]:
-    """Alerts of a window-analytics row: first matching level per channel."""
-    t, tvoc, pm = c("avg_temperature"), c("avg_tvoc"), c("avg_pm25")
-    fires = c("fire_alarm_count")
+def alert_count(checks: list[Check]) -> Column:
+    """Number of alerts a row would give."""
+    return reduce(lambda a, b: a + b, [x.hit().cast("int") for x in checks])
 
-    def level(severity: str, sensor: str, value: Column, limit: float, text: str) -> Column:
-        return alert(sensor, value, limit, severity, _text(text, value), "WINDOW")
 
+def window_alerts(limits: WindowLimits = WindowLimits()) -> list[Check]:
+    """Checks of a window-analytics row."""
     return [
-        F.when(~truthy(t), None)
-        .when(t > limits.temperature_critical,
-              level("CRITICAL", "TEMPERATURE", t, limits.temperature_critical,
-                    "Critical temperature: %.2f°C"))
-        .when(t > limits.temperature_high,
-              level("HIGH", "TEMPERATURE", t, limits.temperature_high,
-                    "High temperature: %.2f°C"))
-        .when(t < limits.temperature_low,
-              level("LOW", "TEMPERATURE", t, limits.temperature_low, "Low temperature: %.2f°C")),
-        F.when(tvoc > limits.tvoc_critical,
-               level("CRITICAL", "TVOC", tvoc, limits.tvoc_critical,
-                     "Critical TVOC level: %.2f ppb"))
-        .when(tvoc > limits.tvoc_high,
-              level("HIGH", "TVOC", tvoc, limits.tvoc_high, "High TVOC level: %.2f ppb")),
-        F.when(pm > limits.pm25_critical,
-               level("CRITICAL", "PM2.5", pm, limits.pm25_critical,
-                     "Critical PM2.5 level: %.2f μg/m³"))
-        .when(pm > limits.pm25_high,
-              level("HIGH", "PM2.5", pm, limits.pm25_high, "High PM2.5 level: %.2f μg/m³")),
-        F.when(fires > 0, alert("FIRE_ALARM", fires, 0.0, "CRITICAL",
-                                _text("Fire alarm triggered: %d alarms", fires), "WINDOW")),
+        Check("TEMPERATURE", c("avg_temperature"), "WINDOW", "temperature", "°C",
+              high_critical=limits.temperature_critical, high_high=limits.temperature_high,
+              low_low=limits.temperature_low),
+        Check("TVOC", c("avg_tvoc"), "WINDOW", "TVOC level", " ppb",
+              high_critical=limits.tvoc_critical, high_high=limits.tvoc_high),
+        Check("PM2.5", c("avg_pm25"), "WINDOW", "PM2.5 level", " μg/m³",
+              high_critical=limits.pm25_critical, high_high=limits.pm25_high),
+        Check("FIRE_ALARM", c("fire_alarm_count"), "WINDOW", high_critical=0.0),
     ]
 
 
-def reading_alerts() -> list[Column]:
-    """Basic row alerts; a missing value counts as 0."""
+def reading_alerts() -> list[Check]:
+    """Basic checks of a reading; a missing value counts as 0."""
     value = lambda name: F.coalesce(c(name).cast("double"), F.lit(0.0))
-    t, h, tvoc, eco2, pm = map(value, (TEMPERATURE, HUMIDITY, TVOC, ECO2, PM25))
-
-    def over(sensor: str, v: Column, limit: float, severity: str, text: str) -> Column:
-        return alert(sensor, v, limit, severity, F.concat(F.lit(text), v.cast("string")), "BASIC")
-
     return [
-        F.when(t > 50, over(TEMPERATURE, t, 50.0, "HIGH", "High temperature: "))
-        .when(t < -10, over(TEMPERATURE, t, -10.0, "LOW", "Low temperature: ")),
-        F.when(h > 90, over(HUMIDITY, h, 90.0, "HIGH", "High humidity: "))
-        .when(h < 10, over(HUMIDITY, h, 10.0, "LOW", "Low humidity: ")),
-        F.when(tvoc > 1000, over(TVOC, tvoc, 1000.0, "HIGH", "High TVOC: ")),
-        F.when(eco2 > 1000, over(ECO2, eco2, 1000.0, "HIGH", "High eCO2: ")),
-        F.when(pm > 35, over(PM25, pm, 35.0, "HIGH", "High PM2.5: ")),
-        F.when(c(ALARM) == 1, alert(ALARM, c(ALARM), 1.0, "CRITICAL",
-                                    F.lit("Fire alarm triggered"), "BASIC")),
+        Check(TEMPERATURE, value(TEMPERATURE), "BASIC", "temperature", "°C", high_high=50.0, low_low=-10.0),
+        Check(HUMIDITY, value(HUMIDITY), "BASIC", "humidity", "%", high_high=90.0, low_low=10.0),
+        Check(TVOC, value(TVOC), "BASIC", "TVOC", " ppb", high_high=1000.0),
+        Check(ECO2, value(ECO2), "BASIC", "eCO2", " ppm", high_high=1000.0),
+        Check(PM25, value(PM25), "BASIC", "PM2.5", " μg/m³", high_high=35.0),
+        Check(ALARM, c(ALARM), "BASIC", "fire alarm", from_critical=1.0),
     ]
 
 
-def _ladder_alert(ladder: Ladder) -> Column:
-    v = c(ladder.channel).cast("double")
-    # Evaluated top to bottom; the first step that holds wins.
-    steps = [
-        (ladder.low_critical, "<", "CRITICAL", "Critically low"),
-        (ladder.high_critical, ">", "CRITICAL", "Critically high"),
-        (ladder.low_high, "<", "HIGH", "Low"),
-        (ladder.high_high, ">", "HIGH", "High"),
-        (ladder.high_medium, ">", "MEDIUM", "Elevated"),
-    ]
-    chain = None
-    for limit, side, severity, word in steps:
-        if limit is None:
-            continue
-        hit = v < limit if side == "<" else v > limit
-        found = alert(ladder.channel, v, limit, severity,
-                      F.concat(F.lit(f"{word} {ladder.channel}: "), v.cast("string")), "THRESHOLD")
-        chain = F.when(hit, found) if chain is None else chain.when(hit, found)
-    return chain
-
-
-def ladder_alerts(spec: SensorSpec = DEFAULT_SPEC) -> list[Column]:
+def ladder_alerts(spec: SensorSpec = DEFAULT_SPEC) -> list[Check]:
     """Severity ladder over the channels that define one."""
-    return [_ladder_alert(ladder) for ladder in spec.ladders]
-
-
-def indicator_count() -> Column:
-    return reduce(lambda a, b: a + b,
-                  [(c(n) > limit).cast("int") for n, limit in PATTERN_LIMITS.items()])
+    return [Check(x.channel, c(x.channel), "THRESHOLD", low_critical=x.low_critical,
+                  low_high=x.low_high, high_medium=x.high_medium, high_high=x.high_high,
+                  high_critical=x.high_critical) for x in spec.ladders]
 
 
-def pattern_alerts() -> list[Column]:
+def pattern_alerts() -> list[Check]:
     """Fire pattern over several channels; a NULL in any input silences the row."""
-    n = indicator_count()
-    known = reduce(lambda a, b: a & b,
-                   [c(x).isNotNull() for x in (*PATTERN_LIMITS, ALARM)])
-    alarm = alert(ALARM, c(ALARM), 1.0, "CRITICAL", F.lit("FIRE ALARM ACTIVATED!"), "PATTERN")
+    n = reduce(lambda a, b: a + b, [(c(x) > limit).cast("int") for x, limit in PATTERN_LIMITS.items()])
+    known = n.isNotNull() & c(ALARM).isNotNull()
     return [
-        F.when(known & (c(ALARM) == 1), alarm),
-        F.when(known & (n >= 3), alert(
-            "Fire Pattern", n, 3.0, "CRITICAL",
-            _text("Fire pattern detected: %d/4 indicators active", n), "PATTERN"))
-        .when(known & (n == 2), alert(
-            "Fire Pattern", n, 2.0, "HIGH",
-            _text("Potential fire risk: %d/4 indicators active", n), "PATTERN")),
+        Check(ALARM, F.when(known & (c(ALARM) == 1), 1.0), "PATTERN", from_critical=1.0),
+        Check("Fire Pattern", F.when(known, n), "PATTERN", from_critical=3.0, from_high=2.0),
     ]
 
 
-def prediction_alerts() -> list[Column]:
+def prediction_alerts() -> list[Check]:
     """Alert of a positive prediction (columns ``prediction`` and ``confidence``)."""
-    return [F.when(c("prediction") == 1, alert(
-        "ML", c("confidence"), 0.5, "HIGH",
-        _text("Fire predicted with confidence %.2f", c("confidence")), "ML_FIRE_PREDICTION"))]
-
-
-def explode_alerts(df: DataFrame, alerts: list[Column], *keep: str) -> DataFrame:
-    """One row per alert with the kept columns and the alert fields."""
-    return rows_from(df, keep, alerts)
+    return [Check("ML", F.when(c("prediction") == 1, c("confidence")), "ML_FIRE_PREDICTION",
+                  from_high=0.5)]
 
 
 def statistical_alerts(scores: DataFrame, *keep: str, z_threshold: float = 3.0) -> DataFrame:
     """Alerts from rolling z-scores (columns ``channel``, ``value``, ``z``)."""
     z = c("z")
-    found = alert(c("channel"), c("value"), z_threshold,
-                  F.when(z > 4.0, "HIGH").otherwise("MEDIUM"),
-                  F.concat(F.lit("Statistical anomaly in "), c("channel"), F.lit(": "),
-                           c("value").cast("string"), _text(" (Z-score: %.2f)", z)),
-                  "STATISTICAL")
-    return scores.where(z > z_threshold).select(*[c(k) for k in keep], F.inline(F.array(found)))
+    return scores.where(z > z_threshold).select(
+        *[c(k) for k in keep], c("channel").alias("sensor"), c("value"),
+        F.lit(z_threshold).alias("threshold"),
+        F.when(z > 4.0, "HIGH").otherwise("MEDIUM").alias("severity"),
+        F.concat(F.lit("Statistical anomaly in "), c("channel"), F.lit(": "), c("value").cast("string"),
+                 F.format_string(" (Z-score: %.2f)", z)).alias("message"),
+        F.lit("STATISTICAL").alias("alert_type"))
 
 
 def alert_history(windows: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.functions.columns import once, rows_from, texts, to_double, to_int
+from sensorlake.functions.columns import once, rows_from, to_double
 from sensorlake.spec import (ALARM, BOUNDED_CHANNELS, COUNTER, DEFAULT_SPEC, NUMERIC_CHANNELS,
                              REQUIRED_CHANNELS, Rule, SensorSpec, c)
 
@@ -39,15 +39,32 @@ def is_corrupt() -> Column:
     return F.col("raw").isNull() | raw_field("_corrupt").isNotNull()
 
 
+# Channels in the order of the decoded number array.
+_NUMBERS = (*NUMERIC_CHANNELS, ALARM)
+
+
+def numbers() -> Column:
+    """Array of all channels of ``raw`` as doubles.
+
+    One small function applied to an array: written out per channel it would be
+    more code than the JVM compiles.
+    """
+    return F.transform(F.array(*[raw_field(n) for n in _NUMBERS]), to_double)
+
+
 def typed_columns(broker_time: Column | None = None) -> list[Column]:
-    """Typed reading columns from ``raw``; event time falls back to UTC seconds, then broker time."""
+    """Typed columns from ``raw`` and its number array ``_n``.
+
+    Event time falls back to UTC seconds, then to the broker's time.
+    """
+    at = {n: F.get("_n", F.lit(i)) for i, n in enumerate(_NUMBERS)}
     event_time = [raw_field("timestamp").try_cast("timestamp"),
                   F.timestamp_seconds(to_double(raw_field("UTC")))]
     if broker_time is not None:
         event_time.append(broker_time)
     return (
-        [to_double(raw_field(n)).alias(n) for n in NUMERIC_CHANNELS if n != COUNTER]
-        + [to_int(raw_field(n)).alias(n) for n in (COUNTER, ALARM)]
+        [at[n].alias(n) for n in NUMERIC_CHANNELS if n != COUNTER]
+        + [at[n].try_cast("int").alias(n) for n in (COUNTER, ALARM)]
         + [F.coalesce(*event_time).alias("timestamp"),
            raw_field("device_id").alias("device_id"), raw_field("location").alias("location")]
     )
@@ -56,7 +73,7 @@ def typed_columns(broker_time: Column | None = None) -> list[Column]:
 def flatten(decoded: DataFrame, *keep: str, broker_time: str | None = None) -> DataFrame:
     """Typed readings from a decoded frame, with a processing time stamp."""
     stamp = c(broker_time) if broker_time else None
-    return decoded.select(
+    return decoded.select("*", once(numbers()).alias("_n")).select(
         *[c(k) for k in keep], *typed_columns(stamp),
         *([stamp.alias("kafka_timestamp")] if broker_time else []),
         F.current_timestamp().alias("processing_timestamp"))
@@ -69,19 +86,26 @@ def out_of_range(rule: Rule, value: Column) -> Column:
 
 def range_error(rule: Rule, value: Column) -> Column:
     """Message when the value lies outside the rule's valid range, else NULL."""
+    return _range_message(F.lit(rule.channel), F.lit(rule.lo), F.lit(rule.hi).cast("double"), value)
+
+
+def _range_message(channel: Column, lo: Column, hi: Column, value: Column) -> Column:
     shown = value.cast("string")
-    if rule.hi is not None:
-        return F.when(out_of_range(rule, value), F.concat(
-            F.lit(f"{rule.channel} out of range: "), shown,
-            F.lit(f" (valid: {rule.lo} to {rule.hi})")))
-    return F.when(out_of_range(rule, value), F.concat(
-        F.lit(f"Negative value for {rule.channel}: "), shown, F.lit(f" (must be >= {rule.lo})")))
+    outside = F.concat(channel, F.lit(" out of range: "), shown, F.lit(" (valid: "),
+                       lo.cast("string"), F.lit(" to "), hi.cast("string"), F.lit(")"))
+    negative = F.concat(F.lit("Negative value for "), channel, F.lit(": "), shown,
+                        F.lit(" (must be >= "), lo.cast("string"), F.lit(")"))
+    return F.when(hi.isNotNull(), F.when(~value.between(lo, hi), outside)).otherwise(
+        F.when(value < lo, negative))
+
 
+def _rule_array(spec: SensorSpec) -> Column:
+    return F.array(*[F.struct(F.lit(r.channel).alias("channel"), F.lit(r.lo).alias("lo"),
+                              F.lit(r.hi).cast("double").alias("hi")) for r in spec.rules])
 
-def _numeric_error(rule: Rule, text: Column) -> Column:
-    value = to_double(text)
-    bad = F.concat(F.lit(f"Invalid numeric value for {rule.channel}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), bad).otherwise(range_error(rule, value))
+
+def _known(errors: Column) -> Column:
+    return F.filter(errors, lambda e: e.isNotNull())
 
 
 def payload_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
@@ -89,26 +113,32 @@ def payload_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     required = F.array(*[F.lit(n) for n in REQUIRED_CHANNELS])
     missing = F.array_except(required, F.coalesce(F.col("fields"), F.array().cast("array<string>")))
     alarm = raw_field(spec.label)
-    return texts([
-        F.when(F.size(missing) > 0, F.concat(
-            F.lit("Missing required fields: "), F.array_join(missing, ", "))),
-        *[_numeric_error(r, raw_field(r.channel)) for r in spec.rules],
-        F.when(F.array_contains("fields", spec.label)
-               & ~F.coalesce(alarm.isin("0", "1"), F.lit(False)),
-               F.concat(F.lit("Invalid Fire Alarm value: "),
-                        F.coalesce(alarm, F.lit("null")), F.lit(" (must be 0 or 1)"))),
-    ])
+
+    def judge(rule: Column, text: Column) -> Column:
+        value = to_double(text)
+        bad = F.concat(F.lit("Invalid numeric value for "), rule["channel"], F.lit(": "), text)
+        return F.when(text.isNotNull() & value.isNull(), bad).otherwise(
+            _range_message(rule["channel"], rule["lo"], rule["hi"], value))
+
+    per_channel = F.zip_with(_rule_array(spec), F.array(*[raw_field(r.channel) for r in spec.rules]), judge)
+    odd_alarm = F.array_contains("fields", spec.label) & ~F.coalesce(alarm.isin("0", "1"), F.lit(False))
+    return _known(F.concat(
+        F.array(F.when(F.size(missing) > 0, F.concat(
+            F.lit("Missing required fields: "), F.array_join(missing, ", ")))),
+        per_channel,
+        F.array(F.when(odd_alarm, F.concat(F.lit("Invalid Fire Alarm value: "),
+                                           F.coalesce(alarm, F.lit("null")), F.lit(" (must be 0 or 1)"))))))
 
 
 def reading_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     """Error list of a typed reading, where only ranges and the alarm domain can fail."""
     alarm = c(spec.label)
-    return texts([
-        *[range_error(r, c(r.channel).cast("double")) for r in spec.rules],
-        F.when(~F.coalesce(alarm.isin(0, 1), F.lit(False)),
-               F.concat(F.lit("Invalid Fire Alarm value: "),
-                        F.coalesce(alarm.cast("string"), F.lit("null")))),
-    ])
+    values = F.array(*[c(r.channel).cast("double") for r in spec.rules])
+    per_channel = F.zip_with(_rule_array(spec), values, lambda rule, v: _range_message(
+        rule["channel"], rule["lo"], rule["hi"], v))
+    return _known(F.concat(per_channel, F.array(F.when(
+        ~F.coalesce(alarm.isin(0, 1), F.lit(False)),
+        F.concat(F.lit("Invalid Fire Alarm value: "), F.coalesce(alarm.cast("string"), F.lit("null")))))))
 
 
 def reading_failed(spec: SensorSpec = DEFAULT_SPEC) -> Column:
@@ -145,17 +175,19 @@ def sanitize(df: DataFrame, text: bool = False, spec: SensorSpec = DEFAULT_SPEC)
     a channel without a column gets its default.
     """
     rules = {r.channel: r for r in spec.rules}
+    if text:
+        df = df.select("*", once(numbers()).alias("_n"))
     out = {}
     for name, default in spec.defaults.items():
         whole = name in (COUNTER, spec.label)
         if text:
-            value = to_int(raw_field(name)) if whole else to_double(raw_field(name))
+            value = F.get("_n", F.lit(_NUMBERS.index(name))).try_cast("int" if whole else "double")
         elif name in df.columns:
             value = c(name).cast("int" if whole else "double")
         else:
             value = F.lit(None).cast("int" if whole else "double")
         out[name] = sanitize_value(default, value, rules.get(name), whole)
-    return df.withColumns(out)
+    return df.withColumns(out).drop("_n")
 
 
 def declared_violations(df: DataFrame, *keep: str, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
