@@ -172,16 +172,16 @@ def n05(spark, d):
     train, test = training.split(readings(spark, d), "event_id")
     trees = training.forest(numTrees=10)
     grid = training.ParamGridBuilder().addGrid(trees.maxDepth, [3, 5]).build()
-    found = training.search(train, trees, grid, folds=3, scale=False)
+    found = training.search(train, trees, grid, folds=2, scale=False)
     return tidy(training.evaluate(found.bestModel, test, "forest"))
 
 
 @query("n06_logistic_search")
 def n06(spark, d):
     train, test = training.split(readings(spark, d), "event_id")
-    linear = training.logistic()
-    grid = training.logistic_grid(linear, train.count(), (0.1, 1.0))
-    found = training.search(train, linear, grid, folds=3)
+    linear = training.logistic(maxIter=20)
+    grid = training.logistic_grid(linear, train.count(), (1.0,))
+    found = training.search(train, linear, grid, folds=2)
     return tidy(training.evaluate(found.bestModel, test, "logistic"))
 
 

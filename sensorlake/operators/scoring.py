@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
-from sensorlake.functions.columns import alert_level, label_text, ratio, texts
+from sensorlake.functions.columns import alert_level, label_text, once, ratio, texts
 from sensorlake.spec import DEFAULT_SPEC, TEMPERATURE, SensorSpec, c
 
 
@@ -63,9 +63,10 @@ def model_scores(model, df: DataFrame) -> DataFrame:
 
 def score_or_error(scored: DataFrame, errors: Column) -> DataFrame:
     """Blank the prediction of invalid readings and keep their errors, rows stay complete."""
-    valid = F.size(errors) == 0
     fields = ("score", "prediction", "prediction_label", "probability", "confidence", "alert_level")
-    return scored.withColumn("error", F.when(~valid, F.array_join(errors, "; "))).withColumns({
+    judged = scored.select("*", once(errors).alias("_errors"))
+    text = F.when(F.size("_errors") > 0, F.array_join("_errors", "; "))
+    return judged.withColumn("error", text).drop("_errors").withColumns({
         n: F.when(F.col("error").isNull(), F.col(n)) for n in fields if n in scored.columns})
 
 

@@ -21,43 +21,46 @@ RAW_SCHEMA = T.StructType(
 
 
 def decode(df: DataFrame, payload: str = "value") -> DataFrame:
-    """Parse a JSON payload column into a text struct ``raw`` and its field names ``fields``."""
+    """Parse a JSON payload column.
+
+    Adds the text struct ``raw``, the names present in the payload ``fields``, and
+    ``numbers``, all channels as doubles in the order of ``NUMBERS``.
+    """
     text = c(payload).cast("string")
     parsed = F.struct(
         F.from_json(text, RAW_SCHEMA, {"mode": "PERMISSIVE",
                                        "columnNameOfCorruptRecord": "_corrupt"}).alias("raw"),
         F.json_object_keys(text).alias("fields"))
-    return df.select("*", once(parsed).alias("_parsed")).select(
+    found = df.select("*", once(parsed).alias("_parsed")).select(
         *[c(n) for n in df.columns], "_parsed.raw", "_parsed.fields")
+    # One small function applied to an array: written out per channel it would be
+    # more code than the JVM compiles.
+    texts = F.array(*[raw_field(n) for n in NUMBERS])
+    return found.select("*", once(F.transform(texts, to_double)).alias("numbers"))
 
 
-def raw_field(name: str) -> Column:
-    return F.col("raw").getField(name)
+# Channels in the order of the decoded ``numbers`` array.
+NUMBERS = (*NUMERIC_CHANNELS, ALARM)
 
 
-def is_corrupt() -> Column:
-    return F.col("raw").isNull() | raw_field("_corrupt").isNotNull()
-
+def number(name: str) -> Column:
+    return F.get("numbers", F.lit(NUMBERS.index(name)))
 
-# Channels in the order of the decoded number array.
-_NUMBERS = (*NUMERIC_CHANNELS, ALARM)
 
+def raw_field(name: str) -> Column:
+    return F.col("raw").getField(name)
 
-def numbers() -> Column:
-    """Array of all channels of ``raw`` as doubles.
 
-    One small function applied to an array: written out per channel it would be
-    more code than the JVM compiles.
-    """
-    return F.transform(F.array(*[raw_field(n) for n in _NUMBERS]), to_double)
+def is_corrupt() -> Column:
+    return F.col("raw").isNull() | raw_field("_corrupt").isNotNull()
 
 
 def typed_columns(broker_time: Column | None = None) -> list[Column]:
-    """Typed columns from ``raw`` and its number array ``_n``.
+    """Typed columns of a decoded payload.
 
     Event time falls back to UTC seconds, then to the broker's time.
     """
-    at = {n: F.get("_n", F.lit(i)) for i, n in enumerate(_NUMBERS)}
+    at = {n: number(n) for n in NUMBERS}
     event_time = [raw_field("timestamp").try_cast("timestamp"),
                   F.timestamp_seconds(to_double(raw_field("UTC")))]
     if broker_time is not None:
@@ -73,7 +76,7 @@ def typed_columns(broker_time: Column | None = None) -> list[Column]:
 def flatten(decoded: DataFrame, *keep: str, broker_time: str | None = None) -> DataFrame:
     """Typed readings from a decoded frame, with a processing time stamp."""
     stamp = c(broker_time) if broker_time else None
-    return decoded.select("*", once(numbers()).alias("_n")).select(
+    return decoded.select(
         *[c(k) for k in keep], *typed_columns(stamp),
         *([stamp.alias("kafka_timestamp")] if broker_time else []),
         F.current_timestamp().alias("processing_timestamp"))
@@ -114,20 +117,25 @@ def payload_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     missing = F.array_except(required, F.coalesce(F.col("fields"), F.array().cast("array<string>")))
     alarm = raw_field(spec.label)
 
-    def judge(rule: Column, text: Column) -> Column:
-        value = to_double(text)
-        bad = F.concat(F.lit("Invalid numeric value for "), rule["channel"], F.lit(": "), text)
-        return F.when(text.isNotNull() & value.isNull(), bad).otherwise(
-            _range_message(rule["channel"], rule["lo"], rule["hi"], value))
+    def judge(rule: Column, cell: Column) -> Column:
+        bad = F.concat(F.lit("Invalid numeric value for "), rule["channel"], F.lit(": "), cell["text"])
+        return F.when(cell["text"].isNotNull() & cell["number"].isNull(), bad).otherwise(
+            _range_message(rule["channel"], rule["lo"], rule["hi"], cell["number"]))
 
-    per_channel = F.zip_with(_rule_array(spec), F.array(*[raw_field(r.channel) for r in spec.rules]), judge)
+    cells = F.array(*[F.struct(raw_field(r.channel).alias("text"), number(r.channel).alias("number"))
+                      for r in spec.rules])
     odd_alarm = F.array_contains("fields", spec.label) & ~F.coalesce(alarm.isin("0", "1"), F.lit(False))
-    return _known(F.concat(
+    # Messages are built for faulty payloads only; the test before them is cheap.
+    faulty = reduce(lambda a, b: a | b, [
+        F.coalesce(out_of_range(r, number(r.channel)), raw_field(r.channel).isNotNull())
+        for r in spec.rules])
+    messages = _known(F.concat(
         F.array(F.when(F.size(missing) > 0, F.concat(
             F.lit("Missing required fields: "), F.array_join(missing, ", ")))),
-        per_channel,
+        F.zip_with(_rule_array(spec), cells, judge),
         F.array(F.when(odd_alarm, F.concat(F.lit("Invalid Fire Alarm value: "),
                                            F.coalesce(alarm, F.lit("null")), F.lit(" (must be 0 or 1)"))))))
+    return F.when(faulty | odd_alarm | (F.size(missing) > 0), messages).otherwise(no_errors())
 
 
 def reading_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
@@ -136,9 +144,10 @@ def reading_errors(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     values = F.array(*[c(r.channel).cast("double") for r in spec.rules])
     per_channel = F.zip_with(_rule_array(spec), values, lambda rule, v: _range_message(
         rule["channel"], rule["lo"], rule["hi"], v))
-    return _known(F.concat(per_channel, F.array(F.when(
+    messages = _known(F.concat(per_channel, F.array(F.when(
         ~F.coalesce(alarm.isin(0, 1), F.lit(False)),
         F.concat(F.lit("Invalid Fire Alarm value: "), F.coalesce(alarm.cast("string"), F.lit("null")))))))
+    return F.when(reading_failed(spec), messages).otherwise(no_errors())
 
 
 def reading_failed(spec: SensorSpec = DEFAULT_SPEC) -> Column:
@@ -148,6 +157,10 @@ def reading_failed(spec: SensorSpec = DEFAULT_SPEC) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in tests])
 
 
+def no_errors() -> Column:
+    return F.array().cast("array<string>")
+
+
 def validate(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Add ``errors`` and ``is_valid`` to a decoded frame."""
     errors = F.when(is_corrupt(), F.array(F.lit("Corrupt record"))).otherwise(payload_errors(spec))
@@ -175,19 +188,17 @@ def sanitize(df: DataFrame, text: bool = False, spec: SensorSpec = DEFAULT_SPEC)
     a channel without a column gets its default.
     """
     rules = {r.channel: r for r in spec.rules}
-    if text:
-        df = df.select("*", once(numbers()).alias("_n"))
     out = {}
     for name, default in spec.defaults.items():
         whole = name in (COUNTER, spec.label)
         if text:
-            value = F.get("_n", F.lit(_NUMBERS.index(name))).try_cast("int" if whole else "double")
+            value = number(name).try_cast("int" if whole else "double")
         elif name in df.columns:
             value = c(name).cast("int" if whole else "double")
         else:
             value = F.lit(None).cast("int" if whole else "double")
         out[name] = sanitize_value(default, value, rules.get(name), whole)
-    return df.withColumns(out).drop("_n")
+    return df.withColumns(out)
 
 
 def declared_violations(df: DataFrame, *keep: str, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:

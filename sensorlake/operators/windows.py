@@ -32,8 +32,8 @@ def analytics_columns(spec: SensorSpec = DEFAULT_SPEC) -> list[Column]:
         F.sum(F.when(alarm, 1).otherwise(0)).alias("total_fire_alarms"),
         F.count_if(t.isNull()).alias("null_temperature_count"),
         F.count_if(tvoc.isNull()).alias("null_tvoc_count"),
-        F.approx_count_distinct(c(spec.device), 0.01).alias("unique_devices"),
-        F.approx_count_distinct(c(spec.location), 0.01).alias("unique_locations"),
+        F.approx_count_distinct(c(spec.device)).alias("unique_devices"),
+        F.approx_count_distinct(c(spec.location)).alias("unique_locations"),
     ]
 
 

@@ -85,7 +85,7 @@ def forest(**params) -> RandomForestClassifier:
 
 
 def logistic(**params) -> LogisticRegression:
-    return LogisticRegression(featuresCol="features", labelCol="_label", maxIter=100, **params)
+    return LogisticRegression(featuresCol="features", labelCol="_label", **{"maxIter": 100, **params})
 
 
 def forest_grid(estimator: RandomForestClassifier, full: bool = False) -> list:
