@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +14,8 @@ from sensorlake.spec import DEFAULT_SPEC, c
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# The driver tables hold about 20 readings an hour, so a day is a fair slice.
-SPEC = replace(DEFAULT_SPEC, slice_seconds=86400)
+# Slice widths are measured per table.
+SPEC = DEFAULT_SPEC
 
 READINGS_CTE = """
 readings AS (

@@ -260,7 +260,7 @@ def c22(spark, d):
 
 
 @query("c24_two_valued_columns", unioned([
-    f"SELECT {i} AS position, '{n}' AS channel, count(DISTINCT {e}) = 2 AS two_valued FROM {tab}"
+    f"SELECT cast({i} AS bigint) AS position, '{n}' AS channel, count(DISTINCT {e}) = 2 AS two_valued FROM {tab}"
     for i, (n, e, tab) in enumerate((("quality", "quality", "labels"), ("toxic", "toxic", "labels"),
                                      ("doc_id", "doc_id", "labels")))]))
 def c24(spark, d):

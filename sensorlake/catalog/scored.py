@@ -182,14 +182,14 @@ def c20(spark, d):
 
 
 @query("c21_alert_level",
-       f"SELECT id AS event_id, prediction, {_N('score', 'score')}, {_N('confidence', 'confidence')}, alert_level FROM p",
+       f"SELECT id AS event_id, cast(prediction AS bigint) AS prediction, {_N('score', 'score')}, {_N('confidence', 'confidence')}, alert_level FROM p",
        _PREDICTIONS)
 def c21(spark, d):
     return tidy(_predictions(spark, d).select("event_id", "prediction", "score", "confidence", "alert_level"))
 
 
 @query("d01_attach_predictions",
-       f"SELECT id AS event_id, device_id, alarm, prediction, {_N('score', 'score')} FROM p", _PREDICTIONS)
+       f"SELECT id AS event_id, device_id, cast(alarm AS bigint) AS alarm, cast(prediction AS bigint) AS prediction, {_N('score', 'score')} FROM p", _PREDICTIONS)
 def d01(spark, d):
     df = readings(spark, d).select("event_id", "device_id", c(ALARM).alias("alarm"))
     separate = _predictions(spark, d).select("event_id", "prediction", "score")
@@ -355,7 +355,7 @@ _CLASSES = """cls AS (
       count(*) FILTER (alarm = class AND prediction = class) AS hits FROM p, (VALUES (0), (1)) v(class) GROUP BY class))"""
 
 
-@query("e22_class_report", "SELECT class, " + ", ".join(_N(n, n) for n in ("precision", "recall", "f1"))
+@query("e22_class_report", "SELECT cast(class AS bigint) AS class, " + ", ".join(_N(n, n) for n in ("precision", "recall", "f1"))
        + ", support, hits FROM cls", _PREDICTIONS + ",\n" + _CLASSES)
 def e22(spark, d):
     return tidy(evaluation.class_report(_predictions(spark, d), ALARM))
@@ -371,7 +371,7 @@ def e22_averages(spark, d):
 
 
 @query("e22_confusion",
-       "SELECT alarm AS label, prediction, count(*) AS n FROM p GROUP BY 1, 2", _PREDICTIONS)
+       "SELECT cast(alarm AS bigint) AS label, cast(prediction AS bigint) AS prediction, count(*) AS n FROM p GROUP BY 1, 2", _PREDICTIONS)
 def e22_confusion(spark, d):
     return tidy(evaluation.confusion(_predictions(spark, d), ALARM))
 
@@ -388,7 +388,7 @@ def e23_pr(spark, d):
     return tidy(evaluation.precision_recall_curve(evaluation.score_curve(_predictions(spark, d), ALARM)))
 
 
-@query("e24_class_distribution", "SELECT alarm AS label, count(*) AS n FROM r GROUP BY 1")
+@query("e24_class_distribution", "SELECT cast(alarm AS bigint) AS label, count(*) AS n FROM r GROUP BY 1")
 def e24(spark, d):
     return tidy(evaluation.class_distribution(readings(spark, d), ALARM))
 

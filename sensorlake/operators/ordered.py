@@ -9,8 +9,9 @@ work, and only what has to cross a slice border is exchanged a second time:
 * ``running``       unbounded prefixes: one subtotal row per ``(key, slice)``.
 * ``islands``       runs of a true condition: only the first and last row of each run.
 
-Results equal the plain window's. ``slice_seconds`` trades task size against
-border rows; ``slice_seconds_for`` measures a table and proposes a value.
+Results equal the plain window's. ``slice_seconds_for`` measures a table: it gives
+the slice width that keeps every task small, or None if no key needs slicing. With
+``slice_seconds=None`` the operators are plain windows.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def _by(keys: Sequence[str], *more: str) -> list[Column]:
 
 
 def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs: WindowExprs,
-                before: int = 0, after: int = 0, slice_seconds: float = 3600) -> DataFrame:
+                before: int = 0, after: int = 0, slice_seconds: float | None = None) -> DataFrame:
     """Add window columns whose frames reach ``before`` rows back and ``after`` rows ahead.
 
     ``order`` starts with the event time and ends with a unique column. Each of
@@ -47,6 +48,9 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs
             rows = rows.withColumns(e(window))
         return rows
 
+    across = Window.partitionBy(*_by(keys)).orderBy(*_by(order))
+    if slice_seconds is None:
+        return apply(df, across)
     reach = before + after
     in_slice = Window.partitionBy(*_by(keys, "_slice"))
     placed = df.withColumn("_slice", _slice_of(order[0], slice_seconds)).withColumns({
@@ -57,16 +61,19 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs
     near_border = (F.col("_pos") <= reach) | (F.col("_pos") > F.col("_size") - reach)
 
     inner = apply(placed, in_slice.orderBy(*_by(order))).where(complete)
-    across = Window.partitionBy(*_by(keys)).orderBy(*_by(order))
     border = apply(placed.where(near_border), across).where(~complete)
     return inner.unionByName(border).drop("_slice", "_pos", "_size")
 
 
 def range_window(df: DataFrame, keys: Sequence[str], ts: str, seconds: int,
-                 exprs: WindowExprs, *, slice_seconds: int = 3600) -> DataFrame:
+                 exprs: WindowExprs, *, slice_seconds: float | None = None) -> DataFrame:
     """Add window columns over the last ``seconds`` seconds up to each row (peers included)."""
-    width = max(slice_seconds, seconds)
     at = F.unix_seconds(c(ts).cast("timestamp"))
+    if slice_seconds is None:
+        plain = (Window.partitionBy(*_by(keys)).orderBy("_at")
+                 .rangeBetween(-seconds, Window.currentRow))
+        return df.withColumn("_at", at).withColumns(exprs(plain)).drop("_at")
+    width = int(max(slice_seconds, seconds, 1))
     own = F.floor(at / F.lit(width))
     needed_next = at >= (own + 1) * width - seconds
     spread = df.withColumns({
@@ -82,8 +89,12 @@ def range_window(df: DataFrame, keys: Sequence[str], ts: str, seconds: int,
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-            sums: dict[str, Column], *, slice_seconds: float = 3600) -> DataFrame:
+            sums: dict[str, Column], *, slice_seconds: float | None = None) -> DataFrame:
     """Add running totals from each key's first row to the current row."""
+    if slice_seconds is None:
+        whole = (Window.partitionBy(*_by(keys)).orderBy(*_by(order))
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumns({n: F.coalesce(F.sum(e).over(whole), F.lit(0)) for n, e in sums.items()})
     sliced = df.withColumns({"_slice": _slice_of(order[0], slice_seconds),
                              **{f"_v_{n}": e for n, e in sums.items()}})
     totals = sliced.groupBy(*_by(keys, "_slice")).agg(
@@ -107,7 +118,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], condition: Column,
-            *, slice_seconds: float = 3600) -> DataFrame:
+            *, slice_seconds: float | None = None) -> DataFrame:
     """One row ``(keys, start_time, end_time)`` per maximal run of rows meeting ``condition``."""
     ts = order[0]
     flagged = df.select(*_by((*keys, *order)),
@@ -130,14 +141,16 @@ def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], condition:
 
 
 def slice_seconds_for(df: DataFrame, keys: Sequence[str], ts: str,
-                      rows_per_slice: int = 2_000_000) -> float:
-    """Slice width that keeps the busiest key's slices near ``rows_per_slice`` rows.
+                      rows_per_slice: int = 2_000_000) -> float | None:
+    """Slice width that keeps even the busiest hour's slices near ``rows_per_slice`` rows.
 
-    Reads only the key and time columns and returns one number to the driver.
+    None if every key has at most that many rows altogether. Reads only the key and
+    time columns, counts them before the shuffle and returns two numbers to the driver.
     """
-    at = F.unix_seconds(c(ts).cast("timestamp"))
-    per_key = df.groupBy(*_by(keys)).agg(
-        F.count(F.lit(1)).alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi"))
-    span = F.greatest(F.col("hi") - F.col("lo"), F.lit(1))
-    row = per_key.agg(F.min(span * rows_per_slice / F.col("n")).alias("w")).first()
-    return max(0.001, min(float(row.w or 86400.0), 10 * 365 * 86400.0))
+    hour = F.date_trunc("hour", c(ts).cast("timestamp"))
+    cells = df.groupBy(*_by(keys), hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = cells.groupBy(*_by(keys)).agg(F.sum("_n").alias("_n"), F.max("_n").alias("_busiest"))
+    row = per_key.agg(F.max("_n").alias("total"), F.max("_busiest").alias("busiest")).first()
+    if row.total is None or row.total <= rows_per_slice:
+        return None
+    return max(0.001, 3600.0 * rows_per_slice / row.busiest)

@@ -8,10 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import ratio, rows_from
-from sensorlake.operators.ordered import islands, range_window, rows_window, running
+from sensorlake.operators.ordered import (islands, range_window, rows_window, running,
+                                          slice_seconds_for)
 from sensorlake.spec import DEFAULT_SPEC, DOUBLE_CHANNELS, SUSTAINED_RULES, SensorSpec, c
 
 
+def _slices(df: DataFrame, keys: Sequence[str], spec: SensorSpec, ts: str | None = None) -> float | None:
+    """Slice width of the spec, or measured on the table."""
+    return spec.slice_seconds or slice_seconds_for(df, keys, ts or spec.event_time)
+
+
 def unpivot(df: DataFrame, keep: Sequence[str], channels: Sequence[str]) -> DataFrame:
     """One row per present channel value."""
     cells = F.array(*[F.struct(F.lit(n).alias("channel"), c(n).cast("double").alias("value"))
@@ -35,7 +41,7 @@ def rolling_scores(df: DataFrame, channels: Sequence[str] = DOUBLE_CHANNELS, *,
                 "n": F.count("value").over(frame)}
 
     out = rows_window(long, keys, [spec.event_time, spec.row_id], exprs, before=size - 1,
-                      slice_seconds=spec.slice_seconds)
+                      slice_seconds=_slices(df, [spec.device], spec))
     z = F.when((F.col("n") >= min_values) & (F.col("std") > 0),
                F.abs(F.col("value") - F.col("mean")) / F.col("std"))
     return out.withColumn("z", z)
@@ -48,7 +54,7 @@ def rolling_percentile(df: DataFrame, channel: str, p: float, *, size: int = 100
     return rows_window(
         long, [spec.device, "channel"], [spec.event_time, spec.row_id],
         lambda w: {"percentile": F.percentile("value", F.lit(p)).over(w.rowsBetween(1 - size, 0))},
-        before=size - 1, slice_seconds=spec.slice_seconds)
+        before=size - 1, slice_seconds=_slices(df, [spec.device], spec))
 
 
 def rolling_mean(df: DataFrame, keys: Sequence[str], columns: dict[str, str], *, size: int = 1000,
@@ -69,7 +75,7 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], columns: dict[str, str], *,
                                 F.col(f"_n_{o}") - earlier(f"_n_{o}")) for o in columns}
 
     out = rows_window(df, keys, [spec.event_time, spec.row_id], sums, means, before=size,
-                      slice_seconds=spec.slice_seconds)
+                      slice_seconds=_slices(df, keys, spec))
     return out.drop(*[f"_{x}_{o}" for x in "sn" for o in columns])
 
 
@@ -89,9 +95,9 @@ def rolling_rates(log: DataFrame, keys: Sequence[str], *, seconds: int = 300,
         F.sum(F.when(ok, F.col("quality"))).alias("quality_sum"),
         F.sum(F.when(ok, F.col("processing_ms"))).alias("ms_sum"))
     sums = ("processed", "failed", "anomalies", "quality_sum", "ms_sum")
+    # One row per key and second, so a day's slice has a known size.
     out = range_window(per_second, keys, "at", seconds,
-                       lambda w: {f"w_{n}": F.sum(n).over(w) for n in sums},
-                       slice_seconds=spec.slice_seconds)
+                       lambda w: {f"w_{n}": F.sum(n).over(w) for n in sums}, slice_seconds=86400)
     w = {n: F.col(f"w_{n}") for n in sums}
     return out.select(
         *[c(k) for k in keys], "at",
@@ -119,14 +125,14 @@ def counter_rate(df: DataFrame, keys: Sequence[str], counter: str, *, seconds: i
                  spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Per-second rate of a counter over the last ``seconds`` seconds; a drop is a reset."""
     order = [spec.event_time, spec.row_id]
+    width = _slices(df, keys, spec)
     steps = rows_window(df, keys, order, lambda w: {"_before": F.lag(c(counter)).over(w)},
-                        before=1, slice_seconds=spec.slice_seconds)
+                        before=1, slice_seconds=width)
     delta = F.when(F.col("_before").isNull(), 0).when(
         c(counter) < F.col("_before"), c(counter)).otherwise(c(counter) - F.col("_before"))
     moved = steps.withColumn("_delta", delta).drop("_before")
     out = range_window(moved, keys, spec.event_time, seconds,
-                       lambda w: {"_sum": F.sum("_delta").over(w)},
-                       slice_seconds=spec.slice_seconds)
+                       lambda w: {"_sum": F.sum("_delta").over(w)}, slice_seconds=width)
     return out.withColumn("rate", F.col("_sum") / seconds).drop("_sum", "_delta")
 
 
@@ -136,7 +142,7 @@ def running_means(df: DataFrame, keys: Sequence[str], columns: dict[str, str],
     sums = {"running_count": F.lit(1),
             **{f"_s_{o}": F.coalesce(c(i), F.lit(0.0)) for o, i in columns.items()}}
     out = running(df, keys, [spec.event_time, spec.row_id], sums,
-                  slice_seconds=spec.slice_seconds)
+                  slice_seconds=_slices(df, keys, spec))
     return out.withColumns({o: F.col(f"_s_{o}") / F.col("running_count") for o in columns}).drop(
         *[f"_s_{o}" for o in columns])
 
@@ -145,7 +151,7 @@ def numbered(df: DataFrame, keys: Sequence[str] = (), *, batch_size: int = 1000,
              spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Row index, batch index and index in batch, all from 0, in event order."""
     out = running(df, keys, [spec.event_time, spec.row_id], {"_at": F.lit(1)},
-                  slice_seconds=spec.slice_seconds)
+                  slice_seconds=_slices(df, keys, spec))
     index = F.col("_at") - 1
     return out.withColumns({
         "row_index": index,
@@ -155,7 +161,8 @@ def numbered(df: DataFrame, keys: Sequence[str] = (), *, batch_size: int = 1000,
 
 
 def sustained(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              rules: dict[str, tuple[Column, int]], spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+              rules: dict[str, tuple[Column, int]], spec: SensorSpec = DEFAULT_SPEC,
+              width: float | None = None) -> DataFrame:
     """Runs during which a rule's condition held for at least its number of seconds.
 
     ``rules`` maps a name to (condition, seconds). The rule name joins the key, so
@@ -167,7 +174,7 @@ def sustained(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         for name, (hit, seconds) in rules.items()])
     long = df.select(*[c(n) for n in (*keys, *order)], F.inline(flags))
     runs = islands(long, [*keys, "alert", "_need"], order, F.col("_hit"),
-                   slice_seconds=spec.slice_seconds)
+                   slice_seconds=width if width else _slices(df, keys, spec, order[0]))
     lasted = F.unix_seconds("end_time") - F.unix_seconds("start_time")
     return (runs.withColumn("duration_seconds", lasted)
             .where(F.col("duration_seconds") >= F.col("_need")).drop("_need"))
@@ -200,7 +207,8 @@ def sustained_rate_rules(rates: DataFrame, keys: Sequence[str], names: Sequence[
         column, side, limit, seconds = RATE_RULES[name]
         v = c(column)
         rules[name] = (v > limit if side == ">" else v < limit if side == "<" else v == limit, seconds)
-    return sustained(rates, keys, ["at"], rules, spec)
+    # One row per key and second, so a day's slice has a known size.
+    return sustained(rates, keys, ["at"], rules, spec, width=86400)
 
 
 def latest_values(df: DataFrame, channels: Sequence[str],

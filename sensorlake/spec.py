@@ -184,9 +184,9 @@ class SensorSpec:
     rules: tuple[Rule, ...] = RULES
     ladders: tuple[Ladder, ...] = LADDERS
     window_limits: WindowLimits = field(default_factory=WindowLimits)
-    # Ordered-window operators cut each key's timeline into slices of this many
-    # seconds, so that one busy key becomes many independent tasks.
-    slice_seconds: int = 3600
+    # Ordered-window operators cut the timeline of busy keys into slices of this many
+    # seconds, so that one key becomes many independent tasks. None: measure the table.
+    slice_seconds: float | None = None
 
     @property
     def features(self) -> tuple[str, ...]:

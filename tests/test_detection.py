@@ -1,10 +1,12 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.operators import alerts, quality, rolling, windows
 from sensorlake.plans.detect import detect_all, messages
-from sensorlake.spec import REQUIRED_CHANNELS, WindowLimits
+from sensorlake.spec import DEFAULT_SPEC, REQUIRED_CHANNELS, WindowLimits
 from tests.conftest import FIRE, NORMAL, OUTLIER
 
 
@@ -65,13 +67,14 @@ def test_fire_pattern(make_readings):
                    (2, "Fire Pattern", "HIGH", 2.0)]
 
 
-def test_rolling_scores_against_numpy(make_readings):
+@pytest.mark.parametrize("spec", [DEFAULT_SPEC, replace(DEFAULT_SPEC, slice_seconds=900)])
+def test_rolling_scores_against_numpy(make_readings, spec):
     rng = np.random.default_rng(5)
     temps = [float(x) for x in rng.normal(20, 1, 260)]
     temps[200] = 60.0
     rows = [changed(NORMAL, t=None if i % 11 == 0 else t) for i, t in enumerate(temps)]
     df = make_readings(rows, devices=("sensor_0", "sensor_1"), step=60)
-    got = {r.event_id: r for r in rolling.rolling_scores(df, ["Temperature[C]"], size=50).collect()}
+    got = {r.event_id: r for r in rolling.rolling_scores(df, ["Temperature[C]"], size=50, spec=spec).collect()}
     for device in (0, 1):
         seen = []
         for i in range(device, 260, 2):

@@ -32,7 +32,7 @@ def same(a, b, keys):
         assert x == pytest.approx(y) if all(isinstance(z, (int, float)) for z in (*x, *y)) else x == y
 
 
-@pytest.mark.parametrize("width", [0.5, 30, 600, 100000])
+@pytest.mark.parametrize("width", [None, 0.5, 30, 600, 100000])
 def test_rows_window(skewed, width):
     def exprs(w):
         return {"s": F.sum("v").over(w.rowsBetween(-9, 0)), "p": F.lag("id", 2).over(w),
@@ -43,21 +43,22 @@ def test_rows_window(skewed, width):
     same(got, plain, ["id", "s", "p", "q"])
 
 
-@pytest.mark.parametrize("width", [1, 60, 100000])
+@pytest.mark.parametrize("width", [None, 1, 60, 100000])
 def test_range_window(skewed, width):
     got = range_window(skewed, ["key"], "ts", 120, lambda w: {"s": F.sum("v").over(w)}, slice_seconds=width)
     w = Window.partitionBy("key").orderBy(F.unix_seconds("ts")).rangeBetween(-120, 0)
     same(got, skewed.withColumn("s", F.sum("v").over(w)), ["id", "s"])
 
 
+@pytest.mark.parametrize("width", [None, 90])
 @pytest.mark.parametrize("keys", [["key"], []])
-def test_running(skewed, keys):
-    got = running(skewed, keys, ["ts", "id"], {"s": F.col("v"), "n": F.lit(1)}, slice_seconds=90)
+def test_running(skewed, keys, width):
+    got = running(skewed, keys, ["ts", "id"], {"s": F.col("v"), "n": F.lit(1)}, slice_seconds=width)
     w = Window.partitionBy(*keys).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     same(got, skewed.withColumns({"s": F.sum("v").over(w), "n": F.count("v").over(w)}), ["id", "s", "n"])
 
 
-@pytest.mark.parametrize("width", [1, 45, 100000])
+@pytest.mark.parametrize("width", [None, 1, 45, 100000])
 def test_islands(skewed, width):
     got = islands(skewed, ["key"], ["ts", "id"], F.col("on"), slice_seconds=width)
     expected, rows = [], sorted(skewed.collect(), key=lambda r: (r.key, r.ts, r.id))
@@ -75,8 +76,9 @@ def test_islands(skewed, width):
 def test_slice_width_follows_the_busiest_key(skewed):
     wide = slice_seconds_for(skewed, ["key"], "ts", rows_per_slice=1000)
     narrow = slice_seconds_for(skewed, ["key"], "ts", rows_per_slice=10)
-    assert 0 < narrow < wide
-    assert narrow == pytest.approx(wide / 100, rel=0.01)
+    assert wide is None and 0 < narrow < 3600
+    busiest = skewed.where("key = 'hot'").groupBy(F.date_trunc("hour", "ts")).count().agg(F.max("count")).first()[0]
+    assert narrow == pytest.approx(3600 * 10 / busiest)
 
 
 def test_one_instant_and_missing_times(spark):

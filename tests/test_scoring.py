@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import alert_level
-from sensorlake.operators import evaluation, patterns, scoring, validate
+from sensorlake.operators import clean, evaluation, patterns, scoring, validate
 from sensorlake.plans import features, historical, training
 from sensorlake.plans.daily import daily_features
 from sensorlake.spec import NUMERIC_CHANNELS, c
@@ -194,3 +194,26 @@ def test_text_labels(spark):
     df = spark.createDataFrame([("no",), ("yes",), ("no",)], "y string")
     got = training.label_index("y").fit(df).transform(df).collect()
     assert [r.label for r in got] == [0.0, 1.0, 0.0]
+
+
+def test_named_cases(make_readings):
+    """Accuracy over named cases with their expected prediction."""
+    hot = (85.0, *NORMAL[1:])
+    cases = make_readings([NORMAL, hot, FIRE]).withColumn("expected", (F.col("event_id") >= 1).cast("int"))
+    row = evaluation.binary_metrics(scoring.rule_scores(cases), "expected", score=None).first()
+    assert row.accuracy == pytest.approx(2 / 3) and row.precision == 1.0 and row.recall == 0.5
+
+
+def test_feature_selection(make_readings):
+    df = make_readings([(None, *NORMAL[1:])])
+    got = features.prepare_features(df, ["PM2.5", "Temperature[C]", "Smoke"], "zero")
+    assert got.columns == ["PM2.5", "Temperature[C]", "Smoke"] and tuple(got.first()) == (8.1, 0.0, 0.0)
+    numeric = clean.numeric_columns(df, exclude=["event_id"])
+    assert numeric == [*NUMERIC_CHANNELS, "Fire Alarm"]
+
+
+def test_monitor_on_a_window(make_readings):
+    out = scoring.rule_scores(make_readings([NORMAL, (65.0, *NORMAL[1:]), NORMAL]))
+    row = scoring.prediction_monitor(out, "1 hour", 60.0).first()
+    assert (row.total, row.fire, row.no_fire) == (3, 1, 2) and row.per_minute == pytest.approx(0.05)
+    assert row.alert_distribution == {"NONE": 2, "MEDIUM": 0, "HIGH": 1, "CRITICAL": 0}
