@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from sensorlake.spec import c
 
+# A slice has few border rows, so that many slices' borders fit one task.
+BORDER_WIDTH = 64
+
 WindowExprs = Callable[[WindowSpec], dict[str, Column]]
 
 
@@ -36,12 +39,17 @@ def _by(keys: Sequence[str], *more: str) -> list[Column]:
 
 
 def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs: WindowExprs,
-                before: int = 0, after: int = 0, slice_seconds: float | None = None) -> DataFrame:
+                before: int = 0, after: int = 0, slice_seconds: float | None = None,
+                levels: int = 2) -> DataFrame:
     """Add window columns whose frames reach ``before`` rows back and ``after`` rows ahead.
 
     ``order`` starts with the event time and ends with a unique column. Each of
     ``exprs`` receives the ordered window and builds columns from it (a frame or
     lag/lead no wider than announced); a later one may use the columns of an earlier.
+
+    The rows near borders form a table with the same neighbours, which is windowed in
+    turn with ``BORDER_WIDTH`` times wider slices, ``levels`` times in all, before the
+    few rows left are windowed per key.
     """
     def apply(rows: DataFrame, window: WindowSpec) -> DataFrame:
         for e in exprs:
@@ -49,7 +57,7 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs
         return rows
 
     across = Window.partitionBy(*_by(keys)).orderBy(*_by(order))
-    if slice_seconds is None:
+    if slice_seconds is None or levels == 0:
         return apply(df, across)
     reach = before + after
     in_slice = Window.partitionBy(*_by(keys, "_slice"))
@@ -61,8 +69,11 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs
     near_border = (F.col("_pos") <= reach) | (F.col("_pos") > F.col("_size") - reach)
 
     inner = apply(placed, in_slice.orderBy(*_by(order))).where(complete)
-    border = apply(placed.where(near_border), across).where(~complete)
-    return inner.unionByName(border).drop("_slice", "_pos", "_size")
+    helpers, unfinished = ["_slice", "_pos", "_size"], f"_unfinished{levels}"
+    near = placed.where(near_border).withColumn(unfinished, ~complete).drop(*helpers)
+    border = rows_window(near, keys, order, *exprs, before=before, after=after,
+                         slice_seconds=slice_seconds * BORDER_WIDTH, levels=levels - 1)
+    return inner.drop(*helpers).unionByName(border.where(unfinished).drop(unfinished))
 
 
 def range_window(df: DataFrame, keys: Sequence[str], ts: str, seconds: int,

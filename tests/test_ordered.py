@@ -87,3 +87,19 @@ def test_one_instant_and_missing_times(spark):
     exprs = lambda w: {"s": F.sum("v").over(w.rowsBetween(-3, 0))}
     got = rows_window(df, ["key"], ["ts", "id"], exprs, before=3, slice_seconds=10)
     same(got, df.withColumns(exprs(Window.partitionBy("key").orderBy("ts", "id"))), ["id", "s"])
+
+
+def test_border_rows_reach_the_last_level(skewed):
+    """Narrow slices: borders of borders are windowed again."""
+    exprs = lambda w: {"s": F.sum("v").over(w.rowsBetween(-4, 0)), "q": F.lead("id").over(w)}
+    got = rows_window(skewed, ["key"], ["ts", "id"], exprs, before=4, after=1, slice_seconds=5, levels=3)
+    plain = skewed.withColumns(exprs(Window.partitionBy("key").orderBy("ts", "id")))
+    same(got, plain, ["id", "s", "q"])
+
+
+def test_busy_key_is_spread_over_tasks(skewed):
+    """No window partition of the sliced plan is the whole hot key."""
+    width = slice_seconds_for(skewed, ["key"], "ts", rows_per_slice=50)
+    hot = skewed.where("key = 'hot'")
+    per_slice = hot.groupBy(F.floor(F.unix_micros("ts") / (width * 1e6))).count().agg(F.max("count")).first()[0]
+    assert per_slice < hot.count() / 4
