@@ -52,11 +52,6 @@ def alert_level(prediction: Column, confidence: Column) -> Column:
             .otherwise("MEDIUM"))
 
 
-def truthy(value: Column) -> Column:
-    """Non-null and non-zero."""
-    return value.isNotNull() & (value != 0)
-
-
 def row_norm(columns: list[Column]) -> Column:
     """Euclidean length of a row; NULL cells count as NULL."""
     return F.sqrt(reduce(lambda a, b: a + b, [x * x for x in columns]))

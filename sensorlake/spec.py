@@ -159,18 +159,6 @@ SUSTAINED_RULES = {
     "HighPM25": (PM25, 35.0, 300),
 }
 
-ALERT_SCHEMA = T.StructType(
-    [
-        T.StructField("sensor", T.StringType(), False),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("threshold", T.DoubleType()),
-        T.StructField("severity", T.StringType(), False),
-        T.StructField("message", T.StringType()),
-        T.StructField("alert_type", T.StringType(), False),
-    ]
-)
-
-
 @dataclass(frozen=True)
 class SensorSpec:
     """Column roles and limits shared by all operators."""
