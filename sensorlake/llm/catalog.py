@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorlake.llm.common import table
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.sharding import histogram_shards
+from sensorlake.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +21,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document, three-word shingles, two bits."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        "component_id")
+
+
 @query
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal bytes."""
