@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import table
+from sensorlake.llm.common import doc_crc, table
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.sharding import histogram_shards
 from sensorlake.llm.simhash import near_duplicates
+from sensorlake.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +64,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    scored = toxicity_scores(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                             table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (doc_crc() % 5 == 0).alias("held_out"), "score", "predicted")
