@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from sensorlake.llm.common import doc_crc, table
 from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
+from sensorlake.llm.pseudolm import pseudo_likelihood
 from sensorlake.llm.sharding import histogram_shards
 from sensorlake.llm.simhash import near_duplicates
+from sensorlake.llm.tokencount import token_counts, zipf_vocabulary
 from sensorlake.llm.toxicity import toxicity_scores
 
+PIECES = "piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -81,3 +85,18 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity_scores(table(spark, sf_dir, "documents").select("doc_id", "text"),
                              table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (doc_crc() % 5 == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document under a public vocabulary."""
+    import public_tokenizers
+
+    vocabulary = zipf_vocabulary(public_tokenizers.path(PIECES))
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+
+
+@query
+def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    return pseudo_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
