@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorlake.llm.common import doc_crc, table
 from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
+from sensorlake.llm.multiindex import nearest
 from sensorlake.llm.pseudolm import pseudo_likelihood
 from sensorlake.llm.sharding import histogram_shards
 from sensorlake.llm.simhash import near_duplicates
@@ -35,6 +36,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth, by inner product."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, three-word shingles, two bits."""
