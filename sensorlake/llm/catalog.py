@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import doc_crc, table
+from sensorlake.llm.decontamination import leaks
 from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.multiindex import nearest
@@ -86,6 +87,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item or an edited copy of one."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out."""
