@@ -12,13 +12,14 @@ from sensorlake.llm.decontamination import leaks
 from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.multiindex import nearest
+from sensorlake.llm.packing import pack
 from sensorlake.llm.pseudolm import pseudo_likelihood
 from sensorlake.llm.sharding import histogram_shards
 from sensorlake.llm.simhash import near_duplicates
 from sensorlake.llm.tokencount import token_counts, zipf_vocabulary
 from sensorlake.llm.toxicity import toxicity_scores
 
-PIECES = "piece_bpe_32k.model"
+PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +94,15 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, alike ones next to each other."""
+    import public_tokenizers
+
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out."""
