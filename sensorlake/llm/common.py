@@ -31,16 +31,25 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def doc_crc(doc_id: str = "doc_id") -> Column:
     """CRC-32 of the id as text, by which documents are held out."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
 
-def arrow_batches(rows: Iterator[dict[str, list]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for columns in rows:
-        yield pa.RecordBatch.from_pydict(columns, schema=schema)
-
-
 def pieces_of(batch: pa.RecordBatch, text: str = "text",
               most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a piece's texts stay near ``most_bytes`` (one row at least)."""

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import pieces_of, written
+from sensorlake.llm.common import fresh, pieces_of, written
 
 WORD = re.compile(r"\w+")
 GRAM = 3
@@ -228,6 +228,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5) -> DataFrame:
     """``docs`` less the documents that ``leaks`` reports."""
-    gone = written(leaks(docs, benchmark, threshold=threshold).select(F.col("doc_id").alias("_gone")).distinct(),
-                   "leaking")
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    (gone_,) = fresh(docs, "_gone")
+    found = leaks(docs, benchmark, threshold=threshold)
+    gone = written(found.select(F.col("doc_id").alias(gone_)).distinct(), "leaking")
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(gone_), "left_anti")

@@ -159,16 +159,17 @@ def labelled_sample(docs: DataFrame, held_out: Column, *, per_lang: int = 600,
     Only rows with a language, not held out and of up to ``most_bytes`` are drawn; no more
     than ``per_lang * most_bytes`` per language comes to the driver.
     """
-    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~held_out).where(
+    usable = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~held_out).where(
         F.octet_length("text").between(1, most_bytes)).select(
-        F.col("doc_id").cast("long").alias("_id"), F.col("lang").cast("string").alias("_lang"))
+        F.col("doc_id").cast("long").alias("_id"), F.col("lang").cast("string").alias("_lang"),
+        F.col("text").cast("string").alias("text"))
     first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    drawn = ids.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= per_lang)
-    rows = (docs.where("lang IS NOT NULL").where(F.octet_length("text") <= most_bytes)
-            .join(F.broadcast(drawn.select("_id").distinct()), docs["doc_id"].cast("long") == F.col("_id"))
-            .select("_id", "text", F.col("lang").cast("string").alias("lang")).collect())
-    rows = sorted({r["_id"]: r for r in rows if LETTER.search(r["text"])}.values(), key=lambda r: r["_id"])
-    return [r["text"] for r in rows], [r["lang"] for r in rows]
+    drawn = usable.select("_id", "_lang").withColumn("_nth", F.row_number().over(first)).where(
+        F.col("_nth") <= per_lang).select("_id", "_lang").distinct()
+    rows = usable.join(F.broadcast(drawn), ["_id", "_lang"]).groupBy("_id", "_lang").agg(
+        F.min("text").alias("text")).collect()
+    rows = sorted((r for r in rows if LETTER.search(r["text"])), key=lambda r: (r["_id"], r["_lang"]))
+    return [r["text"] for r in rows], [r["_lang"] for r in rows]
 
 
 def identify(docs: DataFrame, held_out: Column, *, per_lang: int = 600) -> DataFrame:

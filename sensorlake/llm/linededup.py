@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import without, written
+from sensorlake.llm.common import fresh, without, written
 
 # Fixed by definition: the characters stripped from both ends of a line.
 WHITE = " \t\n\x0b\x0c\r"
@@ -82,16 +82,15 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int =
     A text that loses nothing stays as it is (null stays null). Columns of ``docs`` named
     ``n_lines`` or ``n_dropped`` are replaced; see ``keep_bitmaps`` for the other cases.
     """
-    bitmaps = (keep_bitmaps(docs, min_chars=min_chars, min_docs=min_docs)
-               .withColumnsRenamed({"doc_id": "_id", "text_id": "_tid", "n_dropped": "_n"}))
     rows = without(docs, "n_lines", "n_dropped")
-    found = rows.join(bitmaps.hint("shuffle_hash"), (rows["doc_id"].cast("long") == F.col("_id"))
-                      & (F.xxhash64(rows["text"]) == F.col("_tid")), "left")
+    id_, text_, n_, keep_ = fresh(rows, "_id", "_text_id", "_n", "_keep")
+    bitmaps = keep_bitmaps(docs, min_chars=min_chars, min_docs=min_docs).toDF(id_, text_, n_, keep_)
+    found = rows.join(bitmaps.hint("shuffle_hash"), (rows["doc_id"].cast("long") == bitmaps[id_])
+                      & (F.xxhash64(rows["text"]) == bitmaps[text_]), "left")
     kept = F.expr("array_join(filter(split(text, '\\n', -1), (line, i) -> "
-                  "(shiftright(coalesce(get(keep, i div 64), -1L), i % 64) & 1L) = 1L), '\\n')")
-    columns = {c: F.col(f"`{c}`") for c in rows.columns}
-    columns["text"] = F.when(F.col("keep").isNull(), F.col("text")).otherwise(kept)
+                  f"(shiftright(coalesce(get({keep_}, i div 64), -1L), i % 64) & 1L) = 1L), '\\n')")
+    text = F.when(F.col(keep_).isNull(), F.col("text")).otherwise(kept).alias("text")
     return found.select(
-        *[v.alias(c) for c, v in columns.items()],
+        *[text if c.lower() == "text" else F.col(f"`{c}`") for c in rows.columns],
         F.size(_lines()).cast("long").alias("n_lines"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("n_dropped"))
+        F.coalesce(n_, F.lit(0)).cast("long").alias("n_dropped"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import without, written
+from sensorlake.llm.common import columns_of, fresh, without, written
 from sensorlake.llm.histogram import MOST_PARTS, bucketed, splitters
 
 TIE_BITS = 12
@@ -49,12 +49,11 @@ def histogram_shards(docs: DataFrame, n_shards: int = 8, *, size: Column | None
     if n_shards < 1 or n_shards > MOST_PARTS:
         raise ValueError(f"n_shards must be between 1 and {MOST_PARTS}")
     spark = docs.sparkSession
-    placed = docs.withColumns({
-        "_size": text_size() if size is None else size.cast("long"),
-        "_key": spread_key("doc_id", "text") if key is None else key.cast("double"),
-    })
-    points = written(placed.select(F.col("_key").alias("key"), F.col("_size").alias("weight")),
-                     "sizes")
+    kept = without(docs, "size", "shard", "slot")
+    size_, key_, slice_, before_ = fresh(kept, "_size", "_key", "_slice", "_before")
+    sizes = text_size() if size is None else size.cast("long")
+    keys = spread_key("doc_id", "text") if key is None else key.cast("double")
+    points = written(docs.select(keys.alias("key"), sizes.alias("weight")), "sizes")
     total = points.agg(F.sum("weight")).first()[0] or 0
     per_shard = max(1, min(MOST_PARTS // n_shards, -(-total // (n_shards * slice_bytes))))
     found, _, _ = splitters(points, n_shards * per_shard, 0.05, coarse=per_shard,
@@ -71,11 +70,9 @@ def histogram_shards(docs: DataFrame, n_shards: int = 8, *, size: Column | None
             bounds.append(s.key)
             slices.append((len(bounds), *row))
     # At most MOST_PARTS rows of three numbers.
-    start = spark.createDataFrame(slices, "_slice int, shard int, _before long")
-    kept = without(placed, "size", "shard", "slot")
-    moved = bucketed(kept, "_key", bounds, "_slice").join(F.broadcast(start), "_slice")
-    place = F.row_number().over(Window.partitionBy("_slice").orderBy("_key"))
-    return (moved.withColumns({"size": F.col("_size"), "slot": F.col("_before") + place - 1})
-            .drop("_slice", "_key", "_size", "_before")
-            .select(*[F.col(f"`{c}`") for c in kept.columns if c not in ("_key", "_size")],
-                    "size", "shard", "slot"))
+    start = spark.createDataFrame(slices, f"{slice_} int, shard int, {before_} long")
+    placed = docs.select(*columns_of(kept), sizes.alias(size_), keys.alias(key_))
+    moved = bucketed(placed, key_, bounds, slice_).join(F.broadcast(start), slice_)
+    place = F.row_number().over(Window.partitionBy(slice_).orderBy(key_))
+    return moved.select(*columns_of(kept), F.col(size_).alias("size"), "shard",
+                        (F.col(before_) + place - 1).alias("slot"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import pieces_of, written
+from sensorlake.llm.common import columns_of, fresh, pieces_of, written
 from sensorlake.llm.components import components
 
 SEED = 42
@@ -126,14 +126,15 @@ def one_of_each(docs: DataFrame, *, width: int = 3) -> DataFrame:
     smallest text hash stays.
     """
     classes = written(near_duplicates(docs, width=width), "classes")
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
-    repeated = (classes.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id"))
-                .count().where("count > 1").select("_id"))
+    (id_,) = fresh(docs, "_id")
+    named = F.col("doc_id").alias(id_)
+    gone = classes.where("doc_id <> component_id").select(named).distinct()
+    same = docs["doc_id"].cast("long") == F.col(id_)
+    rest = docs.join(gone, same, "left_anti")
+    repeated = written(classes.where("doc_id = component_id").groupBy("doc_id").count()
+                       .where("count > 1").select(named), "repeated-ids")
     if repeated.isEmpty():
         return rest
-    same = rest["doc_id"].cast("long") == F.col("_id")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = (rest.join(repeated, same, "left_semi").groupBy("doc_id")
-           .agg(F.min_by(row, F.xxhash64("text")).alias("row")).select("row.*"))
+    one = (rest.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias(id_))
+           .agg(F.min_by(F.struct(*columns_of(docs)), F.xxhash64("text")).alias("row")).select("row.*"))
     return rest.join(repeated, same, "left_anti").unionByName(one)

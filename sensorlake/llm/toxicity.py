@@ -194,9 +194,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000
     for label in (0, 1):
         part = once.where(F.col("_toxic") == label).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         drawn = part if drawn is None else drawn.unionByName(part)
-    rows = (docs.where(F.octet_length("text") <= most_bytes)
-            .join(F.broadcast(drawn), docs["doc_id"].cast("long") == F.col("_id"))
-            .select("_id", "text", "_toxic").dropDuplicates(["_id"]).collect())
+    texts = docs.where(F.octet_length("text") <= most_bytes).select(
+        F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(drawn), "_id").groupBy("_id", "_toxic").agg(
+        F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: r["_id"])
     return [r["text"] for r in rows], [r["_toxic"] for r in rows], share
 
