@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sensorlake.catalog.base import SHORT, query, readings, rounded, tidy, unioned
@@ -42,20 +44,24 @@ def a06(spark, d):
         "event_id", "device_id", c(TEMPERATURE).alias("temperature")))
 
 
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+           "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def _inventory(spark, d):
+    """The files of all tables."""
+    found = [files.file_inventory(spark.read.parquet(f"{d}/{name}.parquet")) for name in _TABLES]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query("a08_file_inventory")
 def a08(spark, d):
-    tables = ("events", "lineitem", "orders", "region")
-    out = None
-    for name in tables:
-        inv = files.file_inventory(spark.read.parquet(f"{d}/{name}.parquet"))
-        out = inv if out is None else out.unionByName(inv)
-    return out.orderBy(F.col("modified").desc(), "path")
+    return _inventory(spark, d).orderBy(F.col("modified").desc(), "path")
 
 
 @query("k02_newest_file")
 def k02(spark, d):
-    inv = files.file_inventory(spark.read.parquet(f"{d}/events.parquet", f"{d}/events.parquet"))
-    return files.newest_file(inv)
+    return files.newest_file(_inventory(spark, d))
 
 
 @query("a10_json_properties",

@@ -7,12 +7,25 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake.spec import NULL_MARKER
 
 
-def to_double(text: Column) -> Column:
-    """Text to double, NULL when it is not a number.
+def finite(value: Column) -> Column:
+    """The number, or NULL for NaN and infinities: both count as missing everywhere."""
+    # x - x is 0 for finite numbers only.
+    return F.when((value - value) == 0, value)
+
+
+def finite_numbers(df: DataFrame) -> DataFrame:
+    """All floating-point columns with NaN and infinities as NULL; done where data enter."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({n: finite(F.col(f"`{n}`")) for n in floats}) if floats else df
+
+
+def parsed(text: Column) -> Column:
+    """Text to double, NULL when it is no number.
 
     A cast alone would also take Java literals with a type suffix such as ``1.5d``.
     """
@@ -22,6 +35,11 @@ def to_double(text: Column) -> Column:
     return F.when(~suffixed, text).try_cast("double")
 
 
+def to_double(text: Column) -> Column:
+    """Text to a finite double; ``NaN``, ``Infinity`` and overflowing numbers give NULL."""
+    return finite(parsed(text))
+
+
 def to_int(text: Column) -> Column:
     """Text to int through double, truncating toward zero."""
     return to_double(text).try_cast("int")

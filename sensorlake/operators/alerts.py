@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorlake.functions.columns import finite
 from sensorlake.spec import (ALARM, DEFAULT_SPEC, ECO2, HUMIDITY, PATTERN_LIMITS, PM25,
                              TEMPERATURE, TVOC, SensorSpec, WindowLimits, c)
 
@@ -52,12 +53,13 @@ class Check:
         text = {n: F.lit(getattr(self, n)) for n in ("sensor", "alert_type", "name", "unit")}
         limits = {n: F.lit(getattr(self, n)).cast("double") for n, _, _ in STEPS}
         return F.struct(*[e.alias(n) for n, e in text.items()],
-                        self.value.cast("double").alias("value"),
+                        finite(self.value.cast("double")).alias("value"),
                         *[e.alias(n) for n, e in limits.items()])
 
     def hit(self) -> Column:
         """Whether any step holds; false for a missing value."""
-        tests = [_holds(self.value, side, F.lit(getattr(self, n)))
+        value = finite(self.value.cast("double"))
+        tests = [_holds(value, side, F.lit(getattr(self, n)))
                  for n, side, _ in STEPS if getattr(self, n) is not None]
         return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
@@ -126,14 +128,14 @@ def window_alerts(limits: WindowLimits = WindowLimits()) -> list[Check]:
 
 def reading_alerts() -> list[Check]:
     """Basic checks of a reading; a missing value counts as 0."""
-    value = lambda name: F.coalesce(c(name).cast("double"), F.lit(0.0))
+    value = lambda name: F.coalesce(finite(c(name).cast("double")), F.lit(0.0))
     return [
         Check(TEMPERATURE, value(TEMPERATURE), "BASIC", "temperature", "°C", high_high=50.0, low_low=-10.0),
         Check(HUMIDITY, value(HUMIDITY), "BASIC", "humidity", "%", high_high=90.0, low_low=10.0),
         Check(TVOC, value(TVOC), "BASIC", "TVOC", " ppb", high_high=1000.0),
         Check(ECO2, value(ECO2), "BASIC", "eCO2", " ppm", high_high=1000.0),
         Check(PM25, value(PM25), "BASIC", "PM2.5", " μg/m³", high_high=35.0),
-        Check(ALARM, c(ALARM), "BASIC", "fire alarm", from_critical=1.0),
+        Check(ALARM, F.when(c(ALARM) == 1, 1.0), "BASIC", "fire alarm", from_critical=1.0),
     ]
 
 
@@ -146,7 +148,7 @@ def ladder_alerts(spec: SensorSpec = DEFAULT_SPEC) -> list[Check]:
 
 def pattern_alerts() -> list[Check]:
     """Fire pattern over several channels; a NULL in any input silences the row."""
-    n = reduce(lambda a, b: a + b, [(c(x) > limit).cast("int") for x, limit in PATTERN_LIMITS.items()])
+    n = reduce(lambda a, b: a + b, [(finite(c(x)) > limit).cast("int") for x, limit in PATTERN_LIMITS.items()])
     known = n.isNotNull() & c(ALARM).isNotNull()
     return [
         Check(ALARM, F.when(known & (c(ALARM) == 1), 1.0), "PATTERN", from_critical=1.0),
@@ -155,9 +157,13 @@ def pattern_alerts() -> list[Check]:
 
 
 def prediction_alerts() -> list[Check]:
-    """Alert of a positive prediction (columns ``prediction`` and ``confidence``)."""
-    return [Check("ML", F.when(c("prediction") == 1, c("confidence")), "ML_FIRE_PREDICTION",
-                  from_high=0.5)]
+    """Alert of a positive prediction (columns ``prediction`` and ``confidence``).
+
+    The prediction alone decides: a positive one has a confidence of 0.5 or more, and one
+    whose confidence is missing counts as 0.5.
+    """
+    sure = F.greatest(F.coalesce(finite(c("confidence")), F.lit(0.5)), F.lit(0.5))
+    return [Check("ML", F.when(c("prediction") == 1, sure), "ML_FIRE_PREDICTION", from_high=0.5)]
 
 
 def statistical_alerts(scores: DataFrame, *keep: str, z_threshold: float = 3.0) -> DataFrame:

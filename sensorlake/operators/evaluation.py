@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import ratio
+from sensorlake.functions.columns import finite, ratio
 from sensorlake.spec import c
 
 
@@ -44,17 +47,22 @@ def binary_metrics(df: DataFrame, label: str, prediction: str = "prediction",
 def score_curve(df: DataFrame, label: str, score: str = "score", buckets: int = 1000) -> DataFrame:
     """True and false positives at every distinct score, counted from the highest down.
 
-    Equal scores are one row before anything is ordered. The running totals are
-    built per score bucket plus the totals of the buckets above, so many distinct
-    scores do not meet in one task.
+    Equal scores are one row before anything is ordered. The running totals are built per
+    bucket plus the totals of the buckets above. The bucket edges are quantiles of the
+    distinct scores, so that no task orders many of them, however crowded a range is.
+    Missing, NaN and infinite scores are left out.
     """
-    points = (df.where(c(label).isNotNull() & c(score).isNotNull())
-              .groupBy(c(score).alias("threshold"))
-              .agg(F.count_if(c(label) == 1).alias("pos"), F.count_if(c(label) != 1).alias("neg"))
-              .withColumn("_b", F.floor(F.col("threshold") * buckets)))
-    sums = points.groupBy("_b").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    points = (df.where(c(label).isNotNull()).select(c(label).alias("y"), finite(c(score).cast("double")).alias("threshold"))
+              .where("threshold IS NOT NULL").groupBy("threshold")
+              .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")))
+    marks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    # At most ``buckets`` numbers; a rough edge costs balance, never correctness.
+    edges = sorted(set(points.agg(F.percentile_approx("threshold", marks, 10 * buckets)).first()[0] or []))
+    placed = (Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="threshold", outputCol="_b").transform(points)
+              if edges else points.withColumn("_b", F.lit(0.0)))
+    sums = placed.groupBy("_b").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per bucket: bounded by the score range, not by the data.
+    # One row per bucket.
     offsets = sums.select(
         F.col("_b").alias("_bucket"),
         F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p0"),
@@ -63,7 +71,7 @@ def score_curve(df: DataFrame, label: str, score: str = "score", buckets: int =
         F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("negatives"))
     down = (Window.partitionBy("_b").orderBy(F.col("threshold").desc())
             .rowsBetween(Window.unboundedPreceding, 0))
-    return (points.join(offsets, F.col("_b").eqNullSafe(F.col("_bucket")))
+    return (placed.join(offsets, F.col("_b") == F.col("_bucket"))
             .withColumns({"tp": F.sum("pos").over(down) + F.col("_p0"),
                           "fp": F.sum("neg").over(down) + F.col("_n0")})
             .drop("_b", "_bucket", "_p0", "_n0"))

@@ -5,7 +5,7 @@ Here each key's timeline is cut into time slices; ``(key, slice)`` is the unit o
 work, and only what has to cross a slice border is exchanged a second time:
 
 * ``rows_window``   frames counted in rows: the few rows next to a border.
-* ``range_window``  frames counted in seconds: a copy of each slice's last seconds.
+* ``range_sums``    sums over frames in seconds: a copy of each slice's last seconds.
 * ``running``       unbounded prefixes: one subtotal row per ``(key, slice)``.
 * ``islands``       runs of a true condition: only the first and last row of each run.
 
@@ -76,27 +76,33 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs
     return inner.drop(*helpers).unionByName(border.where(unfinished).drop(unfinished))
 
 
-def range_window(df: DataFrame, keys: Sequence[str], ts: str, seconds: int,
-                 exprs: WindowExprs, *, slice_seconds: float | None = None) -> DataFrame:
-    """Add window columns over the last ``seconds`` seconds up to each row (peers included)."""
+def range_sums(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, sums: dict[str, Column],
+               *, slice_seconds: float | None = None) -> DataFrame:
+    """Add sums over the last ``seconds`` seconds up to each row (peers included).
+
+    A moving frame would be added up anew for every row. Each sum is the difference of two
+    running sums instead: up to this second, less up to the last second before the frame.
+    Both frames start at the slice's first row, so that the work is linear in the rows.
+    NULL counts as nothing, and a frame without any value has sum 0.
+    """
     at = F.unix_seconds(c(ts).cast("timestamp"))
-    if slice_seconds is None:
-        plain = (Window.partitionBy(*_by(keys)).orderBy("_at")
-                 .rangeBetween(-seconds, Window.currentRow))
-        return df.withColumn("_at", at).withColumns(exprs(plain)).drop("_at")
-    width = int(max(slice_seconds, seconds, 1))
-    own = F.floor(at / F.lit(width))
-    needed_next = at >= (own + 1) * width - seconds
-    spread = df.withColumns({
-        "_at": at,
-        "_own": own,
-        "_slice": F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own))),
-    })
-    frame = (Window.partitionBy(*_by(keys, "_slice")).orderBy("_at")
-             .rangeBetween(-seconds, Window.currentRow))
-    return (spread.withColumns(exprs(frame))
-            .where(F.col("_slice").eqNullSafe(F.col("_own")))
-            .drop("_at", "_own", "_slice"))
+    rows, by = df.withColumn("_at", at), _by(keys)
+    if slice_seconds is not None:
+        width = int(max(slice_seconds, seconds, 1))
+        own = F.floor(at / F.lit(width))
+        needed_next = at >= (own + 1) * width - seconds
+        rows = rows.withColumns({"_own": own, "_slice": F.explode(
+            F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own)))})
+        by = _by(keys, "_slice")
+    window = Window.partitionBy(*by).orderBy("_at")
+    upto = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = window.rangeBetween(Window.unboundedPreceding, -seconds - 1)
+    zero = F.lit(0)
+    out = rows.withColumns({n: F.coalesce(F.sum(e).over(upto), zero) - F.coalesce(F.sum(e).over(earlier), zero)
+                            for n, e in sums.items()})
+    if slice_seconds is not None:
+        out = out.where(F.col("_slice").eqNullSafe(F.col("_own"))).drop("_own", "_slice")
+    return out.drop("_at")
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],

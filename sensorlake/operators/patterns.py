@@ -64,10 +64,14 @@ def label_correlations(df: DataFrame, columns: Sequence[str], label: str) -> Dat
 
 
 def top_indicators(df: DataFrame, columns: Sequence[str], label: str, k: int = 5) -> DataFrame:
-    """The ``k`` channels most correlated with the label (label itself excluded)."""
+    """The ``k`` channels most correlated with the label (label itself excluded).
+
+    Strengths that differ by float noise only (channels proportional to one another) are
+    ties, which go by name.
+    """
     others = [n for n in columns if n != label]
     return (label_correlations(df, others, label).where("strength IS NOT NULL")
-            .orderBy(F.col("strength").desc(), "channel").limit(k))
+            .orderBy(F.round("strength", 9).desc(), "channel").limit(k))
 
 
 def newest(df: DataFrame, n: int, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
@@ -108,40 +112,25 @@ def retention_summary(plan: DataFrame, family: str, size: str) -> DataFrame:
         F.sum(c(size)).alias("freed"))
 
 
-# Fixed values.
-DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+# A topic asks for attention beyond its bound: above, or (accuracy) below it.
+BOUNDS = {"max_temperature": 80.0, "accuracy": 0.85}
 
 
 def insights(report: DataFrame) -> DataFrame:
-    """Sentences for a one-row pattern report, one row per sentence.
+    """Facts of a one-row pattern report as rows ``(topic, subject, value, bound, attention)``.
 
-    Columns read: ``peak_hour``, ``peak_weekday``, ``indicator``, ``strength``,
-    ``mean_temperature``, ``max_temperature``, ``fire_rate``, ``accuracy``.
+    Columns read: ``peak_hour``, ``peak_weekday`` (Monday = 0), ``indicator``, ``strength``,
+    ``mean_temperature``, ``max_temperature``, ``fire_rate``, ``accuracy``; a missing one
+    gives no row.
     """
-    h, d = F.col("peak_hour"), F.col("peak_weekday")
-    day = F.element_at(F.array(*map(F.lit, DAY_NAMES)), (d + 1).cast("int"))
-
-    def say(kind: str, template: str, *args: Column, when: Column | None = None) -> Column:
-        known = when if when is not None else args[0].isNotNull()
-        return F.when(known, F.struct(F.lit(kind).alias("kind"),
-                                      F.format_string(template, *args).alias("text")))
-
-    return rows_from(report, [], [
-        say("insight", "Fire incidents peak at %d:00 hours", h),
-        say("recommendation", "Increase monitoring during %d:00-%d:00 hours", h, (h + 1) % 24),
-        say("insight", "Fire incidents are highest on %ss", day),
-        say("recommendation", "Enhanced monitoring recommended on %ss", day),
-        say("insight", "%s shows strongest correlation with fire events (%.3f)",
-            F.col("indicator"), F.col("strength")),
-        say("recommendation", "Prioritize %s monitoring for early fire detection",
-            F.col("indicator")),
-        say("insight", "Average temperature: %.1f°C, Maximum: %.1f°C",
-            F.col("mean_temperature"), F.col("max_temperature")),
-        say("recommendation", "High temperature readings detected - verify sensor calibration (%.1f°C)",
-            F.col("max_temperature"), when=F.col("max_temperature") > 80),
-        say("insight", "Model detected fire conditions in %.2f%% of the data",
-            F.col("fire_rate") * 100),
-        say("insight", "Model historical accuracy: %.1f%%", F.col("accuracy") * 100),
-        say("recommendation", "Model accuracy %.1f%% is below 85%% - consider retraining",
-            F.col("accuracy") * 100, when=F.col("accuracy") < 0.85),
-    ])
+    def fact(topic: str, value: Column, subject: Column | None = None) -> Column:
+        bound = F.lit(BOUNDS.get(topic)).cast("double")
+        number = value.cast("double")
+        beyond = number < bound if topic == "accuracy" else number > bound
+        return F.when(value.isNotNull(), F.struct(
+            F.lit(topic).alias("topic"), (F.lit(None) if subject is None else subject).cast("string").alias("subject"),
+            number.alias("value"), bound.alias("bound"), F.coalesce(beyond, F.lit(False)).alias("attention")))
+
+    plain = ("peak_hour", "peak_weekday", "mean_temperature", "max_temperature", "fire_rate", "accuracy")
+    return rows_from(report, [], [fact(t, F.col(t)) for t in plain]
+                     + [fact("indicator", F.col("strength"), F.col("indicator"))])

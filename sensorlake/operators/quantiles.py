@@ -1,88 +1,93 @@
-"""Exact interpolated quantiles of whole columns.
+"""Exact interpolated quantiles of whole columns, by refinement.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer, which
-is fine for tables known to be small. Larger tables take three column-pruned
-scans with bounded state: a sketch brackets each quantile, the rows below the
-bracket are counted, and only values inside the bracket are ranked.
+Each round counts, in one scan with aggregation before the shuffle, how many values of a
+column fall in each of some evenly spaced buckets between two bounds, together with the
+buckets' smallest and largest values. The bucket that holds a wanted rank gives the next
+round's bounds. A rank is found when its bucket holds one distinct value. What moves is
+columns x ranks x buckets, whatever the rows, and no guess can miss.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import rows_from
+from sensorlake.functions.columns import finite, rows_from
 from sensorlake.spec import c
 
-SMALL_TABLE_ROWS = 1_000_000
-SKETCH_ACCURACY = 100_000
+BUCKETS = 512
+
+
+def _ranks(n: int, p: float) -> tuple[int, int, float]:
+    at = (n - 1) * p
+    low = math.floor(at)
+    return low, min(low + 1, n - 1), at - low
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              *, small_table_rows: int = SMALL_TABLE_ROWS,
-              accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """One row whose column ``q_<i>_<j>`` is quantile ``probs[j]`` of ``columns[i]``."""
-    rows = df.count()
-    if rows <= small_table_rows:
-        wide = df.agg(*[F.percentile(c(n), F.array(*map(F.lit, probs))).alias(f"a_{i}")
-                        for i, n in enumerate(columns)])
-        return wide.select(*[F.col(f"a_{i}")[j].alias(f"q_{i}_{j}")
-                             for i in range(len(columns)) for j in range(len(probs))])
-    return _bracketed(df, columns, probs, rows, accuracy)
-
-
-def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-               rows: int, accuracy: int) -> DataFrame:
-    slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
-    values = df.select(*[c(n).cast("double").alias(f"v_{i}") for i, n in enumerate(columns)])
-
-    # Scan 1: sketches. The margin covers the sketch error on both sides.
-    margin = 4.0 / accuracy
-    marks = [m for p in probs for m in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    sketch = values.agg(*[
-        F.percentile_approx(f"v_{i}", F.array(*map(F.lit, marks)), F.lit(accuracy)).alias(f"b_{i}")
-        for i in range(len(columns))])
-    brackets = sketch.select(*[
-        e for i, j in slots
-        for e in (F.col(f"b_{i}")[2 * j].alias(f"lo_{i}_{j}"),
-                  F.col(f"b_{i}")[2 * j + 1].alias(f"hi_{i}_{j}"))])
-
-    # Scan 2: how many values exist, and how many lie below each bracket.
-    bounded = values.crossJoin(F.broadcast(brackets))   # one row
-    below = bounded.agg(
-        *[F.count(f"v_{i}").alias(f"n_{i}") for i in range(len(columns))],
-        *[F.count_if(F.col(f"v_{i}") < F.col(f"lo_{i}_{j}")).alias(f"below_{i}_{j}")
-          for i, j in slots])
-    ranks = below.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                 F.col(f"n_{i}").alias("n"), F.col(f"below_{i}_{j}").alias("below"),
-                 ((F.col(f"n_{i}") - 1) * F.lit(float(probs[j]))).alias("at"))
-        for i, j in slots])))
-
-    # Scan 3: value counts inside the brackets, about rows * 2 * margin values.
-    inside = rows_from(bounded, [], [
-        F.when(F.col(f"v_{i}").between(F.col(f"lo_{i}_{j}"), F.col(f"hi_{i}_{j}")),
-               F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"v_{i}").alias("v")))
-        for i, j in slots])
-    counts = inside.groupBy("i", "j", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    upto = Window.partitionBy("i", "j").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (counts.withColumn("cum", F.sum("cnt").over(upto))
-              .join(F.broadcast(ranks), ["i", "j"])     # one row per slot
-              .withColumn("cum", F.col("cum") + F.col("below")))
-    found = placed.groupBy("i", "j").agg(
-        F.first("at").alias("at"), F.first("below").alias("below"),
-        F.min(F.when(F.col("cum") > F.floor("at"), F.col("v"))).alias("lo"),
-        F.min(F.when(F.col("cum") > F.ceil("at"), F.col("v"))).alias("hi"))
-    part = F.col("at") - F.floor("at")
-    exact = found.select("i", "j", F.when(
-        (F.col("below") <= F.floor("at")) & F.col("hi").isNotNull(),
-        F.col("lo") + (F.col("hi") - F.col("lo")) * part,
-    ).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")).alias("q"))
-    return exact.agg(*[
-        F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("q"))).alias(f"q_{i}_{j}")
-        for i, j in slots])
+              *, buckets: int = BUCKETS) -> DataFrame:
+    """One row whose column ``q_<i>_<j>`` is quantile ``probs[j]`` of ``columns[i]``.
+
+    Missing, NaN and infinite values are left out; a column without values gives NULL.
+    """
+    values = df.select(*[finite(c(n).cast("double")).alias(f"v_{i}") for i, n in enumerate(columns)])
+    ends = values.agg(*[e for i in range(len(columns)) for e in (
+        F.count(f"v_{i}").alias(f"n_{i}"), F.min(f"v_{i}").alias(f"lo_{i}"), F.max(f"v_{i}").alias(f"hi_{i}"))]).first()
+    # Open searches: (column, rank) -> smallest and largest value left, values before them.
+    found: dict[tuple[int, int], float] = {}
+    spans: dict[tuple[int, int], tuple[float, float, int]] = {}
+    for i in range(len(columns)):
+        n = ends[f"n_{i}"]
+        for p in probs if n else ():
+            for rank in _ranks(n, p)[:2]:
+                _place(found, spans, (i, rank), ends[f"lo_{i}"], ends[f"hi_{i}"], 0)
+    while spans:
+        _narrow(values, found, spans, buckets)
+    cells = []
+    for i in range(len(columns)):
+        for j, p in enumerate(probs):
+            value = None
+            if ends[f"n_{i}"]:
+                low, high, part = _ranks(ends[f"n_{i}"], p)
+                value = found[i, low] + (found[i, high] - found[i, low]) * part
+            cells.append(F.lit(value).cast("double").alias(f"q_{i}_{j}"))
+    return df.sparkSession.range(1).select(*cells)
+
+
+def _place(found: dict, spans: dict, key: tuple[int, int], lo: float, hi: float, before: int) -> None:
+    if lo == hi:
+        found[key] = lo
+        spans.pop(key, None)
+    else:
+        spans[key] = (lo, hi, before)
+
+
+def _narrow(values: DataFrame, found: dict, spans: dict, buckets: int) -> None:
+    """One round for all open searches; several in the same span share a count."""
+    shared: dict[tuple[int, float, float], int] = {}
+    for (i, _), (lo, hi, _) in spans.items():
+        shared.setdefault((i, lo, hi), len(shared))
+    cells = []
+    for (i, lo, hi), s in shared.items():
+        v, width = F.col(f"v_{i}"), hi / buckets - lo / buckets
+        # Halves first: the difference of two huge numbers may not be finite.
+        bucket = F.floor((v / 2 - lo / 2) / (width / 2)) if width > 0 else (v > lo).cast("long")
+        cells.append(F.when(v.between(lo, hi), F.struct(
+            F.lit(s).alias("s"), F.least(bucket, F.lit(buckets - 1)).alias("b"), v.alias("v"))))
+    counted: dict[int, list] = {}
+    rows = rows_from(values, [], cells).groupBy("s", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    for r in rows.collect():
+        counted.setdefault(r["s"], []).append((r["lo"], r["hi"], r["n"]))
+    for (i, rank), (lo, hi, before) in list(spans.items()):
+        for low, high, n in sorted(counted[shared[i, lo, hi]]):
+            if before + n > rank:
+                _place(found, spans, (i, rank), low, high, before)
+                break
+            before += n
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> DataFrame:

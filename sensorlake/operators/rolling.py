@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.functions.columns import ratio, rows_from
-from sensorlake.operators.ordered import (islands, range_window, rows_window, running,
+from sensorlake.functions.columns import finite, ratio, rows_from
+from sensorlake.operators.ordered import (islands, range_sums, rows_window, running,
                                           slice_seconds_for)
 from sensorlake.spec import DEFAULT_SPEC, DOUBLE_CHANNELS, SUSTAINED_RULES, SensorSpec, c
 
@@ -19,8 +19,8 @@ def _slices(df: DataFrame, keys: Sequence[str], spec: SensorSpec, ts: str | None
 
 
 def unpivot(df: DataFrame, keep: Sequence[str], channels: Sequence[str]) -> DataFrame:
-    """One row per present channel value."""
-    cells = F.array(*[F.struct(F.lit(n).alias("channel"), c(n).cast("double").alias("value"))
+    """One row per present (finite) channel value."""
+    cells = F.array(*[F.struct(F.lit(n).alias("channel"), finite(c(n).cast("double")).alias("value"))
                       for n in channels])
     return df.select(*[c(k) for k in keep], F.inline(cells)).where("value IS NOT NULL")
 
@@ -63,11 +63,13 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], columns: dict[str, str], *,
 
     A wide frame would be summed anew for every row. The mean comes from running
     sums instead: the sum up to this row minus the sum up to ``size`` rows before.
+    NaN and infinities are missing values: one in a running sum would spoil all later rows.
     """
     def sums(w):
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        return {**{f"_s_{o}": F.sum(c(i)).over(upto) for o, i in columns.items()},
-                **{f"_n_{o}": F.count(c(i)).over(upto) for o, i in columns.items()}}
+        value = {o: finite(c(i).cast("double")) for o, i in columns.items()}
+        return {**{f"_s_{o}": F.sum(v).over(upto) for o, v in value.items()},
+                **{f"_n_{o}": F.count(v).over(upto) for o, v in value.items()}}
 
     def means(w):
         earlier = lambda n: F.coalesce(F.lag(n, size).over(w), F.lit(0))
@@ -92,12 +94,12 @@ def rolling_rates(log: DataFrame, keys: Sequence[str], *, seconds: int = 300,
     per_second = log.groupBy(*[c(k) for k in keys], at.alias("at")).agg(
         F.count_if(ok).alias("processed"), F.count_if("failed").alias("failed"),
         F.count_if(ok & F.col("anomaly")).alias("anomalies"),
-        F.sum(F.when(ok, F.col("quality"))).alias("quality_sum"),
-        F.sum(F.when(ok, F.col("processing_ms"))).alias("ms_sum"))
+        F.sum(F.when(ok, finite(F.col("quality")))).alias("quality_sum"),
+        F.sum(F.when(ok, finite(F.col("processing_ms")))).alias("ms_sum"))
     sums = ("processed", "failed", "anomalies", "quality_sum", "ms_sum")
     # One row per key and second, so a day's slice has a known size.
-    out = range_window(per_second, keys, "at", seconds,
-                       lambda w: {f"w_{n}": F.sum(n).over(w) for n in sums}, slice_seconds=86400)
+    out = range_sums(per_second, keys, "at", seconds, {f"w_{n}": F.col(n) for n in sums},
+                     slice_seconds=86400)
     w = {n: F.col(f"w_{n}") for n in sums}
     return out.select(
         *[c(k) for k in keys], "at",
@@ -131,8 +133,7 @@ def counter_rate(df: DataFrame, keys: Sequence[str], counter: str, *, seconds: i
     delta = F.when(F.col("_before").isNull(), 0).when(
         c(counter) < F.col("_before"), c(counter)).otherwise(c(counter) - F.col("_before"))
     moved = steps.withColumn("_delta", delta).drop("_before")
-    out = range_window(moved, keys, spec.event_time, seconds,
-                       lambda w: {"_sum": F.sum("_delta").over(w)}, slice_seconds=width)
+    out = range_sums(moved, keys, spec.event_time, seconds, {"_sum": F.col("_delta")}, slice_seconds=width)
     return out.withColumn("rate", F.col("_sum") / seconds).drop("_sum", "_delta")
 
 

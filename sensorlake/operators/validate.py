@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.functions.columns import once, rows_from, to_double
+from sensorlake.functions.columns import finite, once, parsed, rows_from, to_double
 from sensorlake.spec import (ALARM, BOUNDED_CHANNELS, COUNTER, DEFAULT_SPEC, NUMERIC_CHANNELS,
                              REQUIRED_CHANNELS, Rule, SensorSpec, c)
 
@@ -23,20 +23,21 @@ RAW_SCHEMA = T.StructType(
 def decode(df: DataFrame, payload: str = "value") -> DataFrame:
     """Parse a JSON payload column.
 
-    Adds the text struct ``raw``, the names present in the payload ``fields``, and
-    ``numbers``, all channels as doubles in the order of ``NUMBERS``.
+    Adds the text struct ``raw``, the names present ``fields`` and ``numbers``, all channels
+    as finite doubles in the order of ``NUMBERS``. The names take a second parse, which is
+    spared where every required field has a value; ``fields`` then lists the required ones.
     """
     text = c(payload).cast("string")
-    parsed = F.struct(
-        F.from_json(text, RAW_SCHEMA, {"mode": "PERMISSIVE",
-                                       "columnNameOfCorruptRecord": "_corrupt"}).alias("raw"),
-        F.json_object_keys(text).alias("fields"))
-    found = df.select("*", once(parsed).alias("_parsed")).select(
-        *[c(n) for n in df.columns], "_parsed.raw", "_parsed.fields")
+    raw = F.from_json(text, RAW_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    found = df.select("*", once(raw).alias("raw"))
+    every = reduce(lambda a, b: a & b, [raw_field(n).isNotNull() for n in REQUIRED_CHANNELS])
+    required = F.array(*[F.lit(n) for n in REQUIRED_CHANNELS])
     # One small function applied to an array: written out per channel it would be
     # more code than the JVM compiles.
     texts = F.array(*[raw_field(n) for n in NUMBERS])
-    return found.select("*", once(F.transform(texts, to_double)).alias("numbers"))
+    numbers = F.transform(F.transform(texts, parsed), finite)
+    return found.select("*", F.when(every, required).otherwise(F.json_object_keys(text)).alias("fields"),
+                        once(numbers).alias("numbers"))
 
 
 # Channels in the order of the decoded ``numbers`` array.

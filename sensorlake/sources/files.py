@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorlake.functions.columns import finite_numbers
 from sensorlake.operators.profile import recent_day, require_rows
 from sensorlake.spec import ALARM, CSV_SCHEMA, NULL_MARKER, READING_SCHEMA, c
 
@@ -17,7 +18,7 @@ def read_reading_csv(spark: SparkSession, path: str | Sequence[str], *, label_as
     """Reading CSVs with an index column; event time comes from epoch seconds.
 
     The schema is given, so nothing is read twice. ``corrupt`` names a column that
-    keeps lines which do not fit; without it such cells become NULL.
+    keeps lines which do not fit; without it such cells become NULL. NaN is missing, too.
     """
     schema = T.StructType(CSV_SCHEMA.fields + (
         [T.StructField(corrupt, T.StringType())] if corrupt else []))
@@ -25,7 +26,7 @@ def read_reading_csv(spark: SparkSession, path: str | Sequence[str], *, label_as
                "recursiveFileLookup": recursive, "enforceSchema": True}
     if corrupt:
         options["columnNameOfCorruptRecord"] = corrupt
-    df = spark.read.options(**options).schema(schema).csv(path)
+    df = finite_numbers(spark.read.options(**options).schema(schema).csv(path))
     df = df.withColumn("timestamp", F.timestamp_seconds("UTC")).drop("_idx")
     return df.withColumn(ALARM, c(ALARM).cast("string")) if label_as_text else df
 
@@ -33,8 +34,9 @@ def read_reading_csv(spark: SparkSession, path: str | Sequence[str], *, label_as
 def read_plain_csv(spark: SparkSession, path: str | Sequence[str],
                    schema: T.StructType = READING_SCHEMA, recursive: bool = False) -> DataFrame:
     """Reading CSVs without index column."""
-    return spark.read.options(header=True, nullValue=NULL_MARKER, mode="PERMISSIVE",
-                              recursiveFileLookup=recursive).schema(schema).csv(path)
+    return finite_numbers(spark.read.options(
+        header=True, nullValue=NULL_MARKER, mode="PERMISSIVE",
+        recursiveFileLookup=recursive).schema(schema).csv(path))
 
 
 def read_day(spark: SparkSession, table_path: str, run_date: str, ds: str = "ds") -> DataFrame:

@@ -7,10 +7,10 @@ from sensorlake.spec import READING_SCHEMA
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
-NORMAL = (25.5, 45.2, 150.0, 450.0, 12500.0, 18500.0, 1013.25, 5.2, 8.1, 1200.0, 800.0, 150.0, 50, 0)
-FIRE = (55.0, 25.0, 1500.0, 1200.0, 25000.0, 35000.0, 1010.0, 45.0, 65.0, 5000.0, 3500.0, 800.0, 200, 1)
-OUTLIER = (200.0, -100.0, -500.0, 10000.0, -5000.0, 1000000.0, 2000.0, -10.0, 500.0, -1000.0, 100000.0,
-           -500.0, -100, 0)
+NORMAL = (21.3, 47.5, 120.0, 430.0, 12950.0, 19200.0, 1009.4, 3.1, 4.6, 900.0, 310.0, 75.0, 12, 0)
+FIRE = (57.0, 21.0, 1800.0, 1350.0, 26500.0, 36800.0, 1004.2, 58.0, 88.0, 6100.0, 4200.0, 910.0, 240, 1)
+OUTLIER = (180.0, -40.0, -250.0, 9500.0, -2500.0, 800000.0, 1900.0, -4.0, 420.0, -700.0, 90000.0,
+           -300.0, -60, 0)
 
 
 @pytest.fixture(scope="session")

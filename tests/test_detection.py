@@ -143,3 +143,22 @@ def test_rolling_rates_and_empty(spark, make_readings):
     last = rolling.rolling_rates(log, ["device_id"]).orderBy(F.col("at").desc()).first()
     assert last.error_rate == pytest.approx(0.05) and last.error_ratio == pytest.approx(5 / 95)
     assert rolling.rolling_rates(log.limit(0), ["device_id"]).count() == 0
+
+
+def test_odd_numbers_raise_no_alarm(make_readings):
+    """NaN and infinities are missing, and only an alarm of 1 is an alarm."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(nan, *NORMAL[1:]), (inf, -inf, nan, *NORMAL[3:]), (*NORMAL[:13], 2), (*NORMAL[:13], 1)]
+    df = make_readings(rows)
+    basic = alerts.explode_alerts(df, alerts.reading_alerts(), "event_id").collect()
+    assert [(r.event_id, r.sensor, r.severity) for r in basic if r.sensor != "Humidity[%]"] == [(3, "Fire Alarm", "CRITICAL")]
+    assert [r.event_id for r in basic if r.sensor == "Humidity[%]"] == [1]   # missing counts as 0 there
+    for checks in (alerts.ladder_alerts(), alerts.pattern_alerts()):
+        found = alerts.explode_alerts(df, checks, "event_id").collect()
+        assert {r.event_id for r in found} <= {3}
+
+
+def test_positive_prediction_without_confidence(spark):
+    df = spark.createDataFrame([(1, None), (1, 0.9), (0, 0.9)], "prediction int, confidence double")
+    got = alerts.explode_alerts(df, alerts.prediction_alerts()).collect()
+    assert sorted(r.value for r in got) == [0.5, 0.9] and {r.severity for r in got} == {"HIGH"}

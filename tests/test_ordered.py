@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sensorlake.operators.ordered import islands, range_window, rows_window, running, slice_seconds_for
+from sensorlake.operators.ordered import islands, range_sums, rows_window, running, slice_seconds_for
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -44,8 +44,8 @@ def test_rows_window(skewed, width):
 
 
 @pytest.mark.parametrize("width", [None, 1, 60, 100000])
-def test_range_window(skewed, width):
-    got = range_window(skewed, ["key"], "ts", 120, lambda w: {"s": F.sum("v").over(w)}, slice_seconds=width)
+def test_range_sums(skewed, width):
+    got = range_sums(skewed, ["key"], "ts", 120, {"s": F.col("v")}, slice_seconds=width)
     w = Window.partitionBy("key").orderBy(F.unix_seconds("ts")).rangeBetween(-120, 0)
     same(got, skewed.withColumn("s", F.sum("v").over(w)), ["id", "s"])
 

@@ -35,6 +35,18 @@ def test_auc_and_average_precision(scored):
     assert points[0.5 if 0.5 in points else min(points)] == pytest.approx((pos >= (0.5 if 0.5 in points else min(points))).mean())
 
 
+def test_crowded_scores_are_spread(spark):
+    """Nearly all scores below 0.001, some outside 0 to 1 and some that are no numbers."""
+    rng = np.random.default_rng(5)
+    s = np.concatenate([rng.random(1980) * 0.001, [3.5, -2.0, 0.5] * 6 + [1e9, -1e9]])
+    y = (rng.random(len(s)) < 0.3).astype(int)
+    df = spark.createDataFrame([(int(b), 0, float(a)) for a, b in zip(s, y)] + [(1, 0, float("nan")), (0, 0, float("inf"))],
+                               "y int, prediction int, score double")
+    for r in evaluation.score_curve(df, "y", buckets=20).collect():
+        assert (r.tp, r.fp) == (int(y[s >= r.threshold].sum()), int((1 - y)[s >= r.threshold].sum()))
+        assert (r.positives, r.negatives) == (int(y.sum()), int((1 - y).sum()))
+
+
 def test_metrics_with_one_class_only(spark):
     df = spark.createDataFrame([(0, 0, 0.2), (0, 0, 0.3)], "y int, prediction int, score double")
     row = evaluation.binary_metrics(df, "y").first()
@@ -125,9 +137,9 @@ def test_top_indicators_and_insights(spark, make_readings):
     report = spark.createDataFrame([(13, 0, "TVOC[ppb]", 0.912, 25.0, 90.0, 0.05, 0.8)],
                                    "peak_hour int, peak_weekday int, indicator string, strength double, "
                                    "mean_temperature double, max_temperature double, fire_rate double, accuracy double")
-    texts = [r.text for r in patterns.insights(report).collect()]
-    assert "Fire incidents peak at 13:00 hours" in texts and "Fire incidents are highest on Mondays" in texts
-    assert len(texts) == 11
+    facts = {r.topic: r for r in patterns.insights(report).collect()}
+    assert len(facts) == 7 and facts["peak_hour"].value == 13 and facts["indicator"].subject == "TVOC[ppb]"
+    assert {t for t, r in facts.items() if r.attention} == {"max_temperature", "accuracy"}
 
 
 def test_correlations_of_all_pairs(make_readings):
@@ -207,7 +219,7 @@ def test_named_cases(make_readings):
 def test_feature_selection(make_readings):
     df = make_readings([(None, *NORMAL[1:])])
     got = features.prepare_features(df, ["PM2.5", "Temperature[C]", "Smoke"], "zero")
-    assert got.columns == ["PM2.5", "Temperature[C]", "Smoke"] and tuple(got.first()) == (8.1, 0.0, 0.0)
+    assert got.columns == ["PM2.5", "Temperature[C]", "Smoke"] and tuple(got.first()) == (NORMAL[8], 0.0, 0.0)
     numeric = clean.numeric_columns(df, exclude=["event_id"])
     assert numeric == [*NUMERIC_CHANNELS, "Fire Alarm"]
 

@@ -29,7 +29,7 @@ def test_read_csv(spark, csv_dir):
     df = files.read_reading_csv(spark, str(csv_dir / "a.csv"), label_as_text=True)
     rows = df.orderBy("UTC").collect()
     assert "_idx" not in df.columns and rows[0]["Fire Alarm"] == "0"
-    assert rows[0]["Temperature[C]"] == 25.5 and rows[1]["Temperature[C]"] is None
+    assert rows[0]["Temperature[C]"] == NORMAL[0] and rows[1]["Temperature[C]"] is None
     assert df.select(F.unix_seconds("timestamp")).first()[0] == 1654733331
     assert files.csv_columns(spark, str(csv_dir / "a.csv")) == ["UTC", *REQUIRED_CHANNELS]
 
@@ -94,7 +94,7 @@ def test_kafka_options():
 
 def test_messages(make_readings):
     row = kafka.as_messages(make_readings([NORMAL]), "device_id").first()
-    assert row.key == "sensor_0" and '"Temperature[C]":25.5' in row.value
+    assert row.key == "sensor_0" and f'"Temperature[C]":{NORMAL[0]}' in row.value
 
 
 def test_retention_keeps_newest(spark):
