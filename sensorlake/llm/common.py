@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python workers in batches of some megabytes, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below ``spark.checkpoint.dir`` and read it back.
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import fresh, pieces_of, written
+from sensorlake.llm.common import bounded_batches, fresh, pieces_of, written
 
 WORD = re.compile(r"\w+")
 GRAM = 3
@@ -182,6 +182,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
     texts that share an id the best; other columns are ignored; empty tables give an
     empty result.
     """
+    bounded_batches(docs.sparkSession)
     items = written(benchmark.where("item_id IS NOT NULL").select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
         .distinct().withColumn("ikey", F.xxhash64("item_id", "text")), "items")

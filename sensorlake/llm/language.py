@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import pieces_of, without
+from sensorlake.llm.common import bounded_batches, pieces_of, without
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -181,6 +181,7 @@ def identify(docs: DataFrame, held_out: Column, *, per_lang: int = 600) -> DataF
     Columns of ``docs`` named like a result column are replaced; an empty table gives an
     empty result.
     """
+    bounded_batches(docs.sparkSession)
     model = train(*labelled_sample(docs, held_out, per_lang=per_lang))
     rows = without(docs, "lang_pred", "score", "rejected")
     out = rows.selectExpr("*", "'' AS lang_pred", "0D AS score", "true AS rejected").schema

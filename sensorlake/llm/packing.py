@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import pieces_of, written
+from sensorlake.llm.common import bounded_batches, pieces_of, written
 from sensorlake.llm.histogram import MOST_PARTS, bucketed, splitters
+from sensorlake.llm.wordbpe import ID, WordBpe
 
 LENGTH = 2048
 # Added after each document.
@@ -26,31 +27,7 @@ END = 1
 VECTOR, DIMS, LEVELS = 512, 4, 8
 # Bits of the key besides the curve's: they part documents at one place of the curve.
 TIE_BITS = 20
-ID = np.dtype("<u4")
-
-
-class Tokens(dict):
-    """Token ids (as bytes) by UTF-8 word; the tokeniser drops white space, so that words are independent."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.held = 0
-
-    def __missing__(self, word: bytes) -> bytes:
-        if self.held > 48 << 20:
-            self.clear()
-            self.held = 0
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        value = self[word] = np.array(ids, ID).tobytes()
-        self.held += len(word) + len(value) + 150
-        return value
-
-    def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode().split())) + np.array([END], ID).tobytes()
+ONE_END = np.array([END], ID).tobytes()
 
 
 def projection(seed: int = 3) -> np.ndarray:
@@ -101,10 +78,10 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, plane = Tokens(path), projection()
+        tokens, plane = WordBpe(path), projection()
         for batch in batches:
-            for piece in pieces_of(batch, most_bytes=4 << 20):
-                ids = [tokens.of(t.as_py()) for t in piece.column("text")]
+            for piece in pieces_of(batch, most_bytes=2 << 20):
+                ids = [x + ONE_END for x in tokens.encode(piece.column("text").to_pylist())]
                 p = np.array([hashed_vector(np.frombuffer(x, ID)) for x in ids]) @ plane
                 yield pa.record_batch(
                     [piece.column("row"), piece.column("doc_id"),
@@ -120,20 +97,18 @@ def _keyed(tokens: DataFrame) -> DataFrame:
     stats = tokens.agg(*[f(f"p{i}") for i in range(DIMS) for f in (F.avg, F.stddev_pop)]).first()
     mean = np.array([stats[2 * i] or 0.0 for i in range(DIMS)])
     width = np.array([stats[2 * i + 1] or 1.0 for i in range(DIMS)])
-    out = tokens.selectExpr("*", "0L AS curve").schema
-    arrow = to_arrow_schema(out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = np.stack([batch.column(f"p{i}").to_numpy() for i in range(DIMS)], axis=1)
-            # A smooth step sends a bell-shaped spread to nearly even cells.
-            even = 1 / (1 + np.exp(-1.702 * np.clip((p - mean) / width, -20, 20)))
-            cells = np.minimum((even * (1 << LEVELS)).astype(np.int64), (1 << LEVELS) - 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hilbert_index(cells))], schema=arrow)
+    @F.pandas_udf("long")
+    def curve(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        p = np.stack([a, b, c, d], axis=1)
+        # A smooth step sends a bell-shaped spread to nearly even cells.
+        even = 1 / (1 + np.exp(-1.702 * np.clip((p - mean) / width, -20, 20)))
+        cells = np.minimum((even * (1 << LEVELS)).astype(np.int64), (1 << LEVELS) - 1)
+        return pd.Series(hilbert_index(cells))
 
     tie = F.shiftrightunsigned(F.xxhash64("row"), 64 - TIE_BITS)
-    return tokens.mapInArrow(run, out).withColumn(
-        "key", (F.shiftleft("curve", TIE_BITS) + tie).cast("double")).drop("curve")
+    return tokens.withColumn("key", (F.shiftleft(curve(*[f"p{i}" for i in range(DIMS)]), TIE_BITS) + tie)
+                             .cast("double"))
 
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
@@ -149,6 +124,7 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, slice_tokens: int
     table gives an empty result.
     """
     spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     tokens = written(tokenised(docs, path), "tokens")
     numbers = ["row", "doc_id", "n", *[f"p{i}" for i in range(DIMS)]]
     # Row numbers are stored by now, so that the keys are the same in every job.
@@ -171,7 +147,7 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, slice_tokens: int
         before, "_slice").withColumn("at", F.col("_before") + F.coalesce(sofar, F.lit(0)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces_of(whole, "ids")):
             rows = []
             for doc, n, ids, at in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "at")]):
                 start = 0

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import pieces_of, without
+from sensorlake.llm.common import bounded_batches, pieces_of, without
 
 HALF = 64
 CODES = HALF * HALF
@@ -176,6 +176,7 @@ def trained_weights(docs: DataFrame, *, rounds: int = 3, masked: int = 5, rate:
     One word in ``masked`` of every document is masked and learned from. Weights are summed
     in two levels of partitions; ``len(weights)`` numbers reach the driver, once a round.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("text").cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

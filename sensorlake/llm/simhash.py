@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import columns_of, fresh, pieces_of, written
+from sensorlake.llm.common import bounded_batches, columns_of, fresh, pieces_of, written
 from sensorlake.llm.components import components
 
 SEED = 42
@@ -56,6 +56,7 @@ def fingerprint(text: str | None, width: int) -> int:
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id long, fp long) of every row; null and wordless texts have fingerprint 0."""
+    bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import pieces_of, without
+from sensorlake.llm.common import bounded_batches, pieces_of, without
 
 SPACE = "▁"
 # Terminals kept between batches, in characters.
@@ -108,6 +108,7 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     empty texts have no tokens and score 0. Columns of ``docs`` named like a result column
     are replaced; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     # As large as its file, and sent as plain values.
     shared = docs.sparkSession.sparkContext.broadcast(
         (vocabulary.pieces, vocabulary.byte, vocabulary.longest))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import doc_crc, pieces_of, without
+from sensorlake.llm.common import bounded_batches, doc_crc, pieces_of, without
 
 WINDOW, STEP = 40, 26
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -211,6 +211,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000
     every score is that share of toxic rows (smoothed). Columns of ``docs`` named
     ``score`` or ``predicted`` are replaced; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     model = fit(*labelled_sample(docs, labels, per_class=per_class))
     rows = without(docs, "score", "predicted")
     out = rows.selectExpr("*", "0D AS score", "0 AS predicted").schema

@@ -68,3 +68,21 @@ def test_hilbert_curve_takes_unit_steps():
     assert sorted(index) == list(range(512))
     walk = cells[np.argsort(index)]
     assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_matrix_merges_equal_the_library(tokenizer):
+    import random
+
+    from sensorlake.llm.wordbpe import ID, WordBpe
+
+    rng = random.Random(0)
+    parts = ["a", "b", "the", "'s", "É", "ß", "µ", "²", "½", "\x85", "\xa0", "\x1c", " ", "\n", "_", "-", "中", "é",
+             "́", "Σ", "İ", "<|endoftext|>", "12", "!?", "ﬁ", "don't", "…", "x" * 40]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    texts += [prose(i, 200).title() for i in range(20)] + [None]
+    own = WordBpe(PATH)
+    assert own.matrix
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, ID).tolist() for x in own.encode(texts)] == want
+    own.matrix = False
+    assert [np.frombuffer(x, ID).tolist() for x in own.encode(texts)] == want
