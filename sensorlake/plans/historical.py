@@ -25,12 +25,17 @@ class HistoricalResult:
 def score_history(df: DataFrame, scorer: Callable[[DataFrame], DataFrame] = scoring.rule_scores,
                   spec: SensorSpec = DEFAULT_SPEC) -> HistoricalResult:
     """Score every reading; invalid ones become error rows and stay out of the metrics."""
-    score, issues = quality.reading_quality()
     judged = scoring.score_or_error(scorer(df), reading_errors(spec)).withColumns({
-        "quality_score": score, "threshold_alerts": alerts.alert_count(alerts.reading_alerts())})
+        "quality_score": quality.reading_quality()[0],
+        "threshold_alerts": alerts.alert_count(alerts.reading_alerts())})
+    return _reports(judged, spec)
+
+
+def _reports(judged: DataFrame, spec: SensorSpec) -> HistoricalResult:
+    """What follows from the scored readings."""
     checks = [*alerts.reading_alerts(), *alerts.prediction_alerts()]
     poor = judged.where("quality_score < 80").select(spec.row_id, "quality_score",
-                                                     issues.alias("issues"))
+                                                     quality.reading_quality()[1].alias("issues"))
     valid = judged.where(F.col("error").isNull())
     return HistoricalResult(
         predictions=judged,
@@ -40,9 +45,16 @@ def score_history(df: DataFrame, scorer: Callable[[DataFrame], DataFrame] = scor
         summary=scoring.prediction_summary(judged))
 
 
-def write_history(result: HistoricalResult, path: str) -> None:
-    """JSON outputs: row-level results as partitioned files, reports as one row each."""
-    for name in ("predictions", "alerts", "quality_issues"):
-        getattr(result, name).write.mode("overwrite").json(f"{path}/{name}")
+def write_history(result: HistoricalResult, path: str, spec: SensorSpec = DEFAULT_SPEC) -> None:
+    """JSON outputs: row-level results as partitioned files, reports as one row each.
+
+    Readings are scored once: everything else is read off the written predictions.
+    """
+    result.predictions.write.mode("overwrite").json(f"{path}/predictions")
+    spark = result.predictions.sparkSession
+    scored = spark.read.schema(result.predictions.schema).json(f"{path}/predictions")
+    again = _reports(scored, spec)
+    for name in ("alerts", "quality_issues"):
+        getattr(again, name).write.mode("overwrite").json(f"{path}/{name}")
     for name in ("metrics", "summary"):
-        getattr(result, name).coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+        getattr(again, name).coalesce(1).write.mode("overwrite").json(f"{path}/{name}")

@@ -202,6 +202,16 @@ def test_grid_search(spark, train_rows):
     assert len(training.forest_grid(training.forest(), full=True)) == 162
 
 
+def test_split_keeps_every_classs_share(spark):
+    rows = [(i, 1 if i % 50 == 0 else 0) for i in range(5000)]
+    df = spark.createDataFrame(rows, "event_id long, `Fire Alarm` int")
+    train, test = training.split(df, "event_id")
+    for label in (0, 1):
+        n = df.where(c("Fire Alarm") == label).count()
+        assert train.where(c("Fire Alarm") == label).count() == pytest.approx(0.8 * n, abs=2)
+    assert train.count() + test.count() == 5000 and train.join(test, "event_id").isEmpty()
+
+
 def test_text_labels(spark):
     df = spark.createDataFrame([("no",), ("yes",), ("no",)], "y string")
     got = training.label_index("y").fit(df).transform(df).collect()
