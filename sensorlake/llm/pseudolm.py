@@ -5,8 +5,8 @@ word itself, and gives the code's log-probability in two steps (upper, then lowe
 Its biases start from the counts of all words. It is trained in numpy where the data
 are: every task starts from the common weights,
 learns from masked words of its documents and returns its weights, which are averaged by
-the words they were learned from. Every document is learned from in one of the rounds. A
-document's score is the sum of the conditional log-probabilities of all its words.
+the words they were learned from. Every round takes every document; the masked places move
+on by one each round, so that every place is learned from once. A document's score is the sum of the conditional log-probabilities of all its words.
 """
 
 from __future__ import annotations
@@ -79,6 +79,12 @@ def laid_out(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return line, place, np.repeat(np.arange(len(docs)), [len(d) for d in docs])
 
 
+def masked_places(place: np.ndarray, owner: np.ndarray, r: int, rounds: int) -> np.ndarray:
+    """Of every document each ``rounds``-th place, counted from ``r``; the rounds share out all places."""
+    within = np.arange(len(place)) - np.searchsorted(owner, owner)
+    return place[within % rounds == r]
+
+
 def _around(line: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.stack([line[place + o] for o in range(-SIDE, SIDE + 1) if o], axis=1)
 
@@ -170,10 +176,10 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(rows, schema=SUMS_ARROW)
 
 
-def trained_weights(docs: DataFrame, *, rounds: int = 3, masked: int = 5, rate: float = 0.2) -> np.ndarray:
-    """Weights learned from ``docs``: each round takes the documents of one hash class.
+def trained_weights(docs: DataFrame, *, rounds: int = 3, rate: float = 0.2) -> np.ndarray:
+    """Weights learned from every word of ``docs``: each round masks one in ``rounds`` of every document.
 
-    One word in ``masked`` of every document is masked and learned from. Weights are summed
+    Weights are summed
     in two levels of partitions; ``len(weights)`` numbers reach the driver, once a round.
     """
     bounded_batches(docs.sparkSession)
@@ -189,7 +195,6 @@ def trained_weights(docs: DataFrame, *, rounds: int = 3, masked: int = 5, rate:
 
     total = _summed(texts.mapInArrow(count, SUMS))
     flat = with_frequencies(initial(), total[0]) if total else initial()
-    share = F.pmod(F.xxhash64("text"), F.lit(rounds))
     for r in range(rounds):
         start, step = flat, rate / (1 + r)
 
@@ -198,16 +203,15 @@ def trained_weights(docs: DataFrame, *, rounds: int = 3, masked: int = 5, rate:
             salt = 0
             for batch in batches:
                 for piece in pieces_of(batch, most_bytes=2 << 20):
-                    line, place, _ = laid_out([codes_of(t.as_py(), known) for t in piece.column("text")])
-                    # Which words are masked depends on the words alone.
-                    mask = place[(line[place] * 31 + line[place - 1] * 17 + line[place + 1] + r) % masked == 0]
+                    line, place, owner = laid_out([codes_of(t.as_py(), known) for t in piece.column("text")])
+                    mask = masked_places(place, owner, r, rounds)
                     learn(own, squares, line, mask, step)
                     words += len(mask)
                     salt = (salt * 31 + len(place)) % 61
             if words:
                 yield pa.RecordBatch.from_pylist(list(_rows(own, words, salt)), schema=SUMS_ARROW)
 
-        total = _summed(texts.where(share == r).mapInArrow(run, SUMS))
+        total = _summed(texts.mapInArrow(run, SUMS))
         if total:
             flat = (total[0] / total[1]).astype(np.float32)
     return flat

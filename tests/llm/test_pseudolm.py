@@ -55,6 +55,22 @@ def test_learned_text_scores_higher(make_docs):
     assert np.mean(good) > -np.log(8) + 0.1  # better than word frequencies allow
 
 
+def test_every_context_is_learned(make_docs):
+    """Codes of one residue modulo 5: a mask chosen by a sum of codes would pass over all of them."""
+    words = [w for w in (f"w{i}" for i in range(200)) if lm._Codes()[w] % 5 == 3][:8]
+    assert len({lm._Codes()[w] for w in words}) == 8
+    docs = [(i, " ".join(words[(i + n) % 8] for n in range(400))) for i in range(120)]
+    got = [r["mean_log_prob"] for r in lm.pseudo_likelihood(make_docs(docs)).collect()]
+    assert np.mean(got) > -np.log(8) + 0.1
+
+
+def test_rounds_share_out_all_places():
+    line, place, owner = lm.laid_out([np.arange(n) for n in (7, 0, 1, 12)])
+    parts = [lm.masked_places(place, owner, r, 3) for r in range(3)]
+    assert sorted(np.concatenate(parts)) == sorted(place)
+    assert [len(p) for p in parts] == [3 + 1 + 4, 2 + 4, 2 + 4]
+
+
 def test_sums_match_single_documents(make_docs):
     docs = make_docs([(i, prose(i, 20 + i)) for i in range(30)])
     flat = lm.trained_weights(docs)
