@@ -1,10 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 The word n-grams of all test items are looked up in every document, through a bitmap of
-fixed size first and an exact join after. Document counts of the n-grams follow from the
-hits; in every run of ``WINDOW`` neighbouring n-grams of an item the rarest is a seed, so
-that a copied stretch holds one even if all its n-grams are common. Documents that share
-seeds with an item are aligned with it word by word, which scores edited copies, too.
+fixed size first and an exact join after. Every n-gram found is a seed: neighbouring ones
+name the same start of the item, so that leaving out any but the last of a copied stretch
+changes nothing, and leaving out that one loses the stretch. Documents that share seeds
+with an item are aligned with it word by word, which scores edited copies, too, unless too
+few of the item's words stand around the seeds to reach the threshold.
 """
 
 from __future__ import annotations
@@ -15,14 +16,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import bounded_batches, fresh, pieces_of, written
 
 WORD = re.compile(r"\w+")
 GRAM = 3
-WINDOW = 3
 # Bits of the bitmaps that go to every task (2 MB).
 BITS = 24
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -93,8 +93,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return score, j, end
 
 
-def best_alignment(item: np.ndarray, doc: np.ndarray, starts: list[int]) -> tuple[float, int, int]:
-    """The best of the alignments around where the item would start, as a share of the full score."""
+def best_alignment(item: np.ndarray, doc: np.ndarray, starts: list[int],
+                   least: float = 0.0) -> tuple[float, int, int]:
+    """The best of the alignments around where the item would start, as a share of the full score.
+
+    Stretches that hold less than the share ``least`` of the item's words cannot score it
+    and are not aligned.
+    """
     slack, spans = len(item) // 4 + 4, []
     for s in sorted(starts):
         lo, hi = max(0, s - slack), min(len(doc), s + len(item) + slack)
@@ -104,6 +109,8 @@ def best_alignment(item: np.ndarray, doc: np.ndarray, starts: list[int]) -> tupl
             spans.append([lo, hi])
     best = (0.0, 0, 0)
     for lo, hi in spans:
+        if np.isin(item, doc[lo:hi]).mean() < least:
+            continue
         score, start, end = align(item, doc[lo:hi])
         if score / (MATCH * len(item)) > best[0]:
             best = (score / (MATCH * len(item)), lo + start, lo + end)
@@ -111,7 +118,7 @@ def best_alignment(item: np.ndarray, doc: np.ndarray, starts: list[int]) -> tupl
 
 
 ITEM_GRAMS = "ikey long, size int, pos int, gram long"
-HITS = "doc_id long, tid long, pos int, gram long, first int"
+HITS = "doc_id long, tid long, pos int, gram long"
 LEAKS = "doc_id long, item_id long, score double, start_word int, end_word int"
 
 
@@ -140,37 +147,23 @@ def _hits(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
         known, own = _Hashes(), shared.value
         for batch in batches:
             for piece in pieces_of(batch):
-                rows: list[list[np.ndarray]] = [[], [], [], [], []]
+                rows: list[list[np.ndarray]] = [[], [], [], []]
                 for doc, tid, text in zip(*[piece.column(c) for c in ("doc_id", "tid", "text")]):
                     words = word_hashes(text.as_py(), known)
                     for size in sizes:
                         grams = gram_hashes(words, size)
                         pos = np.flatnonzero(marked(own, grams))
                         if len(pos):
-                            found = grams[pos]
-                            first = np.zeros(len(pos), np.int32)
-                            first[np.unique(found, return_index=True)[1]] = 1
                             for r, v in zip(rows, (np.full(len(pos), doc.as_py()), np.full(len(pos), tid.as_py()),
-                                                   pos.astype(np.int32), found, first)):
+                                                   pos.astype(np.int32), grams[pos])):
                                 r.append(v)
                 if rows[0]:
                     yield pa.record_batch([pa.array(np.concatenate(r)) for r in rows],
-                                          names=["doc_id", "tid", "pos", "gram", "first"])
+                                          names=["doc_id", "tid", "pos", "gram"])
 
     return docs.select("doc_id", "tid", "text").mapInArrow(run, HITS)
 
 
-def _seeds(grams: DataFrame, hits: DataFrame) -> DataFrame:
-    """Of each item's n-grams the rarest of every ``WINDOW`` neighbours."""
-    counts = hits.groupBy("gram").agg(F.sum("first").alias("docs"))
-    counted = grams.join(counts, "gram", "left").withColumn(
-        "rank", F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "pos"))
-    item = Window.partitionBy("ikey").orderBy("pos")
-    chosen = counted.select("ikey", F.min("rank").over(item.rowsBetween(0, WINDOW - 1)).alias("rank"))
-    kept = chosen.select("ikey", F.col("rank.pos").alias("pos")).distinct()
-    return grams.join(kept, ["ikey", "pos"]).select("ikey", "gram", F.col("pos").alias("ipos"))
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
           least_words: int = 8) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word) of documents that hold an item, or an edited copy.
@@ -192,8 +185,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
     grams = written(_item_grams(items), "item-grams")
     sizes = [r["size"] for r in grams.select("size").distinct().collect()]  # at most GRAM
     hits = written(_hits(texts, bitmap(grams, "gram"), sizes), "hits")
-    seeds = _seeds(grams, hits)
-    met = hits.select("doc_id", "tid", "gram", "pos").join(seeds, "gram")
+    met = hits.join(grams.select("ikey", "gram", F.col("pos").alias("ipos")), "gram")
     pairs = written(met.groupBy("doc_id", "tid", "ikey").agg(
         F.array_sort(F.collect_set(F.col("pos") - F.col("ipos"))).alias("starts")), "pairs")
     shared = docs.sparkSession.sparkContext.broadcast(
@@ -214,8 +206,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
             rows = []
             for r in batch.to_pylist():
                 item = word_hashes(r["item"], known)
-                share, start, end = best_alignment(item, word_hashes(r["text"], known), r["starts"])
-                if share >= (threshold if len(item) >= least_words else 1.0):
+                least = threshold if len(item) >= least_words else 1.0
+                share, start, end = best_alignment(item, word_hashes(r["text"], known), r["starts"], least)
+                if share >= least:
                     rows.append((r["doc_id"], r["item_id"], share, start, end))
             yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(
                 (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()))],

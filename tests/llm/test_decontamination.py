@@ -57,6 +57,19 @@ def test_copies_and_edited_copies(make_docs, spark):
     assert len(got) == 16
 
 
+def test_densely_edited_copies(make_docs, spark):
+    """Every fourth or fifth word changed, the last one too: no five words in a row stay, and one copy of each."""
+    items = [(i, prose(1000 + i, 40 + i)) for i in range(8)]
+    docs = [(100 + i, prose(i, 80)) for i in range(10)]
+    for i, text in items:
+        words = text.split()
+        words = [f"new{n}" if (len(words) - 1 - n) % (4 + i % 2) == 0 else w for n, w in enumerate(words)]
+        docs.append((200 + i, f"{prose(90 + i, 20)} {' '.join(words)} {prose(70 + i, 20)}"))
+    got, true = ours(make_docs(docs), bench(spark, items)), brute(docs, items)
+    assert got.keys() == true.keys() and all(abs(got[k] - true[k]) < 1e-9 for k in got)
+    assert len(got) == 8
+
+
 def test_common_passages_still_count(make_docs, spark):
     """An item that most documents hold has no rare n-gram, but is found in all of them."""
     item = prose(7, 30)
