@@ -13,7 +13,7 @@ from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.multiindex import nearest
 from sensorlake.llm.packing import pack
-from sensorlake.llm.pseudolm import pseudo_likelihood
+from sensorlake.llm.pseudolm import word_likelihood
 from sensorlake.llm.sharding import histogram_shards
 from sensorlake.llm.simhash import near_duplicates
 from sensorlake.llm.tokencount import token_counts, zipf_vocabulary
@@ -123,4 +123,4 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under a network trained on all of them."""
-    return pseudo_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return word_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"))

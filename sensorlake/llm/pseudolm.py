@@ -7,20 +7,26 @@ are: every task starts from the common weights,
 learns from masked words of its documents and returns its weights, which are averaged by
 the words they were learned from. Every round takes every document; the masked places move
 on by one each round, so that every place is learned from once. A document's score is the sum of the conditional log-probabilities of all its words.
+
+Many words share a code. ``word_likelihood`` adds to a code's log-probability that of the
+word among the words of its code, from counts over the whole corpus that stay a table; the
+``COMMON`` commonest words are looked up in every task, all others are joined.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import bounded_batches, pieces_of, without
+from sensorlake.llm.common import bounded_batches, fresh, pieces_of, without, written
 
 HALF = 64
 CODES = HALF * HALF
@@ -34,6 +40,8 @@ SHAPES = (("embed", (CODES + 1, DIMS)), ("mix", (2 * SIDE * DIMS, HIDDEN)), ("mi
 SIZES = [int(np.prod(s)) for _, s in SHAPES]
 # Weights travel in rows of so many numbers.
 CHUNK = 4096
+# Words whose log-probabilities go to every task (1 MB).
+COMMON = 1 << 16
 
 
 class _Codes(dict):
@@ -253,3 +261,77 @@ def pseudo_likelihood(docs: DataFrame, *, rounds: int = 3) -> DataFrame:
                      pa.array([t / k if k else None for t, k in zip(total, n)], pa.float64())], schema=arrow)
 
     return rows.mapInArrow(run, out)
+
+
+class _Keys(dict):
+    """64-bit hashes of words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        key = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+        return key
+
+
+def word_log_shares(docs: DataFrame) -> DataFrame:
+    """(word long, n long, log_share double) of every word: its share of the places of its code."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, known = _Keys(), _Codes()
+        for batch in batches:
+            for piece in pieces_of(batch):
+                seen = Counter()
+                for t in piece.column("text"):
+                    seen.update((t.as_py() or "").lower().split())
+                yield pa.record_batch([pa.array([keys[w] for w in seen], pa.int64()),
+                                       pa.array([known[w] for w in seen], pa.int32()),
+                                       pa.array(seen.values(), pa.int64())], names=["word", "code", "n"])
+
+    bounded_batches(docs.sparkSession)
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word long, code int, n long")
+    words = written(counts.groupBy("word", "code").agg(F.sum("n").alias("n")), "words")
+    codes = words.groupBy("code").agg(F.sum("n").alias("total"))
+    return words.join(F.broadcast(codes), "code").select(   # at most CODES rows
+        "word", "n", F.log(F.col("n") / F.col("total")).alias("log_share"))
+
+
+def mean_log_shares(docs: DataFrame) -> DataFrame:
+    """(tid long, mean_share double): mean ``log_share`` of the words of each text, by its hash."""
+    shares = written(word_log_shares(docs), "word-shares")
+    top = shares.orderBy(F.desc("n"), "word").limit(COMMON).select("word", "log_share").toArrow()
+    common = docs.sparkSession.sparkContext.broadcast(
+        dict(zip(top.column("word").to_pylist(), top.column("log_share").to_pylist())))
+    texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("tid"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, own = _Keys(), common.value
+        for batch in batches:
+            for piece in pieces_of(batch, most_bytes=2 << 20):
+                rows: list[tuple] = []
+                for tid, t in zip(piece.column("tid").to_pylist(), piece.column("text")):
+                    found = [own.get(k, k) for k in map(keys.__getitem__, (t.as_py() or "").lower().split())]
+                    rare = Counter(x for x in found if type(x) is int)
+                    n = len(found) - rare.total()
+                    total = sum(x for x in found if type(x) is float)
+                    if n:
+                        rows.append((tid, None, n, total))
+                    rows.extend((tid, k, m, None) for k, m in rare.items())
+                yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(
+                    (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["tid", "word", "n", "total"])
+
+    parts = written(texts.mapInArrow(run, "tid long, word long, n long, total double"), "shares-of-texts")
+    joined = parts.where("word IS NOT NULL").join(shares.select("word", "log_share"), "word").select(
+        "tid", "n", (F.col("n") * F.col("log_share")).alias("total"))
+    every = parts.where("word IS NULL").select("tid", "n", "total").unionByName(joined)
+    # Repeated texts add to both sums alike.
+    return every.groupBy("tid").agg((F.sum("total") / F.sum("n")).alias("mean_share"))
+
+
+def word_likelihood(docs: DataFrame, *, rounds: int = 3) -> DataFrame:
+    """``docs`` less ``text``, with the columns of ``pseudo_likelihood`` for words instead of their codes."""
+    tid, share, own = fresh(docs, "_tid", "_share", "_own")
+    scored = pseudo_likelihood(docs.withColumn(tid, F.xxhash64(F.col("text").cast("string"))), rounds=rounds).drop("text")
+    shares = mean_log_shares(docs).select(F.col("tid").alias(own), F.col("mean_share").alias(share))
+    added = F.coalesce(share, F.lit(0.0))
+    return (scored.join(shares, F.col(tid) == F.col(own), "left")
+            .withColumn("log_likelihood", F.col("log_likelihood") + F.col("n_words") * added)
+            .withColumn("mean_log_prob", F.col("mean_log_prob") + added).drop(tid, own, share))

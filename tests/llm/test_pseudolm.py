@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -81,6 +82,26 @@ def test_sums_match_single_documents(make_docs):
         assert abs(r["log_likelihood"] - lm.log_probabilities(lm.views(flat), line, place).sum()) < 1e-2
 
 
+def test_words_that_share_a_code(make_docs, monkeypatch):
+    """Every word has its own probability, looked up or joined; repeated texts count each time."""
+    monkeypatch.setattr(lm, "COMMON", 20)
+    rows = [(i, prose(i % 50, 60)) for i in range(80)] + [(90, None), (91, " ")]
+    docs = make_docs(rows)
+    words = Counter(w for _, t in rows for w in (t or "").lower().split())
+    known, codes = lm._Codes(), Counter()
+    for w, n in words.items():
+        codes[known[w]] += n
+    assert len(codes) < len(words)
+    base = {r["doc_id"]: r for r in lm.pseudo_likelihood(docs).collect()}
+    got = lm.word_likelihood(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        own = (dict(rows)[r["doc_id"]] or "").split()
+        more = sum(np.log(words[w] / codes[known[w]]) for w in own)
+        assert abs(r["log_likelihood"] - base[r["doc_id"]]["log_likelihood"] - more) < 1e-2
+        assert r["n_words"] == len(own) and (r["mean_log_prob"] is None) == (not own)
+
+
 def test_odd_rows(odd, nothing):
     got = lm.pseudo_likelihood(odd)
     assert sorted(got.columns) == sorted({*odd.columns, "n_words", "log_likelihood", "mean_log_prob"})
