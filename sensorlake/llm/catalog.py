@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.common import doc_crc, table
 from sensorlake.llm.decontamination import leaks
+from sensorlake.llm.infill import fill_in_middle, restored
 from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.multiindex import nearest
@@ -124,3 +125,33 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under a network trained on all of them."""
     return word_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, and the text rebuilt from that."""
+    moved = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=1)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        digest(F.col("output")).alias("output_sha256"), digest(restored()).alias("restored_sha256"))
+
+
+ORACLES["op13_fill_in_middle"] = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1,
+    CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2, CAST('0x' || h[17:24] AS BIGINT) % 100 AS d3,
+    CAST('0x' || h[25:32] AS BIGINT) % 100 AS d4 FROM units),
+cut AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS head, array_to_string(u[greatest(c1, c2) + 1:], '') AS tail,
+    array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d3 >= 90
+      THEN 'plain' WHEN d4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(head) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || tail || '<P>' || head || '<M>' || middle
+    ELSE '<P>' || head || '<S>' || tail || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM cut
+"""
