@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.common import doc_crc, table
 from sensorlake.llm.decontamination import leaks
+from sensorlake.llm.htmltext import extract_main_text
 from sensorlake.llm.infill import fill_in_middle, restored
 from sensorlake.llm.language import identify
 from sensorlake.llm.linededup import drop_repeated_lines
@@ -127,6 +128,13 @@ def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its middle moved to the end, and the text rebuilt from that."""
