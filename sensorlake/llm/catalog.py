@@ -18,6 +18,7 @@ from sensorlake.llm.packing import pack
 from sensorlake.llm.pseudolm import word_likelihood
 from sensorlake.llm.sharding import histogram_shards
 from sensorlake.llm.simhash import near_duplicates
+from sensorlake.llm.spelling import spelling_variants
 from sensorlake.llm.tokencount import token_counts, zipf_vocabulary
 from sensorlake.llm.toxicity import toxicity_scores
 
@@ -135,6 +136,52 @@ def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with their commoner forms; every 31st run is misspelled first."""
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), least=7, seen=2, every=31, ratio=10)
+
+
+# The CRC-32 goes through the bytes' halves with the sixteen fixed values of its table.
+ORACLES["op12_spelling_variants"] = """
+WITH RECURSIVE raw AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name,
+    unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run FROM documents),
+runs AS (
+  SELECT name, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM raw WHERE length(run) >= 7 GROUP BY ALL),
+halves AS (SELECT *, hex(name || ':' || run) AS hx FROM runs),
+hashed AS (
+  SELECT *, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(hx)),
+      lambda i: CAST(strpos('0123456789ABCDEF', hx[i + 2 - 2 * (i % 2)]) - 1 AS BIGINT)),
+    lambda crc, half: xor([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+      3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108
+      ][(xor(crc, half) & 15) + 1], crc >> 4))) AS h FROM halves),
+altered AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, k FROM hashed),
+words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM altered WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+less AS (
+  SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT l.word, l.n, w.word AS other, w.n AS other_n FROM less l JOIN words w ON l.rest = w.word),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT word, other, other_n FROM shorter
+  UNION ALL SELECT other, word, n FROM shorter),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
+  FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= 10 * w.n THEN b.form END AS form,
+    CASE WHEN b.form_n >= 10 * w.n THEN b.form_n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+ways AS (
+  SELECT word, coalesce(form, word) AS at, form IS NULL AS done FROM formed
+  UNION ALL SELECT w.word, coalesce(f.form, f.word), f.form IS NULL FROM ways w JOIN formed f ON f.word = w.at WHERE NOT w.done)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN ways w ON w.word = f.word AND w.done
+"""
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its middle moved to the end, and the text rebuilt from that."""
