@@ -5,7 +5,8 @@ Here each key's timeline is cut into time slices; ``(key, slice)`` is the unit o
 work, and only what has to cross a slice border is exchanged a second time:
 
 * ``rows_window``   frames counted in rows: the few rows next to a border.
-* ``range_sums``    sums over frames in seconds: a copy of each slice's last seconds.
+* ``sliding_sums``  sums over the last values of a whole number (seconds, row numbers): blocks as
+                    wide as the frame, so that a frame is the end of one block and the start of the next.
 * ``running``       unbounded prefixes: one subtotal row per ``(key, slice)``.
 * ``islands``       runs of a true condition: only the first and last row of each run.
 
@@ -76,33 +77,42 @@ def rows_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], *exprs
     return inner.drop(*helpers).unionByName(border.where(unfinished).drop(unfinished))
 
 
-def range_sums(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, sums: dict[str, Column],
-               *, slice_seconds: float | None = None) -> DataFrame:
-    """Add sums over the last ``seconds`` seconds up to each row (peers included).
+def sliding_sums(df: DataFrame, keys: Sequence[str], at: Column, reach: int, sums: dict[str, Column]) -> DataFrame:
+    """Add sums over a key's rows whose ``at`` (whole numbers) lies in ``[at - reach, at]`` of each row.
 
-    A moving frame would be added up anew for every row. Each sum is the difference of two
-    running sums instead: up to this second, less up to the last second before the frame.
-    Both frames start at the slice's first row, so that the work is linear in the rows.
-    NULL counts as nothing, and a frame without any value has sum 0.
+    Blocks are ``reach + 1`` wide, so that a frame is the start of its row's block and the end
+    of the block before. A block's starts are running sums forwards; its ends, running sums
+    backwards over a copy of its values in the next block, where a copy drops out ``reach``
+    after its own place. Nothing is subtracted, so that a large value leaves no trace in
+    frames without it, and the work is linear in the rows. Blocks lie at fixed places and
+    ``(key, block)`` is the unit of work: twice a frame's rows at most, however busy the key.
+
+    NULL counts as nothing, and a frame without any value has sum 0. Rows without ``at`` form
+    one frame of their own. Rows of one ``at`` are peers: each has the sum of all of them.
     """
-    at = F.unix_seconds(c(ts).cast("timestamp"))
-    rows, by = df.withColumn("_at", at), _by(keys)
-    if slice_seconds is not None:
-        width = int(max(slice_seconds, seconds, 1))
-        own = F.floor(at / F.lit(width))
-        needed_next = at >= (own + 1) * width - seconds
-        rows = rows.withColumns({"_own": own, "_slice": F.explode(
-            F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own)))})
-        by = _by(keys, "_slice")
-    window = Window.partitionBy(*by).orderBy("_at")
-    upto = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = window.rangeBetween(Window.unboundedPreceding, -seconds - 1)
+    start = F.col("_at") - F.pmod(F.col("_at"), F.lit(reach + 1))
+    rows = df.withColumns({"_at": at.cast("long"), **{f"_v_{n}": e for n, e in sums.items()}}).withColumn("_start", start)
+    both = F.when(F.col("_start").isNull(), F.array("_start")).otherwise(F.array("_start", F.col("_start") + reach + 1))
+    own = F.col("_start").eqNullSafe(F.col("_block"))
+    dealt = rows.withColumn("_block", F.explode(both)).withColumn("_own", own)
+    # Copies carry their values only.
+    dealt = dealt.withColumns({n: F.when(F.col("_own"), c(n)) for n in df.columns if n not in keys})
+    by = _by(keys, "_block")
+    forwards = Window.partitionBy(*by).orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.when(F.col("_own"), F.col("_at")).otherwise(F.col("_at") + reach)
+    backwards = (Window.partitionBy(*by).orderBy(until.desc(), F.col("_own"))
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     zero = F.lit(0)
-    out = rows.withColumns({n: F.coalesce(F.sum(e).over(upto), zero) - F.coalesce(F.sum(e).over(earlier), zero)
-                            for n, e in sums.items()})
-    if slice_seconds is not None:
-        out = out.where(F.col("_slice").eqNullSafe(F.col("_own"))).drop("_own", "_slice")
-    return out.drop("_at")
+    starts = {f"_p_{n}": F.sum(F.when(F.col("_own"), F.col(f"_v_{n}"))).over(forwards) for n in sums}
+    ends = {f"_e_{n}": F.sum(F.when(~F.col("_own"), F.col(f"_v_{n}"))).over(backwards) for n in sums}
+    out = dealt.withColumns(starts).withColumns(ends).where("_own").withColumns(
+        {n: F.coalesce(F.col(f"_p_{n}"), zero) + F.coalesce(F.col(f"_e_{n}"), zero) for n in sums})
+    return out.drop("_at", "_start", "_block", "_own", *[f"_{x}_{n}" for n in sums for x in "vpe"])
+
+
+def range_sums(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, sums: dict[str, Column]) -> DataFrame:
+    """Add sums over the last ``seconds`` seconds up to each row (peers included)."""
+    return sliding_sums(df, keys, F.unix_seconds(c(ts).cast("timestamp")), seconds, sums)
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],

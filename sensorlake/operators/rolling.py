@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import finite, ratio, rows_from
 from sensorlake.operators.ordered import (islands, range_sums, rows_window, running,
-                                          slice_seconds_for)
+                                          slice_seconds_for, sliding_sums)
 from sensorlake.spec import DEFAULT_SPEC, DOUBLE_CHANNELS, SUSTAINED_RULES, SensorSpec, c
 
 
@@ -61,24 +61,16 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], columns: dict[str, str], *,
                  spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Mean of the last ``size`` rows for each ``{output: input}`` column.
 
-    A wide frame would be summed anew for every row. The mean comes from running
-    sums instead: the sum up to this row minus the sum up to ``size`` rows before.
-    NaN and infinities are missing values: one in a running sum would spoil all later rows.
+    A wide frame would be summed anew for every row; sums over row numbers are linear.
+    NaN and infinities are missing values.
     """
-    def sums(w):
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        value = {o: finite(c(i).cast("double")) for o, i in columns.items()}
-        return {**{f"_s_{o}": F.sum(v).over(upto) for o, v in value.items()},
-                **{f"_n_{o}": F.count(v).over(upto) for o, v in value.items()}}
-
-    def means(w):
-        earlier = lambda n: F.coalesce(F.lag(n, size).over(w), F.lit(0))
-        return {o: F.try_divide(F.coalesce(F.col(f"_s_{o}"), F.lit(0)) - earlier(f"_s_{o}"),
-                                F.col(f"_n_{o}") - earlier(f"_n_{o}")) for o in columns}
-
-    out = rows_window(df, keys, [spec.event_time, spec.row_id], sums, means, before=size,
-                      slice_seconds=_slices(df, keys, spec))
-    return out.drop(*[f"_{x}_{o}" for x in "sn" for o in columns])
+    value = {o: finite(c(i).cast("double")) for o, i in columns.items()}
+    numbered_rows = running(df, keys, [spec.event_time, spec.row_id], {"_row": F.lit(1)},
+                            slice_seconds=_slices(df, keys, spec))
+    sums = {**{f"_s_{o}": v for o, v in value.items()}, **{f"_n_{o}": v.isNotNull().cast("long") for o, v in value.items()}}
+    out = sliding_sums(numbered_rows, keys, F.col("_row"), size - 1, sums)
+    return out.withColumns({o: F.try_divide(F.col(f"_s_{o}"), F.col(f"_n_{o}")) for o in columns}).drop(
+        "_row", *[f"_{x}_{o}" for x in "sn" for o in columns])
 
 
 def rolling_rates(log: DataFrame, keys: Sequence[str], *, seconds: int = 300,
@@ -94,12 +86,10 @@ def rolling_rates(log: DataFrame, keys: Sequence[str], *, seconds: int = 300,
     per_second = log.groupBy(*[c(k) for k in keys], at.alias("at")).agg(
         F.count_if(ok).alias("processed"), F.count_if("failed").alias("failed"),
         F.count_if(ok & F.col("anomaly")).alias("anomalies"),
-        F.sum(F.when(ok, finite(F.col("quality")))).alias("quality_sum"),
+        F.sum(F.when(ok, finite(F.col("quality")).try_cast("decimal(17,13)"))).alias("quality_sum"),
         F.sum(F.when(ok, finite(F.col("processing_ms")))).alias("ms_sum"))
     sums = ("processed", "failed", "anomalies", "quality_sum", "ms_sum")
-    # One row per key and second, so a day's slice has a known size.
-    out = range_sums(per_second, keys, "at", seconds, {f"w_{n}": F.col(n) for n in sums},
-                     slice_seconds=86400)
+    out = range_sums(per_second, keys, "at", seconds, {f"w_{n}": F.col(n) for n in sums})
     w = {n: F.col(f"w_{n}") for n in sums}
     return out.select(
         *[c(k) for k in keys], "at",
@@ -107,7 +97,8 @@ def rolling_rates(log: DataFrame, keys: Sequence[str], *, seconds: int = 300,
         ratio(w["failed"], w["processed"] + w["failed"]).alias("error_rate"),
         ratio(w["failed"], w["processed"]).alias("error_ratio"),
         ratio(w["anomalies"], w["processed"]).alias("anomaly_rate"),
-        ratio(w["quality_sum"], w["processed"]).alias("quality"),
+        F.coalesce(F.try_divide(w["quality_sum"], w["processed"].cast("decimal(19,0)")).cast("double"),
+                   F.lit(0.0)).alias("quality"),
         (ratio(w["ms_sum"], w["processed"]) / 1000).alias("processing_seconds"))
 
 
@@ -133,7 +124,7 @@ def counter_rate(df: DataFrame, keys: Sequence[str], counter: str, *, seconds: i
     delta = F.when(F.col("_before").isNull(), 0).when(
         c(counter) < F.col("_before"), c(counter)).otherwise(c(counter) - F.col("_before"))
     moved = steps.withColumn("_delta", delta).drop("_before")
-    out = range_sums(moved, keys, spec.event_time, seconds, {"_sum": F.col("_delta")}, slice_seconds=width)
+    out = range_sums(moved, keys, spec.event_time, seconds, {"_sum": F.col("_delta")})
     return out.withColumn("rate", F.col("_sum") / seconds).drop("_sum", "_delta")
 
 

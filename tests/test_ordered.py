@@ -2,12 +2,15 @@
 
 import datetime as dt
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sensorlake.operators.ordered import islands, range_sums, rows_window, running, slice_seconds_for
+from sensorlake.operators.rolling import health_warnings, rolling_mean, rolling_rates
+from sensorlake.spec import DEFAULT_SPEC
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -43,11 +46,55 @@ def test_rows_window(skewed, width):
     same(got, plain, ["id", "s", "p", "q"])
 
 
-@pytest.mark.parametrize("width", [None, 1, 60, 100000])
-def test_range_sums(skewed, width):
-    got = range_sums(skewed, ["key"], "ts", 120, {"s": F.col("v")}, slice_seconds=width)
-    w = Window.partitionBy("key").orderBy(F.unix_seconds("ts")).rangeBetween(-120, 0)
-    same(got, skewed.withColumn("s", F.sum("v").over(w)), ["id", "s"])
+@pytest.mark.parametrize("seconds", [0, 1, 59, 120, 100000])
+def test_range_sums(skewed, seconds):
+    got = range_sums(skewed, ["key"], "ts", seconds, {"s": F.col("v"), "t": F.when(F.col("on"), F.col("id"))})
+    w = Window.partitionBy("key").orderBy(F.unix_seconds("ts")).rangeBetween(-seconds, 0)
+    assert got.columns == [*skewed.columns, "s", "t"]
+    same(got, skewed.withColumns({"s": F.sum("v").over(w), "t": F.coalesce(F.sum(F.when(F.col("on"), F.col("id"))).over(w), F.lit(0))}),
+         ["id", "key", "v", "s", "t"])
+
+
+def test_range_sums_without_times_and_keys(spark):
+    rows = [(1, None, 1.0), (2, None, 2.0), (3, BASE, 4.0), (4, BASE + dt.timedelta(seconds=9), None),
+            (5, dt.datetime(1969, 12, 31, 23, 59, 58, tzinfo=dt.timezone.utc), 8.0),
+            (6, dt.datetime(1970, 1, 1, 0, 0, 1, tzinfo=dt.timezone.utc), 16.0)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp, v double")
+    got = {r.id: r.s for r in range_sums(df, [], "ts", 10, {"s": F.col("v")}).collect()}
+    assert got == {1: 3.0, 2: 3.0, 3: 4.0, 4: 4.0, 5: 8.0, 6: 24.0}
+    assert range_sums(df.limit(0), [], "ts", 10, {"s": F.col("v")}).collect() == []
+
+
+def test_a_large_value_leaves_later_frames_exact(spark):
+    """Nothing is subtracted: frames without the value are the sums of their own rows."""
+    rows = [(i, "a", BASE + dt.timedelta(seconds=i), 1e17 if i == 5 else 0.1 * i) for i in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, key string, timestamp timestamp, v double")
+    got = {r.event_id: r.s for r in range_sums(df, ["key"], "timestamp", 3, {"s": F.col("v")}).collect()}
+    mean = {r.event_id: r.m for r in rolling_mean(df, ["key"], {"m": "v"}, size=4).collect()}
+    for i in range(9, 200):
+        own = [0.1 * j for j in range(i - 3, i + 1)]
+        assert got[i] == pytest.approx(sum(own), rel=1e-15) and mean[i] == pytest.approx(sum(own) / 4, rel=1e-15)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_plain_and_sliced_means_are_equal_to_the_bit(skewed, size):
+    rows = skewed.withColumnsRenamed({"id": "event_id", "ts": "timestamp"}).withColumn("v", F.col("v") / 7)
+    got = [{r.event_id: r.m for r in rolling_mean(rows, ["key"], {"m": "v"}, size=size, spec=spec).collect()}
+           for spec in (DEFAULT_SPEC, replace(DEFAULT_SPEC, slice_seconds=90.0), replace(DEFAULT_SPEC, slice_seconds=1e6))]
+    w = Window.partitionBy("key").orderBy("timestamp", "event_id").rowsBetween(1 - size, 0)
+    want = {r.event_id: r.m for r in rows.withColumn("m", F.avg("v").over(w)).collect()}
+    assert got[0] == got[1] == got[2] and got[0] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("quality", [0.8, 0.1, 0.7, 1.0, 1 / 3])
+def test_equal_scores_have_just_that_mean(spark, quality):
+    """Healthy data raise no alarm, whatever the number of rows in a frame."""
+    rows = [("a", BASE + dt.timedelta(seconds=i), False, False, quality, 5.0) for i in range(300)]
+    log = spark.createDataFrame(rows, "key string, timestamp timestamp, failed boolean, anomaly boolean, quality double, processing_ms double")
+    rates = rolling_rates(log, ["key"], seconds=120)
+    assert {round(r.quality, 12) for r in rates.collect()} == {round(quality, 12)}
+    if quality in (0.8, 1.0):
+        assert health_warnings(rates, "key").where("warning = 'LOW_QUALITY'").count() == 0
 
 
 @pytest.mark.parametrize("width", [None, 90])
