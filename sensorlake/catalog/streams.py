@@ -9,17 +9,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.catalog.base import ORACLES, SPEC, long_cte, query, readings, rounded, tidy
+from sensorlake.catalog.base import ORACLES, SPEC, hops, long_cte, query, readings, rounded, tidy
+from sensorlake.catalog.detection import _M1, _WINDOW_AGG
 from sensorlake.catalog.intake import _FAULTS, _N_ERRORS
+from sensorlake.catalog.sequences import _LOG
 from sensorlake.operators import scoring, windows
 from sensorlake.plans import historical, training
 from sensorlake.plans.processing import processing_log
 from sensorlake.session import scratch_dir
-from sensorlake.sources.kafka import file_stream
+from sensorlake.sources.kafka import as_messages, file_stream
 from sensorlake.sources.payloads import payloads
 from sensorlake.sources.readings import project_readings
 from sensorlake.spec import DOUBLE_CHANNELS, c
 from sensorlake.streaming import pipeline
+from sensorlake.streaming.current import alert_transitions, latest, open_alerts
+from sensorlake.streaming.monitor import PREDICTION_SCHEMA, monitor_report, monitor_samples, parse_predictions, start_monitor
+from sensorlake.streaming.progress import ProgressLog, progress_table, progress_totals
+from sensorlake.streaming.replay import closable, in_parts, replay
 from sensorlake.streaming.stateful import rolling_scores_stream
 
 
@@ -29,6 +35,12 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return project_readings(file_stream(spark, f"{d}/events*.parquet", schema, "parquet"))
 
 
+def _parted(spark: SparkSession, d: str, name: str, parts: int = 4) -> DataFrame:
+    """Readings streamed in several micro-batches, from files written in order of time."""
+    rows = readings(spark, d)
+    return file_stream(spark, in_parts(rows, scratch_dir(spark, name), parts), rows.schema, "parquet", 1)
+
+
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     """JSON messages streamed from the event files, with broker columns."""
     rows = payloads(_stream(spark, d))
@@ -61,10 +73,12 @@ def _config(spark: SparkSession, name: str) -> pipeline.StreamConfig:
 
 @query("j01_streamed_windows")
 def j01(spark, d):
-    out = pipeline.analytics(_stream(spark, d), _config(spark, "j01"))
-    kept = out.drop("unique_devices", "unique_locations", "quality_score", "quality_issues",
-                    "data_completeness", "quality_warning")
-    return tidy(windows.with_bounds(_finish(spark, kept, "j01", "complete")))
+    config = _config(spark, "j01")
+    out = pipeline.analytics(_parted(spark, d, "j01-parts"), config)
+    pipeline.drain([pipeline.start_analytics(out, config, "update")])
+    kept = latest(spark.read.parquet(f"{config.output_path}/analytics/windows")).drop(
+        "epoch", "unique_devices", "unique_locations", "quality_score", "quality_issues", "data_completeness", "quality_warning")
+    return tidy(kept)
 
 
 # The stream must give what the batch query gives.
@@ -86,37 +100,103 @@ def j03(spark, d):
 @query("j05_streamed_alerts")
 def j05(spark, d):
     config = replace(_config(spark, "j05"), window="10 minutes", slide="10 minutes", archive=False)
-    good = _stream(spark, d)
-    pipeline.drain([pipeline.start_analytics(pipeline.analytics(good, config), config, "complete")])
-    found = spark.read.parquet(f"{config.output_path}/analytics/alerts")
-    last = found.agg(F.max("epoch").alias("_last"))
-    return tidy(found.join(F.broadcast(last), F.col("epoch") == F.col("_last"))   # one row
-                .groupBy("sensor", "severity").agg(F.count(F.lit(1)).alias("n")))
+    windows_now = pipeline.analytics(_parted(spark, d, "j05-parts"), config)
+    pipeline.drain([pipeline.start_analytics(windows_now, config, "update")])
+    table = lambda name: spark.read.parquet(f"{config.output_path}/analytics/{name}")
+    return tidy(open_alerts(table("windows"), table("alerts")).groupBy("sensor", "severity")
+                .agg(F.count(F.lit(1)).alias("n")))
 
 
 ORACLES["j05_streamed_alerts"] = (
     f"SELECT sensor, severity, count(*) AS n FROM ({ORACLES['m01_window_alerts']}) GROUP BY 1, 2")
 
 
+@query("j05_alert_transitions", f"SELECT window_start, window_end, sensor, severity FROM ({_M1.format(w='win')})",
+       hops(86400, 86400) + ",\n" + _WINDOW_AGG)
+def j05_transitions(spark, d):
+    """The levels that the last transition of each window and sensor leads to."""
+    config = replace(_config(spark, "j05t"), window="1 day", slide="1 day", archive=False)
+    windows_now = pipeline.analytics(_parted(spark, d, "j05t-parts", 7), config)
+    pipeline.drain([pipeline.start_analytics(windows_now, config, "update")])
+    table = lambda name: spark.read.parquet(f"{config.output_path}/analytics/{name}")
+    moves = alert_transitions(table("windows"), table("alerts"))
+    last = latest(moves, ("window_start", "window_end", "sensor")).where("severity IS NOT NULL")
+    return tidy(last.select("window_start", "window_end", "sensor", "severity"))
+
+
 @query("j06_streamed_zscores",
        f"SELECT id AS event_id, channel, {rounded('mean', 'mean')}, {rounded('std', 'std')}, n, {rounded('z', 'z')} "
        "FROM (SELECT *, abs(v - mean) / std AS z FROM roll WHERE n >= 30 AND std > 0) "
-       "WHERE z > 3 AND ts < (SELECT max(ts) FROM r) - INTERVAL 1 HOUR",
+       "WHERE z > 3",
        long_cte(list(DOUBLE_CHANNELS)) + """,
 roll AS (
   SELECT *, avg(v) OVER w AS mean, stddev_pop(v) OVER w AS std, count(*) OVER w AS n FROM long
   WINDOW w AS (PARTITION BY device_id, channel ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))""")
 def j06(spark, d):
-    scores = rolling_scores_stream(_stream(spark, d), "1 hour", spec=SPEC)
-    done = _finish(spark, scores, "j06")
+    folder, out, state = (scratch_dir(spark, f"j06-{x}") for x in ("closing", "rows", "state"))
+    scores = rolling_scores_stream(closable(_stream(spark, d), folder, SPEC), "1 hour", spec=SPEC)
+    writer = scores.writeStream.option("checkpointLocation", state).option("path", out).trigger(availableNow=True)
+    replay(spark, folder, lambda: writer.format("parquet").start(), SPEC)
+    done = spark.read.schema(scores.schema).parquet(out)
     return tidy(done.where("z > 3").select(F.col("row_id").alias("event_id"), "channel", "mean", "std", "n", "z"))
 
 
-@query("j07_streamed_intervals")
+@query("j07_streamed_intervals",
+       "SELECT (sec // 86400) * 86400 AS window_start, (sec // 86400) * 86400 + 86400 AS window_end, "
+       "count(CASE WHEN NOT failed THEN 1 END) AS processed, count(CASE WHEN failed THEN 1 END) AS failed, "
+       "count(CASE WHEN alerts > 0 THEN 1 END) AS anomalies, cast(sum(alerts) AS bigint) AS alerts, "
+       + rounded("avg(quality)", "quality") + ", " + rounded("avg(ms)", "mean_ms") + " FROM plog GROUP BY 1, 2", _LOG)
 def j07(spark, d):
-    log = processing_log(_stream(spark, d), c("NC2.5") / 2)
-    out = pipeline.interval_counters(log, "1 day", "1 day")
-    return tidy(windows.with_bounds(_finish(spark, out, "j07", "complete")))
+    """Interval counters in append mode: the closed replay releases the last interval, too."""
+    folder = scratch_dir(spark, "j07-closing")
+    log = processing_log(closable(_stream(spark, d), folder, SPEC), c("NC2.5") / 2)
+    counted = pipeline.interval_counters(log, "1 day", "1 day")
+    out, state = scratch_dir(spark, "j07"), scratch_dir(spark, "j07-state")
+    writer = counted.writeStream.option("checkpointLocation", state).option("path", out).trigger(availableNow=True)
+    replay(spark, folder, lambda: writer.format("parquet").start(), SPEC)
+    return tidy(windows.with_bounds(spark.read.schema(counted.schema).parquet(out)))
+
+
+@query("j07_progress_totals", "SELECT 12 AS batches, count(*) AS input_rows, 0 AS late_rows FROM r")
+def j07_progress(spark, d):
+    """Totals of a stream's progress reports, written by a listener as they come."""
+    path, out, state = (scratch_dir(spark, f"j07-{x}") for x in ("progress", "rows", "progress-state"))
+    with ProgressLog(spark, path) as log:
+        query = (_parted(spark, d, "j07-parts", 12).select("event_id").writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", state).trigger(availableNow=True).start())
+        query.awaitTermination()
+        log.wait([query])
+    return tidy(progress_totals(progress_table(spark, path)).select("batches", "input_rows", "late_rows"))
+
+
+def _monitored(spark: SparkSession, d: str) -> pipeline.StreamConfig:
+    """A monitor that has read all predictions as messages, in several micro-batches."""
+    config = _config(spark, "e17")
+    scored = scoring.linear_scores(readings(spark, d)).withColumn("message_id", F.col("event_id").cast("string"))
+    sent = as_messages(scored.select(*PREDICTION_SCHEMA.fieldNames())).withColumn("timestamp", F.get_json_object(
+        "value", "$.timestamp").cast("timestamp"))
+    folder = in_parts(sent, scratch_dir(spark, "e17-messages"), 4, SPEC)
+    good, _ = parse_predictions(file_stream(spark, folder, sent.schema, "parquet", 1), SPEC)
+    pipeline.drain([start_monitor(good, config, "1 day")])
+    return config
+
+
+@query("e17_streamed_monitor")
+def e17_stream(spark, d):
+    out = monitor_report(spark, _monitored(spark, d), 1440.0)
+    levels = [F.col("alert_distribution")[x].alias(x.lower()) for x in scoring.LEVELS]
+    return tidy(windows.with_bounds(out.select("*", *levels).drop("alert_distribution")))
+
+
+@query("e17_streamed_samples")
+def e17_stream_samples(spark, d):
+    out = monitor_samples(spark, _monitored(spark, d), "1 day")
+    return tidy(out.select(F.col("window.start").alias("window_start"), "sample", F.col("event_id").cast("long").alias("event_id")))
+
+
+# A monitored stream must give what the monitor of the table gives.
+ORACLES["e17_streamed_monitor"] = ORACLES["e17_prediction_monitor"]
+ORACLES["e17_streamed_samples"] = ORACLES["e17_window_samples"]
 
 
 @query("j08_streamed_dead_letters",

@@ -142,22 +142,40 @@ def prediction_counters(predictions: DataFrame) -> DataFrame:
     return predictions.agg(*out)
 
 
-def prediction_monitor(predictions: DataFrame, duration: str, minutes: float,
-                       spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Per tumbling window: totals, rate, level counts, confidence statistics."""
+# Fixed values.
+LEVELS = ("NONE", "MEDIUM", "HIGH", "CRITICAL")
+
+
+def monitor_sums(predictions: DataFrame, duration: str, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Per tumbling window, what ``merged_monitor`` adds up over parts of a table or stream."""
     fire = F.col("prediction") == 1
-    level = lambda name: F.count_if(F.col("alert_level") == name)
-    names = ("NONE", "MEDIUM", "HIGH", "CRITICAL")
     conf = F.when(F.col("confidence") != 0, F.col("confidence"))
     return predictions.groupBy(F.window(c(spec.event_time), duration)).agg(
-        F.count(F.lit(1)).alias("total"),
-        (F.count(F.lit(1)) / minutes).alias("per_minute"),
+        F.count(F.lit(1)).alias("total"), F.count("prediction").alias("judged"),
         F.count_if(fire).alias("fire"), F.count_if(~fire).alias("no_fire"),
-        F.avg(fire.cast("int")).alias("fire_rate"),
-        F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*map(level, names)))
+        *[F.count_if(F.col("alert_level") == x).alias(f"level_{x.lower()}") for x in LEVELS],
+        F.count(conf).alias("confidences"), F.sum(conf).alias("confidence_sum"),
+        F.min(conf).alias("confidence_min"), F.max(conf).alias("confidence_max"))
+
+
+def merged_monitor(sums: DataFrame, minutes: float) -> DataFrame:
+    """Totals, rate, level counts and confidence statistics of each window over all its parts."""
+    added = ["total", "judged", "fire", "no_fire", *[f"level_{x.lower()}" for x in LEVELS], "confidences", "confidence_sum"]
+    merged = sums.groupBy("window").agg(*[F.sum(n).alias(n) for n in added],
+                                        F.min("confidence_min").alias("confidence_min"),
+                                        F.max("confidence_max").alias("confidence_max"))
+    return merged.select(
+        "window", "total", (F.col("total") / minutes).alias("per_minute"), "fire", "no_fire",
+        F.try_divide("fire", "judged").alias("fire_rate"),
+        F.map_from_arrays(F.array(*map(F.lit, LEVELS)), F.array(*[f"level_{x.lower()}" for x in LEVELS]))
         .alias("alert_distribution"),
-        F.avg(conf).alias("confidence_mean"), F.min(conf).alias("confidence_min"),
-        F.max(conf).alias("confidence_max"))
+        F.try_divide("confidence_sum", "confidences").alias("confidence_mean"), "confidence_min", "confidence_max")
+
+
+def prediction_monitor(predictions: DataFrame, duration: str, minutes: float,
+                       spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Per tumbling window: totals, rate, level counts, confidence statistics."""
+    return merged_monitor(monitor_sums(predictions, duration, spec), minutes)
 
 
 def window_samples(predictions: DataFrame, duration: str, n: int = 5,

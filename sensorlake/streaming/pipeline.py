@@ -182,12 +182,3 @@ def interval_counters(log: DataFrame, interval: str, watermark: str,
         F.count_if(~F.col("failed")).alias("processed"), F.count_if("failed").alias("failed"),
         F.count_if(F.col("anomaly")).alias("anomalies"), F.sum("alerts").alias("alerts"),
         F.avg("quality").alias("quality"), F.avg("processing_ms").alias("mean_ms"))
-
-
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query as rows (Spark keeps at most its last hundred reports)."""
-    rows = [(p["batchId"], p["timestamp"], p["numInputRows"], p.get("processedRowsPerSecond"),
-             sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", [])))
-            for p in query.recentProgress]
-    return spark.createDataFrame(
-        rows, "batch_id long, timestamp string, input_rows long, rows_per_second double, late_rows long")

@@ -1,27 +1,37 @@
 """Rolling z-scores on a stream.
 
-Row frames do not exist on streams, so each (device, channel) keeps its last values
-as state. Rows wait until the watermark passes them and are then taken in event
+Row frames do not exist on streams, so each (device, channel) keeps its waiting rows and its
+last values as state. Rows wait until the watermark passes them and are then taken in event
 order, which makes the result independent of arrival order and equal to the batch
-operator's for every released row.
+operator's. Event timers release the rows; a replay that is closed (``streaming.replay``)
+moves the watermark behind its last row, so that every row comes out.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorlake.operators.rolling import unpivot
 from sensorlake.spec import DEFAULT_SPEC, DOUBLE_CHANNELS, SensorSpec, c
 
+# Python workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT = ("device_id string, channel string, row_id long, ts_us long, value double, "
           "mean double, std double, n int, z double")
-STATE = "ts array<long>, id array<long>, value array<double>, tail array<double>"
+WAITING = "ts long, id long, value double"
+ROWS = np.dtype([("ts", np.int64), ("id", np.int64), ("value", np.float64)])
+# Rows scored at a time: their frames lie next to each other in a matrix.
+CHUNK = 4096
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _score(values: np.ndarray, tail: np.ndarray, size: int, min_values: int) -> pd.DataFrame:
@@ -39,36 +49,75 @@ def _score(values: np.ndarray, tail: np.ndarray, size: int, min_values: int) ->
     return out
 
 
+def _wakes(ts_us: int) -> int:
+    """Milliseconds of the watermark that has passed a row."""
+    return int(ts_us) // 1000 + 1
+
+
+class RollingScores(StatefulProcessor):
+    """Rows of one (device, channel): those that wait, and the last values before them."""
+
+    def __init__(self, size: int, min_values: int):
+        self.size, self.min_values = size, min_values
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", WAITING)
+        self.tail = handle.getListState("tail", "value double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for batch in rows:
+            columns = (batch["ts_us"].tolist(), batch["row_id"].tolist(), batch["value"].tolist())
+            if columns[0]:
+                self.waiting.appendList(list(zip(*columns)))
+                first = min(columns[0]) if first is None else min(first, *columns[0])
+        # A timer for the earliest row, unless an earlier one is set.
+        if first is not None and all(_wakes(first) < t for t in self.handle.listTimers()):
+            self.handle.registerTimer(_wakes(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.waiting.exists():
+            return
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = np.fromiter(self.waiting.get(), dtype=ROWS)
+        due, rest = np.sort(waiting[waiting["ts"] < mark], order=["ts", "id"]), waiting[waiting["ts"] >= mark]
+        if not len(due):
+            return
+        tail = np.fromiter((v for (v,) in self.tail.get()), float) if self.tail.exists() else np.zeros(0)
+        for at in range(0, len(due), CHUNK):
+            rows = due[at:at + CHUNK]
+            scored = _score(rows["value"], tail, self.size, self.min_values)
+            yield pd.DataFrame({
+                "device_id": key[0], "channel": key[1], "row_id": rows["id"], "ts_us": rows["ts"], "value": rows["value"],
+                "mean": scored["mean"], "std": scored["std"], "n": scored["n"], "z": scored["z"]})
+            tail = np.concatenate([tail, rows["value"]])[-(self.size - 1):] if self.size > 1 else tail[:0]
+        if len(tail):
+            self.tail.put([(v,) for v in tail.tolist()])
+        if len(rest):
+            self.waiting.put(rest.tolist())
+            self.handle.registerTimer(_wakes(rest["ts"].min()))
+        else:
+            self.waiting.clear()
+
+    def close(self) -> None:
+        pass
+
+
 def rolling_scores_stream(readings: DataFrame, delay: str, channels: Sequence[str] = DOUBLE_CHANNELS, *,
                           size: int = 100, min_values: int = 30,
                           spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Streaming counterpart of ``rolling_scores``; emits rows once the watermark passed them."""
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ts, ids, values, tail = state.get if state.exists else ([], [], [], [])
-        parts = [pd.DataFrame({"ts": list(ts), "id": list(ids), "value": list(values)})]
-        parts += [pd.DataFrame({"ts": b["ts_us"], "id": b["row_id"], "value": b["value"]}) for b in batches]
-        waiting = pd.concat([p for p in parts if len(p)] or parts[:1]).sort_values(["ts", "id"])
-        mark = state.getCurrentWatermarkMs() * 1000
-        due = waiting[waiting["ts"] < mark]
-        rest = waiting[waiting["ts"] >= mark]
-        tail = np.asarray(tail, dtype=float)
-        if len(due):
-            v = due["value"].to_numpy(dtype=float)
-            scored = _score(v, tail, size, min_values)
-            yield pd.DataFrame({
-                "device_id": key[0], "channel": key[1], "row_id": due["id"].to_numpy(),
-                "ts_us": due["ts"].to_numpy(), "value": v, "mean": scored["mean"], "std": scored["std"],
-                "n": scored["n"], "z": scored["z"]})
-            tail = np.concatenate([tail, v])[-(size - 1):] if size > 1 else tail[:0]
-        state.update((rest["ts"].astype("int64").tolist(), rest["id"].astype("int64").tolist(),
-                      rest["value"].astype(float).tolist(), tail.tolist()))
-        if len(rest):
-            state.setTimeoutTimestamp(max(int(rest["ts"].iloc[0] // 1000) + 1, mark // 1000 + 1))
+    """Streaming counterpart of ``rolling_scores``; emits rows once the watermark passed them.
 
+    Sets the state store to RocksDB, which timers and list state need; waiting rows then lie
+    on disk and not in an executor's memory.
+    """
+    readings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     long = unpivot(readings.withWatermark(spec.event_time, delay),
                    [spec.device, spec.event_time, spec.row_id], channels)
-    flat = long.select(c(spec.device).alias("device_id"), "channel", c(spec.event_time),
+    flat = long.select(F.coalesce(c(spec.device), F.lit("")).alias("device_id"), "channel", c(spec.event_time),
                        F.unix_micros(c(spec.event_time)).alias("ts_us"),
                        c(spec.row_id).alias("row_id"), "value")
-    return flat.groupBy("device_id", "channel").applyInPandasWithState(
-        step, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return flat.groupBy("device_id", "channel").transformWithStateInPandas(
+        RollingScores(size, min_values), OUTPUT, "append", "eventTime")

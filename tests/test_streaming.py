@@ -1,8 +1,10 @@
 """Streams replay finite files and must give what the batch operators give."""
 
+import datetime as dt
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,13 @@ from sensorlake.operators.scoring import rule_scores
 from sensorlake.sources.kafka import MESSAGE_SCHEMA, file_stream
 from sensorlake.spec import READING_SCHEMA, REQUIRED_CHANNELS
 from sensorlake.streaming import pipeline
-from sensorlake.streaming.stateful import rolling_scores_stream
+from sensorlake.streaming import progress as progress_module
+from sensorlake.streaming.current import alert_transitions, latest, open_alerts
+from sensorlake.streaming.monitor import monitor_report, monitor_samples, parse_predictions, start_monitor
+from sensorlake.streaming.progress import ProgressLog, progress_table, progress_totals
+from sensorlake.streaming.replay import closable, in_parts, replay
+from sensorlake.streaming import stateful
+from sensorlake.streaming.stateful import RollingScores, rolling_scores_stream
 from tests.conftest import FIRE, NORMAL, OUTLIER
 
 
@@ -103,9 +111,11 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path, config):
     late = [[reading(0, at=3600)], [reading(1, at=3700)], [reading(2, at=60)]]
     folder = write_messages(str(tmp_path / "in"), late)
     good, _ = pipeline.parse(file_stream(spark, folder, max_files=1))
-    query = pipeline.start_analytics(pipeline.analytics(good, config), config)
-    pipeline.drain([query])
-    progress = pipeline.progress_table(spark, query)
+    with ProgressLog(spark, str(tmp_path / "progress")) as log:
+        query = pipeline.start_analytics(pipeline.analytics(good, config), config)
+        pipeline.drain([query])
+        log.wait([query])
+    progress = progress_table(spark, str(tmp_path / "progress"))
     assert progress.agg(F.sum("late_rows")).first()[0] > 0
     assert progress.agg(F.sum("input_rows")).first()[0] == 3
     rows = spark.read.parquet(f"{config.output_path}/analytics/windows")
@@ -155,3 +165,156 @@ def test_rolling_scores_ignore_arrival_order(spark, make_readings, tmp_path):
         assert r.n == expected[i].n and r["mean"] == pytest.approx(expected[i]["mean"])
         assert (r.z is None) == (expected[i].z is None)
         assert r.z is None or r.z == pytest.approx(expected[i].z)
+
+
+def parted(spark, df, folder, parts):
+    return file_stream(spark, in_parts(df, folder, parts), df.schema, "parquet", 1)
+
+
+def test_a_closed_replay_gives_every_row(spark, make_readings, tmp_path):
+    """Also rows within the watermark's delay of the last, rows of one time, and devices without a name."""
+    rows = [(20.0 + (i * 7 % 13), *NORMAL[1:]) for i in range(150)]
+    df = make_readings(rows, devices=("a", "b", None), step=60)
+    df = df.withColumn("timestamp", F.when(F.col("event_id") < 6, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+                       .otherwise(F.col("timestamp")))
+    stream = closable(parted(spark, df, str(tmp_path / "in"), 5), str(tmp_path / "closing"))
+    out = rolling_scores_stream(stream, "1 hour", ["Temperature[C]"], size=20, min_values=5)
+    replay(spark, str(tmp_path / "closing"), lambda: (
+        out.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()))
+    got = {r.row_id: r for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    expected = {r.event_id: r for r in rolling.rolling_scores(df, ["Temperature[C]"], size=20, min_values=5).collect()}
+    assert len(got) == 150 and set(got) == set(expected)
+    for i, r in got.items():
+        assert (r.n, r["mean"], r.z) == (expected[i].n, pytest.approx(expected[i]["mean"]),
+                                         expected[i].z if expected[i].z is None else pytest.approx(expected[i].z))
+
+
+class Kept:
+    """A list state or timer store in memory."""
+
+    def __init__(self, rows=()):
+        self.rows = list(rows)
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def clear(self):
+        self.rows = []
+
+
+def test_a_backlog_is_scored_in_chunks(monkeypatch):
+    """No matrix is larger than a chunk, and chunks change nothing."""
+    class Handle(Kept):
+        def getListState(self, *_):
+            return Kept()
+
+        def listTimers(self):
+            return iter(self.rows)
+
+        def registerTimer(self, at):
+            self.rows.append(at)
+
+    class Passed:
+        def getCurrentWatermarkInMs(self):
+            return 4500
+
+    rows = pd.DataFrame({"ts_us": [i * 1000 for i in range(5000)], "row_id": range(5000),
+                         "value": [float(i * 37 % 101) for i in range(5000)]})
+    found = []
+    for chunk in (64, 10**6):
+        monkeypatch.setattr(stateful, "CHUNK", chunk)
+        processor = RollingScores(100, 30)
+        processor.init(Handle())
+        assert list(processor.handleInputRows(("a", "b"), iter([rows[:3000], rows[3000:]]), Passed())) == []
+        assert processor.handle.rows == [1]
+        parts = list(processor.handleExpiredTimer(("a", "b"), Passed(), None))
+        assert max(map(len, parts)) <= chunk and processor.handle.rows == [1, 4501]
+        assert len(processor.waiting.rows) == 500 and len(processor.tail.rows) == 99
+        found.append(pd.concat(parts, ignore_index=True))
+    pd.testing.assert_frame_equal(*found)
+    assert found[0]["row_id"].tolist() == list(range(4500))
+
+
+def test_progress_is_kept_over_more_batches_than_spark_remembers(spark, tmp_path):
+    for i in range(120):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i}.json").write_text('{"x": 1}\n' * (i % 3 + 1))
+    stream = spark.readStream.schema("x long").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    with ProgressLog(spark, str(tmp_path / "progress"), every=50) as log:
+        query = (stream.writeStream.format("noop").queryName("many").option("checkpointLocation", str(tmp_path / "state"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        log.wait([query])
+    assert len(query.recentProgress) <= 100
+    total = progress_totals(progress_table(spark, str(tmp_path / "progress"))).first()
+    assert (total.query, total.batches, total.input_rows, total.late_rows) == ("many", 120, 240, 0)
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    at = [dt.datetime(2024, 1, 1, 0, 0, s) for s in range(3)]
+    rows = [("q", "r1", "n", 0, at[0], 10, 1.0, 0, 0, 5), ("q", "r1", "n", 1, at[1], 7, 1.0, 0, 0, 5), ("q", "r2", "n", 1, at[2], 8, 1.0, 2, 0, 5)]
+    spark.createDataFrame(rows, progress_module.REPORT).write.parquet(str(tmp_path / "p"))
+    total = progress_totals(progress_table(spark, str(tmp_path / "p"))).first()
+    assert (total.batches, total.input_rows, total.late_rows, total.rows_per_second) == (2, 18, 2, 1800.0)
+
+
+def test_alerts_as_transitions(spark):
+    """An alert is told when it is raised, changes its level or ends, and not while it stays."""
+    windows_ = spark.createDataFrame([(w, w + 1, e) for w, epochs in ((0, (0, 1, 2, 3, 5)), (1, (3, 4))) for e in epochs],
+                                     "window_start long, window_end long, epoch long")
+    rows = [(0, "T", "HIGH", 1), (0, "T", "HIGH", 2), (0, "T", "CRITICAL", 3), (0, "H", "LOW", 0), (1, "T", "HIGH", 4)]
+    alerts = spark.createDataFrame([(w, w + 1, s, v, 1.0, 0.5, e) for w, s, v, e in rows],
+                                   "window_start long, window_end long, sensor string, severity string, value double, threshold double, epoch long")
+    moves = {(r.window_start, r.sensor, r.epoch, r.previous, r.severity) for r in alert_transitions(windows_, alerts).collect()}
+    assert moves == {(0, "T", 1, None, "HIGH"), (0, "T", 3, "HIGH", "CRITICAL"), (0, "T", 5, "CRITICAL", None),
+                     (0, "H", 0, None, "LOW"), (0, "H", 1, "LOW", None), (1, "T", 4, None, "HIGH")}
+    assert [(r.window_start, r.severity) for r in open_alerts(windows_, alerts).collect()] == [(1, "HIGH")]
+    assert sorted((r.window_start, r.epoch) for r in latest(windows_).collect()) == [(0, 5), (1, 4)]
+    assert alert_transitions(windows_, alerts.limit(0)).collect() == []
+
+
+def test_prediction_monitor(spark, tmp_path, config):
+    """Late, broken and incomplete messages in several micro-batches."""
+    def message(i, at, **more):
+        return json.dumps({"message_id": f"m{i:02d}", "timestamp": at, "prediction": 1, "confidence": 0.5, "alert_level": "HIGH", **more})
+
+    day = "2024-01-0{}T00:00:0{}Z"
+    parts = [[message(5, day.format(2, 5)), message(1, day.format(1, 1), prediction=0, alert_level=None), "{broken", "[1]"],
+             [message(3, day.format(1, 3), confidence=0), message(2, day.format(1, 2), confidence=0.9), json.dumps({"prediction": 1})],
+             [message(0, day.format(1, 0), confidence="x"), message(6, day.format(2, 6), alert_level="CRITICAL")]]
+    folder = write_messages(str(tmp_path / "in"), parts)
+    good, bad = parse_predictions(file_stream(spark, folder, max_files=1))
+    for _ in range(2):  # a second start adds nothing
+        pipeline.drain([start_monitor(good, config, "1 day", 3)])
+    rows = {r.window.start.day: r for r in monitor_report(spark, config, 10.0).collect()}
+    assert (rows[1].total, rows[1].fire, rows[1].no_fire, rows[1].per_minute) == (4, 3, 1, 0.4)
+    assert rows[1].alert_distribution == {"NONE": 1, "MEDIUM": 0, "HIGH": 3, "CRITICAL": 0}
+    assert (rows[1].confidence_mean, rows[1].confidence_min, rows[1].confidence_max) == (pytest.approx(0.7), 0.5, 0.9)
+    assert (rows[2].total, rows[2].fire_rate, rows[2].alert_distribution["CRITICAL"]) == (2, 1.0, 1)
+    first = sorted((r.window.start.day, r["sample"], r.event_id) for r in monitor_samples(spark, config, "1 day", 3).collect())
+    assert first == [(1, 1, "m00"), (1, 2, "m01"), (1, 3, "m02"), (2, 1, "m05"), (2, 2, "m06")]
+    query = (bad.writeStream.format("memory").queryName("bad_predictions").option("checkpointLocation", str(tmp_path / "bad"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert spark.table("bad_predictions").count() == 3
+
+
+def test_parts_follow_the_time(spark, make_readings, tmp_path):
+    df = make_readings([NORMAL] * 10, step=3600).withColumn("timestamp", F.when(F.col("event_id") != 4, F.col("timestamp")))
+    in_parts(df, str(tmp_path / "p"), 3)
+    files = sorted((tmp_path / "p").glob("*.parquet"), key=os.path.getmtime)
+    ids = [sorted(r.event_id for r in spark.read.parquet(str(f)).collect()) for f in files]
+    assert [i for i in ids if i] == [[0, 1, 2, 3], [5, 6], [4, 7, 8, 9]]
+    assert sorted(sum(ids, [])) == list(range(10))
+    in_parts(df.limit(0), str(tmp_path / "none"), 2)
+    assert spark.read.schema(df.schema).parquet(str(tmp_path / "none")).count() == 0
