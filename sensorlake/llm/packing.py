@@ -92,12 +92,15 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     return cast.mapInArrow(run, TOKENS)
 
 
-def _keyed(tokens: DataFrame) -> DataFrame:
-    """Add ``key``: the place on the curve, with a hash of the row below it."""
+def spread(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each projected dimension."""
     stats = tokens.agg(*[f(f"p{i}") for i in range(DIMS) for f in (F.avg, F.stddev_pop)]).first()
-    mean = np.array([stats[2 * i] or 0.0 for i in range(DIMS)])
-    width = np.array([stats[2 * i + 1] or 1.0 for i in range(DIMS)])
+    return (np.array([stats[2 * i] or 0.0 for i in range(DIMS)]),
+            np.array([stats[2 * i + 1] or 1.0 for i in range(DIMS)]))
+
 
+def _keyed(tokens: DataFrame, mean: np.ndarray, width: np.ndarray) -> DataFrame:
+    """Add ``key``: the place on the curve, with a hash of the row below it."""
     @F.pandas_udf("long")
     def curve(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
         p = np.stack([a, b, c, d], axis=1)
@@ -127,8 +130,10 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, slice_tokens: int
     bounded_batches(docs.sparkSession)
     tokens = written(tokenised(docs, path), "tokens")
     numbers = ["row", "doc_id", "n", *[f"p{i}" for i in range(DIMS)]]
-    # Row numbers are stored by now, so that the keys are the same in every job.
-    places = written(_keyed(tokens.select(*numbers)).select("row", "n", "key"), "places")
+    # Row numbers are stored by now and the spread is measured once (sums of floating-point
+    # numbers depend on their order), so that the keys are the same in every job.
+    measured = spread(tokens)
+    places = written(_keyed(tokens.select(*numbers), *measured).select("row", "n", "key"), "places")
     points = places.select("key", F.col("n").cast("long").alias("weight"))
     total = points.agg(F.sum("weight")).first()[0] or 0
     found, _, _ = splitters(points, max(1, min(MOST_PARTS, -(-total // slice_tokens))), 0.1)
@@ -143,7 +148,7 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, slice_tokens: int
     before = F.broadcast(spark.createDataFrame(slices, "_slice int, _before long"))
     order = Window.partitionBy("_slice").orderBy("key", "row")
     sofar = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    line = bucketed(_keyed(tokens).drop(*[f"p{i}" for i in range(DIMS)]), "key", bounds, "_slice").join(
+    line = bucketed(_keyed(tokens, *measured).drop(*[f"p{i}" for i in range(DIMS)]), "key", bounds, "_slice").join(
         before, "_slice").withColumn("at", F.col("_before") + F.coalesce(sofar, F.lit(0)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

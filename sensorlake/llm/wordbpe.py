@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from operator import itemgetter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -32,7 +33,10 @@ def byte_letters() -> list[str]:
 
 
 def _latin(text: str) -> bool:
-    return text.isascii() or max(text) < "Ā"
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 class WordBpe:
@@ -94,7 +98,7 @@ class WordBpe:
             else:
                 ids = self.library.encode(word, add_special_tokens=False).ids
                 self.new[word] = np.array(ids, ID).tobytes()
-        short.sort()
+        short.sort(key=itemgetter(0))
         for at in range(0, len(short), 8192):
             part = short[at:at + 8192]
             width = part[-1][0]
