@@ -1,17 +1,20 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 The word n-grams of all test items are looked up in every document, through a bitmap of
-fixed size first and an exact join after. Every n-gram found is a seed: neighbouring ones
-name the same start of the item, so that leaving out any but the last of a copied stretch
-changes nothing, and leaving out that one loses the stretch. Documents that share seeds
-with an item are aligned with it word by word, which scores edited copies, too, unless too
-few of the item's words stand around the seeds to reach the threshold.
+fixed size first and an exact join after. The n-grams of a copied stretch all name the same
+start of the item; the one that the corpus holds least often is the stretch's seed, and
+starts are tried from the rarest seed on. (A stretch whose only n-gram is a common one
+still has that as its seed: edited copies may have no other.) Around every start that has
+enough of the item's words to do better than the best so far, document and item are
+aligned word by word, which scores edited copies, too. A document's text is moved and split
+once, before the items that it shares seeds with.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ GRAM = 3
 # Bits of the bitmaps that go to every task (2 MB).
 BITS = 24
 MATCH, MISMATCH, GAP = 2, -1, -1
+# Items whose words a task keeps.
+MOST_ITEMS = 2000
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
 
 
@@ -93,27 +98,30 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return score, j, end
 
 
-def best_alignment(item: np.ndarray, doc: np.ndarray, starts: list[int],
+def best_alignment(item: np.ndarray, doc: np.ndarray, starts: list[tuple[int, int]],
                    least: float = 0.0) -> tuple[float, int, int]:
     """The best of the alignments around where the item would start, as a share of the full score.
 
-    Stretches that hold less than the share ``least`` of the item's words cannot score it
-    and are not aligned.
+    ``starts``: (how often the corpus holds the seed, start). Of equal scores the earliest
+    place counts. Stretches that hold less than the share ``least`` of the item's words, or
+    less than the best so far, cannot score more and are not aligned.
     """
     slack, spans = len(item) // 4 + 4, []
-    for s in sorted(starts):
+    for n, s in sorted(starts, key=itemgetter(1)):
         lo, hi = max(0, s - slack), min(len(doc), s + len(item) + slack)
-        if spans and lo <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], hi)
+        if spans and lo <= spans[-1][2]:
+            spans[-1][2] = max(spans[-1][2], hi)
+            spans[-1][0] = min(spans[-1][0], n)
         else:
-            spans.append([lo, hi])
+            spans.append([n, lo, hi])
     best = (0.0, 0, 0)
-    for lo, hi in spans:
-        if np.isin(item, doc[lo:hi]).mean() < least:
+    for _, lo, hi in sorted(spans):
+        if np.isin(item, doc[lo:hi]).mean() < max(least, best[0]):
             continue
         score, start, end = align(item, doc[lo:hi])
-        if score / (MATCH * len(item)) > best[0]:
-            best = (score / (MATCH * len(item)), lo + start, lo + end)
+        share = score / (MATCH * len(item))
+        if share > best[0] or share == best[0] and lo + start < best[1]:
+            best = (share, lo + start, lo + end)
     return best
 
 
@@ -185,9 +193,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
     grams = written(_item_grams(items), "item-grams")
     sizes = [r["size"] for r in grams.select("size").distinct().collect()]  # at most GRAM
     hits = written(_hits(texts, bitmap(grams, "gram"), sizes), "hits")
-    met = hits.join(grams.select("ikey", "gram", F.col("pos").alias("ipos")), "gram")
-    pairs = written(met.groupBy("doc_id", "tid", "ikey").agg(
-        F.array_sort(F.collect_set(F.col("pos") - F.col("ipos"))).alias("starts")), "pairs")
+    held = grams.join(hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram")
+    met = hits.join(held.select("ikey", "gram", F.col("pos").alias("ipos"), "n"), "gram")
+    seeds = met.groupBy("doc_id", "tid", "ikey", (F.col("pos") - F.col("ipos")).alias("start")).agg(F.min("n").alias("n"))
+    pairs = written(seeds.groupBy("doc_id", "tid", "ikey").agg(
+        F.collect_list(F.struct("n", "start")).alias("starts")), "pairs")
     shared = docs.sparkSession.sparkContext.broadcast(
         bitmap(pairs.select(F.xxhash64("doc_id", "tid").alias("h")), "h"))
 
@@ -196,25 +206,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.5,
             yield batch.filter(pa.array(marked(shared.value, batch.column("h").to_numpy()))).drop_columns(["h"])
 
     some = (texts.select("doc_id", "tid", "text", F.xxhash64("doc_id", "tid").alias("h"))
-            .mapInArrow(seen, "doc_id long, tid long, text string").distinct())
-    sides = pairs.join(items.select("ikey", "item_id", F.col("text").alias("item")), "ikey").join(
-        some, ["doc_id", "tid"])
+            .mapInArrow(seen, "doc_id long, tid long, text string"))
+    # Each document's text, then the items to align with it.
+    asked = pairs.join(items.select("ikey", "item_id", "text"), "ikey")
+    sides = asked.select("doc_id", "tid", "item_id", "text", "starts").unionByName(
+        some.withColumns({"item_id": F.lit(None).cast("long"), "starts": F.lit(None).cast(pairs.schema["starts"].dataType)}))
+    dealt = sides.repartition("doc_id", "tid").sortWithinPartitions("doc_id", "tid", F.col("item_id").asc_nulls_first())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for batch in batches:
+        known, here, doc, splits = _Hashes(), None, None, {}
+        for batch in (piece for whole in batches for piece in pieces_of(whole)):
             rows = []
             for r in batch.to_pylist():
-                item = word_hashes(r["item"], known)
+                key = r["doc_id"], r["tid"]
+                if r["item_id"] is None:
+                    # Split only when an item asks for it; a row repeated once more is the same text.
+                    here, doc = (key, r["text"]), None
+                    continue
+                if here is None or here[0] != key:
+                    continue
+                if doc is None:
+                    doc = word_hashes(here[1], known)
+                if r["text"] not in splits:
+                    if len(splits) > MOST_ITEMS:
+                        splits.clear()
+                    splits[r["text"]] = word_hashes(r["text"], known)
+                item = splits[r["text"]]
                 least = threshold if len(item) >= least_words else 1.0
-                share, start, end = best_alignment(item, word_hashes(r["text"], known), r["starts"], least)
+                share, start, end = best_alignment(item, doc, [(x["n"], x["start"]) for x in r["starts"]], least)
                 if share >= least:
                     rows.append((r["doc_id"], r["item_id"], share, start, end))
             yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(
                 (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()))],
                 names=["doc_id", "item_id", "score", "start_word", "end_word"])
 
-    aligned = sides.select("doc_id", "item_id", "starts", "item", "text").mapInArrow(score, LEAKS)
+    aligned = dealt.select("doc_id", "tid", "item_id", "text", "starts").mapInArrow(score, LEAKS)
     best = F.max(F.struct("score", (-F.col("start_word")).alias("at"), "end_word")).alias("x")
     return aligned.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "x.score", (-F.col("x.at")).alias("start_word"), "x.end_word")
