@@ -70,13 +70,12 @@ class WordBpe:
         if len(self.new) > MOST_KEPT:
             self.old, self.new = self.new, {}
         fresh = []
-        for word in set().union(*split):
-            if word not in self.new:
-                known = self.old.get(word)
-                if known is None:
-                    fresh.append(word)
-                else:
-                    self.new[word] = known
+        for word in set().union(*split).difference(self.new):
+            known = self.old.get(word)
+            if known is None:
+                fresh.append(word)
+            else:
+                self.new[word] = known
         self._learn(fresh)
         return [b"".join(map(self.new.__getitem__, words)) for words in split]
 
@@ -107,24 +106,39 @@ class WordBpe:
             for (_, word, _), ids in zip(part, self._merge(data.reshape(-1, width), sizes)):
                 self.new[word] = ids
 
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair's merge; the number of merges for pairs that have none."""
+        pair = np.where(b >= 0, a << 20 | b, -1)
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], len(self.keys))
+
     def _merge(self, data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Merge the lowest-ranked pair of every row, the leftmost of equals, until none is left."""
         width = data.shape[1]
         columns = np.arange(width)
         ids = np.where(columns[None] < sizes[:, None], self.first[data], -1)
         ids[np.arange(len(ids)), sizes - 1] = self.last[data[np.arange(len(ids)), sizes - 1]]
-        live = np.arange(len(ids))
-        while len(live) and width > 1:
-            rows = ids[live]
-            pair = np.where(rows[:, 1:] >= 0, rows[:, :-1] << 20 | rows[:, 1:], -1)
-            at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-            rank = np.where(self.keys[at] == pair, self.ranks[at], len(self.keys))
-            best = rank.argmin(axis=1)
-            lowest = rank[np.arange(len(rows)), best]
-            some = lowest < len(self.keys)
-            live, rows, best, lowest = live[some], rows[some], best[some], lowest[some]
-            rows[np.arange(len(rows)), best] = self.merged[lowest]
-            shifted = np.concatenate([rows[:, 1:], np.full((len(rows), 1), -1)], axis=1)
-            ids[live] = np.where(columns[None] > best[:, None], shifted, rows)
+        if width == 1:
+            return [row.tobytes() for row in ids.astype(ID)]
+        live, none = np.arange(len(ids)), len(self.keys)
+        rows, ranks = ids.copy(), self._ranks(ids[:, :-1], ids[:, 1:])
+        while len(live):
+            best = ranks.argmin(axis=1)
+            lowest = ranks[np.arange(len(ranks)), best]
+            some = lowest < none
+            if not some.all():
+                ids[live[~some]] = rows[~some]
+                live, rows, ranks, best, lowest = live[some], rows[some], ranks[some], best[some], lowest[some]
+            every = np.arange(len(live))
+            rows[every, best] = self.merged[lowest]
+            # What stands behind the merged pair moves up by one; only the pairs on both sides of it are new.
+            behind = columns[None] > best[:, None]
+            rows = np.where(behind, np.concatenate([rows[:, 1:], np.full((len(rows), 1), -1)], axis=1), rows)
+            ranks = np.where(behind[:, :-1], np.concatenate([ranks[:, 1:], np.full((len(ranks), 1), none)], axis=1), ranks)
+            after = np.minimum(best + 1, width - 1)
+            ranks[every, np.minimum(best, width - 2)] = np.where(
+                best + 1 < width, self._ranks(rows[every, best], rows[every, after]), none)
+            left = best > 0
+            ranks[every[left], best[left] - 1] = self._ranks(rows[every[left], best[left] - 1], rows[every[left], best[left]])
         packed, n = ids.astype(ID), (ids >= 0).sum(axis=1)
         return [row[:k].tobytes() for row, k in zip(packed, n)]
