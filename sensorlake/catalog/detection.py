@@ -423,10 +423,8 @@ WHERE completeness < 90"""
 
 @query("m11_quality_findings", _FINDINGS, _SCORE + ",\n" + _RECENT + """,
 rr AS (SELECT round(100 * sum(range_anomalies + statistical_anomalies) / sum("rows"), 2) AS rate FROM ra),
-narrow AS (SELECT * FROM r WHERE t IS NULL OR t > 20)""")
+narrow AS (SELECT * FROM r)""")
 def m11(spark, d):
     df = readings(spark, d)
     rate = quality.recent_anomaly_rate(quality.recent_anomalies(df))
-    narrow = df.where(c("Temperature[C]").isNull() | (c("Temperature[C]") > 20))
-    return tidy(quality.quality_findings(quality.overall_score(df, _QCOLS), rate,
-                                         quality.completeness(narrow, _QCOLS)))
+    return tidy(quality.quality_findings(quality.overall_score(df, _QCOLS), rate, quality.completeness(df, _QCOLS)))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import finite, ratio
+from sensorlake.session import written
 from sensorlake.spec import c
 
 
@@ -52,9 +53,10 @@ def score_curve(df: DataFrame, label: str, score: str = "score", buckets: int =
     distinct scores, so that no task orders many of them, however crowded a range is.
     Missing, NaN and infinite scores are left out.
     """
-    points = (df.where(c(label).isNotNull()).select(c(label).alias("y"), finite(c(score).cast("double")).alias("threshold"))
+    # Written once (three numbers a distinct score): edges, bucket sums and the curve all read it.
+    points = written(df.where(c(label).isNotNull()).select(c(label).alias("y"), finite(c(score).cast("double")).alias("threshold"))
               .where("threshold IS NOT NULL").groupBy("threshold")
-              .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")))
+              .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")), "curve-points")
     marks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     # At most ``buckets`` numbers; a rough edge costs balance, never correctness.
     edges = sorted(set(points.agg(F.percentile_approx("threshold", marks, 10 * buckets)).first()[0] or []))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import finite, rows_from
+from sensorlake.session import written
 from sensorlake.spec import c
 
 BUCKETS = 512
@@ -31,9 +32,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
               *, buckets: int = BUCKETS) -> DataFrame:
     """One row whose column ``q_<i>_<j>`` is quantile ``probs[j]`` of ``columns[i]``.
 
-    Missing, NaN and infinite values are left out; a column without values gives NULL.
+    Missing, NaN and infinite values are left out; a column without values gives NULL. The
+    columns are written once (a double per value), and all rounds read that.
     """
-    values = df.select(*[finite(c(n).cast("double")).alias(f"v_{i}") for i, n in enumerate(columns)])
+    values = written(df.select(*[finite(c(n).cast("double")).alias(f"v_{i}") for i, n in enumerate(columns)]), "quantiles")
     ends = values.agg(*[e for i in range(len(columns)) for e in (
         F.count(f"v_{i}").alias(f"n_{i}"), F.min(f"v_{i}").alias(f"lo_{i}"), F.max(f"v_{i}").alias(f"hi_{i}"))]).first()
     # Open searches: (column, rank) -> smallest and largest value left, values before them.

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "sensorlake", master: str | None = None,
@@ -48,3 +48,13 @@ def _local_root() -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """New folder below ``spark.checkpoint.dir``; local sessions may leave that unset."""
     return f"{_checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into a new folder below ``spark.checkpoint.dir`` and read it back.
+
+    For a narrow table that several jobs read: each would compute its source again.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
