@@ -78,3 +78,9 @@ def test_query_digest(spark):
     assert len(rows) == len(texts)
     check(rows, 8)
     assert all(r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in rows)
+
+
+def test_no_python(make_docs):
+    rows = make_docs([(i, f"text {i}") for i in range(50)]).where(F.col("doc_id") > 0)
+    plan = histogram_shards(rows, 3)._jdf.queryExecution().toString()
+    assert "Arrow" not in plan and "Python" not in plan
