@@ -215,7 +215,7 @@ def c15(spark, d):
     return readings(spark, d).where(clean.plausible()).select("event_id")
 
 
-_IMPUTED = [TEMPERATURE, HUMIDITY, "TVOC[ppb]"]
+_IMPUTED = list(NUMERIC_CHANNELS)
 
 
 def _imputed_sql(agg: str) -> str:
