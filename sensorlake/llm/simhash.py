@@ -121,12 +121,16 @@ def near_duplicates(docs: DataFrame, *, width: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, *, width: int = 3) -> DataFrame:
-    """``docs`` less every document that is not the first (smallest ``doc_id``) of its component.
+    """``docs`` less every document that is not the first (smallest ``doc_id``) of its component."""
+    return keep_first(docs, written(near_duplicates(docs, width=width), "classes"))
+
+
+def keep_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``docs`` less those whose ``component_id`` in ``classes`` (doc_id, component_id) is another id.
 
     Rows without ``doc_id`` stay. Of rows that repeat one ``doc_id`` the one with the
     smallest text hash stays.
     """
-    classes = written(near_duplicates(docs, width=width), "classes")
     (id_,) = fresh(docs, "_id")
     named = F.col("doc_id").alias(id_)
     gone = classes.where("doc_id <> component_id").select(named).distinct()
