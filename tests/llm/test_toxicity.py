@@ -1,7 +1,17 @@
 import numpy as np
 import pytest
 
-from sensorlake.llm.toxicity import Model, fit, labelled_sample, toxicity_scores, windows
+from sensorlake.llm.toxicity import (
+    Model,
+    contrasted,
+    fit,
+    gram_codes,
+    labelled_sample,
+    spread_windows,
+    stretches,
+    toxicity_scores,
+    windows,
+)
 from tests.llm.conftest import CLASHES, prose
 
 BAD = ("blockhead", "nitwit", "dunderhead", "lowlife")
@@ -77,3 +87,52 @@ def test_model_travels(rows):
     model = fit([t for _, t, _ in rows], [y for _, _, y in rows])
     again = pickle.loads(pickle.dumps(model))
     assert isinstance(again, Model) and again.score(rows[0][1]) == model.score(rows[0][1])
+
+
+def test_gains_are_differences_of_lengths(rows):
+    """Each window compressed on its own with compressors made for it alone."""
+    import zstandard
+
+    from sensorlake.llm.toxicity import _compressor
+
+    model = fit([t for _, t, _ in rows], [y for _, _, y in rows])
+    for _, t, _ in rows[:12]:
+        want = [len(_compressor(model.ordinary).compress(w)) - len(_compressor(model.toxic + model.ordinary).compress(w))
+                for w in windows(t.encode().lower())]
+        assert model.gains(t).tolist() == want
+        whole = zstandard.ZstdCompressionDict(model.ordinary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        back = zstandard.ZstdDecompressor(dict_data=whole).decompress(
+            _compressor(model.ordinary).compress(t.encode()), max_output_size=1 << 20)
+        assert back == t.encode()
+
+
+def test_contrasted_runs_equal_a_count_by_hand():
+    toxic = [f"{prose(i, 20)} nitwit {prose(i + 500, 20)}".encode() for i in range(40)]
+    ordinary = [prose(i + 1000, 40).encode() for i in range(80)]
+
+    def share(texts):
+        return {g: sum(g in t for t in texts) for t in texts for g in {t[i:i + 6] for i in range(len(t) - 5)}}
+
+    t, o = share(toxic), share(ordinary)
+    want = {g for g, n in t.items() if n >= 3 and (n - 2 * n ** 0.5) / 40 >= 2.5 * (o.get(g, 0) + 1) / 80}
+    codes = contrasted(toxic, ordinary)
+    assert set(codes.tolist()) == {int(gram_codes(g)[0]) for g in want} and b"nitwit" in want
+    assert any(b"nitwit" in s for s in stretches(toxic[0], codes))
+    assert stretches(b"", codes) == [] and len(contrasted([], [])) == 0
+
+
+def test_training_windows_are_spread():
+    long = bytes(range(97, 123)) * 1000
+    parts = spread_windows(long, 50)
+    assert len(parts) == 50 and parts[0] == windows(long)[0] and parts[-1] == windows(long)[-1]
+
+
+def test_sample_tables(spark):
+    """Held-out labels of sf0.1: recall, false alarms and the order of scores."""
+    folder = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity_scores(spark.read.parquet(f"{folder}/documents.parquet"), marks).select("doc_id", "score", "predicted")
+    got = scored.join(marks.select("doc_id", "toxic"), "doc_id").where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0").toPandas()
+    bad, good = got[got.toxic == 1], got[got.toxic == 0]
+    auc = np.mean([(s > good.score).mean() + (s == good.score).mean() / 2 for s in bad.score])
+    assert bad.predicted.mean() > 0.6 and good.predicted.mean() < 0.02 and auc > 0.9
