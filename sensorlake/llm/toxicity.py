@@ -134,8 +134,10 @@ def contrasted(toxic: list[bytes], ordinary: list[bytes], least_docs: int = 3, l
     sure = in_toxic - 2 * np.sqrt(in_toxic)
     codes, sure = codes[(in_toxic >= least_docs) & (sure > 0)], sure[(in_toxic >= least_docs) & (sure > 0)]
     in_ordinary = np.zeros(len(codes))
-    for t in ordinary:
-        in_ordinary += np.isin(codes, gram_codes(t))
+    for t in ordinary if len(codes) else []:
+        own = gram_codes(t)
+        place = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+        in_ordinary[np.unique(place[codes[place] == own])] += 1
     return codes[sure / max(1, len(toxic)) >= least_ratio * (in_ordinary + 1) / max(1, len(ordinary))]
 
 
