@@ -31,9 +31,12 @@ from sensorlake.llm.common import bounded_batches, fresh, pieces_of, without, wr
 HALF = 64
 CODES = HALF * HALF
 EDGE = CODES  # stands beside the first and last word
+CODE = "<u2"  # as written
 SIDE = 2
 DIMS, HIDDEN = 12, 24
 BATCH = 8192
+# Words to a step of learning.
+STEP = 2048
 SHAPES = (("embed", (CODES + 1, DIMS)), ("mix", (2 * SIDE * DIMS, HIDDEN)), ("mix_bias", (HIDDEN,)),
           ("upper", (HIDDEN, HALF)), ("upper_bias", (HALF,)),
           ("lower", (HALF, HIDDEN, HALF)), ("lower_bias", (HALF, HALF)))
@@ -108,48 +111,63 @@ def _hidden(w: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, np.tanh(x @ w["mix"] + w["mix_bias"])
 
 
+def _by_upper(line: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """``part`` in order of the words' upper halves, both halves, and (half, its rows) of those that occur."""
+    high = line[part] // HALF
+    part = part[np.argsort(high.astype(np.int8), kind="stable")]
+    high, low = np.divmod(line[part], HALF)
+    ends = np.searchsorted(high, np.arange(HALF + 1)).tolist()
+    return part, high, low, [(k, slice(a, b)) for k, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+
+
+def _lower_scores(w: dict, h: np.ndarray, high: np.ndarray, groups: list) -> np.ndarray:
+    """Scores of all lower halves: one product a group, written to its place."""
+    z = np.empty((len(h), HALF), h.dtype)
+    for k, rows in groups:
+        np.matmul(h[rows], w["lower"][k], out=z[rows])
+    z += w["lower_bias"][high]
+    return z
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
+
+
 def log_probabilities(w: dict, line: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Log-probability of the word at each place given its neighbours."""
-    out = np.empty(len(place))
+    out = np.empty(len(line))
     for at in range(0, len(place), BATCH):
-        part = place[at:at + BATCH]
+        part, high, low, groups = _by_upper(line, place[at:at + BATCH])
         _, h = _hidden(w, _around(line, part))
-        high, low = np.divmod(line[part], HALF)
-        got = _log_softmax(h @ w["upper"] + w["upper_bias"])[np.arange(len(part)), high].astype(float)
-        order = np.argsort(high, kind="stable")
-        ends = np.searchsorted(high[order], np.arange(HALF + 1))
-        for k in range(HALF):
-            rows = order[ends[k]:ends[k + 1]]
-            if len(rows):
-                z = _log_softmax(h[rows] @ w["lower"][k] + w["lower_bias"][k])
-                got[rows] += z[np.arange(len(rows)), low[rows]]
-        out[at:at + BATCH] = got
-    return out
+        own = np.arange(len(part))
+        out[part] = _log_softmax(h @ w["upper"] + w["upper_bias"])[own, high]
+        out[part] += _log_softmax(_lower_scores(w, h, high, groups))[own, low]
+    return out[place]
 
 
 def learn(flat: np.ndarray, squares: np.ndarray, line: np.ndarray, place: np.ndarray, rate: float) -> None:
     """AdaGrad steps over the masked ``place``s, in place."""
-    w = views(flat)
-    for at in range(0, len(place), BATCH // 4):
-        part = place[at:at + BATCH // 4]
-        context, target = _around(line, part), line[part]
-        grad = np.zeros_like(flat)
-        g = views(grad)
+    w, grad = views(flat), np.empty_like(flat)
+    g, step = views(grad), np.empty_like(flat)
+    for at in range(0, len(place), STEP):
+        part, high, low, groups = _by_upper(line, place[at:at + STEP])
+        context, own = _around(line, part), np.arange(len(part))
+        grad[:] = 0
         x, h = _hidden(w, context)
-        high, low = np.divmod(target, HALF)
-        p = np.exp(_log_softmax(h @ w["upper"] + w["upper_bias"]))
-        p[np.arange(len(part)), high] -= 1
+        p = _softmax(h @ w["upper"] + w["upper_bias"])
+        p[own, high] -= 1
         g["upper"][:], g["upper_bias"][:] = h.T @ p, p.sum(axis=0)
         back = p @ w["upper"].T
-        order = np.argsort(high, kind="stable")
-        ends = np.searchsorted(high[order], np.arange(HALF + 1))
-        for k in range(HALF):
-            rows = order[ends[k]:ends[k + 1]]
-            if len(rows):
-                q = np.exp(_log_softmax(h[rows] @ w["lower"][k] + w["lower_bias"][k]))
-                q[np.arange(len(rows)), low[rows]] -= 1
-                g["lower"][k], g["lower_bias"][k] = h[rows].T @ q, q.sum(axis=0)
-                back[rows] += q @ w["lower"][k].T
+        q = _softmax(_lower_scores(w, h, high, groups))
+        q[own, low] -= 1
+        for k, rows in groups:
+            np.matmul(h[rows].T, q[rows], out=g["lower"][k])
+            back[rows] += q[rows] @ w["lower"][k].T
+        first = [rows.start for _, rows in groups]
+        g["lower_bias"][[k for k, _ in groups]] = np.add.reduceat(q, first, axis=0)
         back *= 1 - h * h
         g["mix"][:], g["mix_bias"][:] = x.T @ back, back.sum(axis=0)
         dx = (back @ w["mix"].T).reshape(-1, DIMS)
@@ -157,8 +175,12 @@ def learn(flat: np.ndarray, squares: np.ndarray, line: np.ndarray, place: np.nda
         for d in range(DIMS):
             g["embed"][:, d] = np.bincount(seen, dx[:, d], CODES + 1)
         grad /= len(part)
-        squares += grad * grad
-        flat -= rate * grad / np.sqrt(squares)
+        np.multiply(grad, grad, out=step)
+        squares += step
+        np.sqrt(squares, out=step)
+        np.divide(grad, step, out=step)
+        step *= rate
+        flat -= step
 
 
 def _rows(flat: np.ndarray, words: int, salt: int) -> Iterator[dict]:
@@ -187,31 +209,30 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def trained_weights(docs: DataFrame, *, rounds: int = 3, rate: float = 0.2) -> np.ndarray:
     """Weights learned from every word of ``docs``: each round masks one in ``rounds`` of every document.
 
-    Weights are summed
+    The words' codes are written once and read in every round. Weights are summed
     in two levels of partitions; ``len(weights)`` numbers reach the driver, once a round.
     """
-    bounded_batches(docs.sparkSession)
-    texts = docs.select(F.col("text").cast("string").alias("text"))
+    lines = written(coded(docs), "codes")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = _Codes(), np.zeros(CODES)
+        seen = np.zeros(CODES)
         for batch in batches:
-            for piece in pieces_of(batch):
-                for t in piece.column("text"):
-                    seen += np.bincount(codes_of(t.as_py(), known), minlength=CODES)
+            for x in batch.column("codes"):
+                seen += np.bincount(np.frombuffer(x.as_py(), CODE), minlength=CODES)
         yield pa.RecordBatch.from_pylist(list(_rows(seen, 1, int(seen.sum()) % 61)), schema=SUMS_ARROW)
 
-    total = _summed(texts.mapInArrow(count, SUMS))
+    total = _summed(lines.mapInArrow(count, SUMS))
     flat = with_frequencies(initial(), total[0]) if total else initial()
     for r in range(rounds):
         start, step = flat, rate / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, squares, known, words = start.copy(), np.full(len(start), 1e-4, np.float32), _Codes(), 0
+            own, squares, words = start.copy(), np.full(len(start), 1e-4, np.float32), 0
             salt = 0
             for batch in batches:
-                for piece in pieces_of(batch, most_bytes=2 << 20):
-                    line, place, owner = laid_out([codes_of(t.as_py(), known) for t in piece.column("text")])
+                for piece in pieces_of(batch, "codes", 1 << 20):
+                    line, place, owner = laid_out(
+                        [np.frombuffer(x.as_py(), CODE).astype(np.int64) for x in piece.column("codes")])
                     mask = masked_places(place, owner, r, rounds)
                     learn(own, squares, line, mask, step)
                     words += len(mask)
@@ -219,12 +240,26 @@ def trained_weights(docs: DataFrame, *, rounds: int = 3, rate: float = 0.2) -> n
             if words:
                 yield pa.RecordBatch.from_pylist(list(_rows(own, words, salt)), schema=SUMS_ARROW)
 
-        total = _summed(texts.mapInArrow(run, SUMS))
+        total = _summed(lines.mapInArrow(run, SUMS))
         if total:
             flat = (total[0] / total[1]).astype(np.float32)
     return flat
 
 
+def coded(docs: DataFrame) -> DataFrame:
+    """(codes binary): the word codes of every text, two bytes each; null and blank texts have none."""
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Codes()
+        for batch in batches:
+            for piece in pieces_of(batch):
+                yield pa.record_batch([pa.array([codes_of(t.as_py(), known).astype(CODE).tobytes()
+                                                 for t in piece.column("text")], pa.binary())], names=["codes"])
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "codes binary")
+
+
 def _summed(local: DataFrame) -> tuple[np.ndarray, int] | None:
     """Sums of the tasks' numbers and of their words, added up in two levels of partitions."""
     halfway = local.repartition("chunk", "salt").mapInArrow(_added, SUMS)
