@@ -411,20 +411,31 @@ def e26(spark, d):
     return tidy(scoring.performance_report(metrics).select("performance_score", "drift_count"))
 
 
-@query("m12_performance_alerts",
-       "SELECT location, 'CRITICAL: accuracy below 70%' AS alert FROM (SELECT location, avg(cast(alarm = prediction AS int)) AS acc "
-       "FROM p GROUP BY location) WHERE acc < 0.7e0 "
-       "UNION ALL SELECT location, 'WARNING: response time above 5 s' FROM (SELECT location, avg(value) AS ms FROM p GROUP BY location) "
-       "WHERE ms / 10 > 5", _PREDICTIONS)
+# A group is healthy if under a twentieth of its readings cannot be scored.
+_M12_GROUPS = _PREDICTIONS + f""",
+health AS (
+  SELECT device_id, location, 100.0e0 * avg(cast(alarm = prediction AS int)) AS acc, avg(value) / 10 AS secs,
+    avg(cast(coalesce({_BAD}, false) AS int)) < 0.05e0 AS healthy,
+    cast(100.0e0 * avg(prediction) > 15 AS int) + cast(100.0e0 * avg(prediction) < 0.5e0 AS int)
+      + cast(avg(confidence) < 0.6e0 AS int) + cast(avg(cast(confidence < 0.5e0 AS int)) > 0.2e0 AS int) AS drift
+  FROM p GROUP BY device_id, location),
+judged AS (
+  SELECT *, round(CASE WHEN healthy THEN 25 ELSE 0 END + acc * 0.4e0 + greatest(0, 25 - secs * 10) + greatest(0, 10 - drift * 2), 2)
+    AS score FROM health)"""
+
+
+@query("m12_performance_alerts", unioned([
+    f"SELECT device_id, location, '{text}' AS alert FROM judged WHERE {hit}" for text, hit in (
+        ("CRITICAL: performance degraded", "score < 50"), ("CRITICAL: scoring not available", "NOT healthy"),
+        ("CRITICAL: accuracy below 70%", "acc < 70"), ("WARNING: response time above 5 s", "secs > 5"),
+        ("WARNING: several drift indicators", "drift > 3"))]), _M12_GROUPS)
 def m12(spark, d):
-    per_location = _predictions(spark, d).groupBy("location").agg(
-        F.lit(True).alias("healthy"),
-        (100 * F.avg((c(ALARM) == F.col("prediction")).cast("int"))).alias("accuracy"),
-        (F.avg(c("NC2.5") / 2) / 10).alias("response_seconds"), F.lit(0).alias("drift_count"))
-    found = scoring.performance_report(per_location)
-    texts = F.explode("alerts").alias("alert")
-    return found.select("location", texts).where(
-        F.col("alert").isin("CRITICAL: accuracy below 70%", "WARNING: response time above 5 s"))
+    """All alerts of every device and place: accuracy, times, drift and the share that cannot be scored."""
+    judged = _predictions(spark, d).withColumns({
+        "failed": validate.reading_failed(), "seconds": c("NC2.5") / 2 / 10})
+    metrics = scoring.performance_metrics(judged, "device_id", "location", seconds="seconds")
+    found = scoring.performance_report(metrics)
+    return found.select("device_id", "location", F.explode("alerts").alias("alert"))
 
 
 @query("n10_promotion_gate",

@@ -186,22 +186,45 @@ def window_samples(predictions: DataFrame, duration: str, n: int = 5,
     return placed.withColumn("sample", F.row_number().over(order)).where(F.col("sample") <= n)
 
 
-def drift_report(predictions: DataFrame) -> DataFrame:
-    """Fire rate, confidence shares and drift indicators, one row."""
+def performance_metrics(predictions: DataFrame, *groups: str, seconds: str, failed: str = "failed",
+                        most_failed: float = 0.05, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """What ``performance_report`` reads, per group (one row without groups), from one pass.
+
+    ``seconds`` is the response time of a prediction, ``failed`` whether it could not be made; a
+    group is healthy if less than ``most_failed`` of it failed. Rows without label or prediction
+    do not count for the accuracy. The drift indicators are those of ``drift_report``.
+    """
+    rates = predictions.groupBy(*[c(g) for g in groups]).agg(
+        *drift_rates(), F.avg(c(failed).cast("int")).alias("failed_share"),
+        (100 * F.avg((c(spec.label) == F.col("prediction")).cast("int"))).alias("accuracy"),
+        F.avg(c(seconds)).alias("response_seconds"))
+    return rates.select(*[c(g) for g in groups], (F.col("failed_share") < most_failed).alias("healthy"),
+                        "accuracy", "response_seconds", F.size(drift_indicators()).alias("drift_count"))
+
+
+def drift_rates() -> list[Column]:
+    """Aggregates that ``drift_indicators`` judges."""
     conf = F.col("confidence")
-    rates = predictions.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         (100 * F.avg((F.col("prediction") == 1).cast("int"))).alias("fire_rate_percent"),
         F.avg(conf).alias("mean_confidence"),
         F.avg((conf > 0.8).cast("int")).alias("high_share"),
         F.avg(conf.between(0.5, 0.8).cast("int")).alias("medium_share"),
-        F.avg((conf < 0.5).cast("int")).alias("low_share"))
-    tests = [
+        F.avg((conf < 0.5).cast("int")).alias("low_share")]
+
+
+def drift_indicators() -> Column:
+    return texts([
         F.when(F.col("fire_rate_percent") > 15, "high fire rate"),
         F.when(F.col("fire_rate_percent") < 0.5, "very low fire rate"),
         F.when(F.col("mean_confidence") < 0.6, "low mean confidence"),
-        F.when(F.col("low_share") > 0.2, "many low-confidence predictions")]
-    return rates.withColumn("indicators", texts(tests))
+        F.when(F.col("low_share") > 0.2, "many low-confidence predictions")])
+
+
+def drift_report(predictions: DataFrame) -> DataFrame:
+    """Fire rate, confidence shares and drift indicators, one row."""
+    return predictions.agg(*drift_rates()).withColumn("indicators", drift_indicators())
 
 
 def interval_metrics(log: DataFrame, duration: str, seconds: float,
