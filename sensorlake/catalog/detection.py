@@ -129,23 +129,34 @@ def m02(spark, d):
 _ROW_VALUES = ("rv AS (SELECT id, coalesce(t, 0) AS t, coalesce(h, 0) AS h, coalesce(tvoc, 0) AS tvoc, "
                "coalesce(eco2, 0) AS eco2, coalesce(pm25, 0) AS pm25, alarm FROM r)")
 _M3_PARTS = [
-    ("t > 50", "Temperature[C]", "HIGH", "t", "50"), ("t < -10", "Temperature[C]", "LOW", "t", "-10"),
-    ("h > 90", "Humidity[%]", "HIGH", "h", "90"), ("h < 10", "Humidity[%]", "LOW", "h", "10"),
-    ("tvoc > 1000", "TVOC[ppb]", "HIGH", "tvoc", "1000"),
-    ("eco2 > 1000", "eCO2[ppm]", "HIGH", "eco2", "1000"),
-    ("pm25 > 35", "PM2.5", "HIGH", "pm25", "35"),
-    ("alarm = 1", "Fire Alarm", "CRITICAL", "cast(alarm AS double)", "1"),
+    ("t > 50", "Temperature[C]", "HIGH", "t", "50", "High temperature: #°C"),
+    ("t < -10", "Temperature[C]", "LOW", "t", "-10", "Low temperature: #°C"),
+    ("h > 90", "Humidity[%]", "HIGH", "h", "90", "High humidity: #%"),
+    ("h < 10", "Humidity[%]", "LOW", "h", "10", "Low humidity: #%"),
+    ("tvoc > 1000", "TVOC[ppb]", "HIGH", "tvoc", "1000", "High TVOC: # ppb"),
+    ("eco2 > 1000", "eCO2[ppm]", "HIGH", "eco2", "1000", "High eCO2: # ppm"),
+    ("pm25 > 35", "PM2.5", "HIGH", "pm25", "35", "High PM2.5: # μg/m³"),
+    ("alarm = 1", "Fire Alarm", "CRITICAL", "cast(alarm AS double)", "1", "FIRE ALARM ACTIVATED!"),
 ]
 _M3 = unioned([
     f"SELECT id AS event_id, '{sensor}' AS sensor, {rounded(v, 'value')}, "
-    f"cast({limit} AS double) AS threshold, '{severity}' AS severity FROM rv WHERE {cond}"
-    for cond, sensor, severity, v, limit in _M3_PARTS])
+    f"cast({limit} AS double) AS threshold, '{severity}' AS severity, '{said}' AS said FROM rv WHERE {cond}"
+    for cond, sensor, severity, v, limit, said in _M3_PARTS])
+
+
+def said(found: DataFrame) -> DataFrame:
+    """Alerts with their message, in which # stands for the value: the engines print doubles differently."""
+    own = F.concat(F.lit(": "), F.col("value").cast("string"))
+    return tidy(found.withColumn("said", F.replace("message", own, F.lit(": #"))).drop("message", "alert_type"))
 
 
 @query("m03_reading_alerts", _M3, _ROW_VALUES)
 def m03(spark, d):
-    found = alerts.explode_alerts(readings(spark, d), alerts.reading_alerts(), "event_id")
-    return tidy(found.drop("message", "alert_type"))
+    return said(alerts.explode_alerts(readings(spark, d), alerts.reading_alerts(), "event_id"))
+
+
+_LADDER_WORDS = {("CRITICAL", "<"): "Critically low", ("CRITICAL", ">"): "Critically high", ("HIGH", "<"): "Low",
+                 ("HIGH", ">"): "High", ("MEDIUM", ">"): "Elevated"}
 
 
 def _ladder_parts() -> list[str]:
@@ -157,11 +168,12 @@ def _ladder_parts() -> list[str]:
                                       (lad.low_high, "<", "HIGH"), (lad.high_high, ">", "HIGH"),
                                       (lad.high_medium, ">", "MEDIUM")):
             if limit is not None:
-                whens.append((f"{v} {side} {limit}", severity, limit))
-        sev = " ".join(f"WHEN {w} THEN '{s}'" for w, s, _ in whens)
-        thr = " ".join(f"WHEN {w} THEN {x}e0" for w, _, x in whens)
+                whens.append((f"{v} {side} {limit}", severity, limit, _LADDER_WORDS[severity, side]))
+        sev = " ".join(f"WHEN {w} THEN '{s}'" for w, s, _, _ in whens)
+        thr = " ".join(f"WHEN {w} THEN {x}e0" for w, _, x, _ in whens)
+        text = " ".join(f"WHEN {w} THEN '{word} {lad.channel}: #'" for w, _, _, word in whens)
         parts.append(f"SELECT id AS event_id, '{lad.channel}' AS sensor, {rounded(v, 'value')}, "
-                     f"CASE {thr} END AS threshold, CASE {sev} END AS severity FROM r "
+                     f"CASE {thr} END AS threshold, CASE {sev} END AS severity, CASE {text} END AS said FROM r "
                      f"WHERE CASE {sev} END IS NOT NULL")
     return parts
 
@@ -171,8 +183,7 @@ _M4 = unioned(_ladder_parts())
 
 @query("m04_severity_ladder", _M4)
 def m04(spark, d):
-    found = alerts.explode_alerts(readings(spark, d), alerts.ladder_alerts(), "event_id")
-    return tidy(found.drop("message", "alert_type"))
+    return said(alerts.explode_alerts(readings(spark, d), alerts.ladder_alerts(), "event_id"))
 
 
 _PATTERN = """pat AS (
@@ -181,17 +192,18 @@ _PATTERN = """pat AS (
   FROM r WHERE t IS NOT NULL AND tvoc IS NOT NULL AND eco2 IS NOT NULL AND pm25 IS NOT NULL
     AND alarm IS NOT NULL)"""
 _M5 = """
-SELECT id AS event_id, 'Fire Alarm' AS sensor, 1.0e0 AS value, 1.0e0 AS threshold, 'CRITICAL' AS severity
-FROM pat WHERE alarm = 1
+SELECT id AS event_id, 'Fire Alarm' AS sensor, 1.0e0 AS value, 1.0e0 AS threshold, 'CRITICAL' AS severity,
+  'FIRE ALARM ACTIVATED!' AS said FROM pat WHERE alarm = 1
 UNION ALL
 SELECT id, 'Fire Pattern', cast(hits AS double), CASE WHEN hits >= 3 THEN 3.0e0 ELSE 2.0e0 END,
-  CASE WHEN hits >= 3 THEN 'CRITICAL' ELSE 'HIGH' END FROM pat WHERE hits >= 2"""
+  CASE WHEN hits >= 3 THEN 'CRITICAL' ELSE 'HIGH' END,
+  CASE WHEN hits >= 3 THEN 'Fire pattern detected: ' ELSE 'Potential fire risk: ' END || hits || '/4 indicators active'
+FROM pat WHERE hits >= 2"""
 
 
 @query("m05_fire_pattern", _M5, _PATTERN)
 def m05(spark, d):
-    found = alerts.explode_alerts(readings(spark, d), alerts.pattern_alerts(), "event_id")
-    return tidy(found.drop("message", "alert_type"))
+    return said(alerts.explode_alerts(readings(spark, d), alerts.pattern_alerts(), "event_id"))
 
 
 _ROLL = long_cte(list(DOUBLE_CHANNELS)) + """,
@@ -226,16 +238,17 @@ def m06(spark, d):
 
 
 _L2 = unioned([
-    f"SELECT event_id, sensor, value, threshold, severity, 'BASIC' AS alert_type FROM ({_M3})",
+    f"SELECT event_id, sensor, value, threshold, severity, said, 'BASIC' AS alert_type FROM ({_M3})",
     "SELECT id AS event_id, 'ML' AS sensor, 0.8e0 AS value, 0.5e0 AS threshold, 'HIGH' AS severity, "
-    "'ML_FIRE_PREDICTION' AS alert_type FROM r WHERE t > 60"])
+    "'Fire predicted with confidence 0.80' AS said, 'ML_FIRE_PREDICTION' AS alert_type FROM r WHERE t > 60"])
 
 
 @query("l02_combined_alerts", _L2, _ROW_VALUES)
 def l02(spark, d):
     scored = rule_scores(readings(spark, d))
     both = [*alerts.reading_alerts(), *alerts.prediction_alerts()]
-    return tidy(alerts.explode_alerts(scored, both, "event_id").drop("message"))
+    found = alerts.explode_alerts(scored, both, "event_id")
+    return said(found.withColumn("kind", F.col("alert_type"))).withColumnRenamed("kind", "alert_type")
 
 
 _WQ = """SELECT window_start, window_end, record_count,

@@ -46,19 +46,19 @@ def _decoded(spark, d):
 @query("m03_faulty_numbers", det._M3, f"{_GAPS},\n{_gappy(det._ROW_VALUES)}")
 def m03(spark, d):
     found = alerts.explode_alerts(_decoded(spark, d), alerts.reading_alerts(), "event_id")
-    return tidy(found.drop("message", "alert_type"))
+    return det.said(found)
 
 
 @query("m04_faulty_numbers", _gappy(det._M4), _GAPS)
 def m04(spark, d):
     found = alerts.explode_alerts(_decoded(spark, d), alerts.ladder_alerts(), "event_id")
-    return tidy(found.drop("message", "alert_type"))
+    return det.said(found)
 
 
 @query("m05_faulty_numbers", det._M5, f"{_GAPS},\n{_gappy(det._PATTERN)}")
 def m05(spark, d):
     found = alerts.explode_alerts(_decoded(spark, d), alerts.pattern_alerts(), "event_id")
-    return tidy(found.drop("message", "alert_type"))
+    return det.said(found)
 
 
 @query("e01_faulty_numbers",

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.functions.columns import alert_level
-from sensorlake.operators import clean, evaluation, patterns, scoring, validate
+from sensorlake.operators import clean, evaluation, patterns, quality, scoring, validate
 from sensorlake.plans import features, historical, training
 from sensorlake.plans.daily import daily_features
 from sensorlake.spec import NUMERIC_CHANNELS, c
@@ -102,6 +102,25 @@ def test_performance_report(spark):
     assert bad.performance_score == pytest.approx(24 + 2) and len(bad.alerts) == 5 and len(bad.recommendations) == 4
 
 
+def test_performance_metrics(spark):
+    rows = ([("a", 1, 1, 0.9, 1.0, False)] * 30 + [("b", 1, 0, 0.4, 6.0, True)] * 10
+            + [("b", None, 0, 0.4, None, False)])
+    df = spark.createDataFrame(rows, "place string, `Fire Alarm` int, prediction int, confidence double, "
+                                     "secs double, failed boolean")
+    got = {r.place: r for r in scoring.performance_metrics(df, "place", seconds="secs").collect()}
+    assert tuple(got["a"])[1:] == (True, 100.0, 1.0, 1)
+    assert tuple(got["b"])[1:] == (False, 0.0, 6.0, 3)
+    whole = scoring.performance_metrics(df, seconds="secs").first()
+    assert whole.drift_count == len(scoring.drift_report(df).first().indicators)
+    assert scoring.performance_metrics(df.limit(0), "place", seconds="secs").collect() == []
+
+
+def test_type_issues_by_schema(spark):
+    df = spark.createDataFrame([(1, 1.5, "x"), (2, float("nan"), "2"), (None, None, None)], "i int, d double, s string")
+    got = {r.channel: (r.present, r.not_numeric, r.issue) for r in quality.type_issues(df, ["i", "d", "s"]).collect()}
+    assert got == {"i": (2, 0, False), "d": (2, 1, True), "s": (2, 1, True)}
+
+
 def test_gate_and_best(spark):
     df = spark.createDataFrame([("a", 0.9, 0.8), ("b", 0.9, 0.7), ("c", 0.7, 0.8)], "model string, accuracy double, f1 double")
     assert [r.model for r in evaluation.promote(df).collect()] == ["a"]
