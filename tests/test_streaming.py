@@ -18,7 +18,8 @@ from sensorlake.streaming import progress as progress_module
 from sensorlake.streaming.current import alert_transitions, latest, open_alerts
 from sensorlake.streaming.monitor import monitor_report, monitor_samples, parse_predictions, start_monitor
 from sensorlake.streaming.progress import ProgressLog, progress_table, progress_totals
-from sensorlake.streaming.replay import closable, in_parts, replay
+from sensorlake.streaming import replay as replay_module
+from sensorlake.streaming.replay import closable, in_parts, parted_stream, replay
 from sensorlake.streaming import stateful
 from sensorlake.streaming.stateful import RollingScores, rolling_scores_stream
 from tests.conftest import FIRE, NORMAL, OUTLIER
@@ -318,3 +319,19 @@ def test_parts_follow_the_time(spark, make_readings, tmp_path):
     assert sorted(sum(ids, [])) == list(range(10))
     in_parts(df.limit(0), str(tmp_path / "none"), 2)
     assert spark.read.schema(df.schema).parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_a_large_part_is_written_as_several_files_of_one_batch(spark, make_readings, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay_module, "FILE_ROWS", 1000)
+    df = make_readings([NORMAL] * 9000, step=60)
+    stream = parted_stream(df, str(tmp_path / "p"), 3)
+    assert len(list((tmp_path / "p").glob("*.parquet"))) == 9
+    batches = []
+    query = (stream.writeStream.foreachBatch(lambda batch, epoch: batches.append(sorted(r.event_id for r in batch.collect())))
+             .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert batches == [list(range(at, at + 3000)) for at in (0, 3000, 6000)]
+    # A part without rows is one file, and so are all others then.
+    gap = df.where("event_id < 3000 OR event_id >= 6000")
+    parted_stream(gap, str(tmp_path / "gap"), 3)
+    assert len(list((tmp_path / "gap").glob("*.parquet"))) == 3
