@@ -335,3 +335,26 @@ def test_a_large_part_is_written_as_several_files_of_one_batch(spark, make_readi
     gap = df.where("event_id < 3000 OR event_id >= 6000")
     parted_stream(gap, str(tmp_path / "gap"), 3)
     assert len(list((tmp_path / "gap").glob("*.parquet"))) == 3
+
+
+def test_one_state_scores_all_channels_of_a_device(spark, make_readings, tmp_path):
+    """Frames count present values of their channel, also over restarts of the query."""
+    rows = [(20.0 + (i * 7 % 13), 40.0 + (i * 5 % 11), *NORMAL[2:]) for i in range(150)]
+    df = make_readings(rows, devices=("a", "b"), step=60)
+    df = df.withColumn("Temperature[C]", F.when(F.col("event_id") % 3 > 0, F.col("`Temperature[C]`")))
+    names = ["Temperature[C]", "Humidity[%]", "PM2.5"]
+    out = rolling_scores_stream(closable(parted(spark, df, str(tmp_path / "in"), 5), str(tmp_path / "closing")), "1 hour",
+                                names, size=20, min_values=5)
+    replay(spark, str(tmp_path / "closing"), lambda: (
+        out.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()))
+    key = lambda r: (r.channel, r.row_id if "row_id" in r else r.event_id)
+    got = {key(r): r for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    expected = {key(r): r for r in rolling.rolling_scores(df, names, size=20, min_values=5).collect()}
+    assert len(got) == 400 and set(got) == set(expected)
+    for k, r in got.items():
+        assert (r.n, r["mean"], r["std"], r.z) == (
+            expected[k].n, pytest.approx(expected[k]["mean"]), pytest.approx(expected[k]["std"]),
+            expected[k].z if expected[k].z is None else pytest.approx(expected[k].z))
+    states = spark.read.format("statestore").option("stateVarName", "tail").load(f"{tmp_path}/state")
+    assert states.select("key").distinct().count() == 2
