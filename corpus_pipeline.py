@@ -16,6 +16,7 @@ from sensorlake.llm.decontamination import without_leaks
 from sensorlake.llm.linededup import drop_repeated_lines
 from sensorlake.llm.nearcopies import one_of_similar
 from sensorlake.llm.packing import pack
+from sensorlake.llm.simhash import one_of_each
 from sensorlake.llm.toxicity import toxicity_scores
 
 WORDS = "word_bpe_49k.json"
@@ -40,8 +41,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a five-word similarity of at least 0.8."""
-    return one_of_similar(docs, width=5, similar=0.8)
+    """One document of each group that ``op3_simhash`` links, then of each five-word similarity of at least 0.8.
+
+    Fingerprints come first: they merge large groups before any two texts are compared.
+    """
+    return one_of_similar(one_of_each(docs, width=3), width=5, similar=0.8)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

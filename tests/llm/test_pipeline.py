@@ -6,6 +6,7 @@ from tests.llm.conftest import prose
 from tests.llm.test_decontamination import brute as brute_leaks
 from tests.llm.test_linededup import brute as brute_lines
 from tests.llm.test_nearcopies import brute as brute_groups
+from tests.llm.test_simhash import brute as brute_fingerprints
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,6 +43,15 @@ def test_near_copies(stages):
     assert sorted(i for i, _ in pairs(after)) == sorted(set(brute_groups(pairs(before)).values()))
 
 
+def test_near_copies_are_linked_by_fingerprints(spark):
+    """Repeated shingles count in a fingerprint, but not in a similarity."""
+    same = "one two three four five six seven " * 300
+    docs = spark.createDataFrame([(i, same + prose(i, 12)) for i in range(4)] + [(9, prose(99, 80))], "doc_id long, text string")
+    groups = {i: c for i, _, c in brute_fingerprints(pairs(docs))}
+    assert set(groups.values()) == {0, 9} and len(set(brute_groups(pairs(docs)).values())) == 5
+    assert sorted(i for i, _ in pairs(corpus_pipeline.drop_near_copies(spark, docs, SF))) == [0, 9]
+
+
 def test_leaks(stages, spark):
     before, after = stages["decontamination"]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:8]
