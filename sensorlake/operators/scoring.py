@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
-from sensorlake.functions.columns import alert_level, label_text, once, ratio, texts
+from sensorlake.functions.columns import alert_level, finite, label_text, once, ratio, texts
 from sensorlake.spec import DEFAULT_SPEC, TEMPERATURE, SensorSpec, c
 
 
@@ -197,18 +197,26 @@ def performance_metrics(predictions: DataFrame, *groups: str, seconds: str, fail
     rates = predictions.groupBy(*[c(g) for g in groups]).agg(
         *drift_rates(), F.avg(c(failed).cast("int")).alias("failed_share"),
         (100 * F.avg((c(spec.label) == F.col("prediction")).cast("int"))).alias("accuracy"),
-        F.avg(c(seconds)).alias("response_seconds"))
+        exact_mean(c(seconds), "decimal(26,12)").alias("response_seconds"))
     return rates.select(*[c(g) for g in groups], (F.col("failed_share") < most_failed).alias("healthy"),
                         "accuracy", "response_seconds", F.size(drift_indicators()).alias("drift_count"))
 
 
+def exact_mean(value: Column, decimal: str) -> Column:
+    """Mean of sums in decimals: its comparison with a limit does not depend on the order of rows.
+
+    NaN, infinities and values that do not fit are missing values.
+    """
+    return F.avg(finite(value.cast("double")).try_cast(decimal)).cast("double")
+
+
 def drift_rates() -> list[Column]:
     """Aggregates that ``drift_indicators`` judges."""
     conf = F.col("confidence")
     return [
         F.count(F.lit(1)).alias("total"),
         (100 * F.avg((F.col("prediction") == 1).cast("int"))).alias("fire_rate_percent"),
-        F.avg(conf).alias("mean_confidence"),
+        exact_mean(conf, "decimal(17,13)").alias("mean_confidence"),
         F.avg((conf > 0.8).cast("int")).alias("high_share"),
         F.avg(conf.between(0.5, 0.8).cast("int")).alias("medium_share"),
         F.avg((conf < 0.5).cast("int")).alias("low_share")]

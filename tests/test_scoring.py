@@ -258,3 +258,17 @@ def test_monitor_on_a_window(make_readings):
     row = scoring.prediction_monitor(out, "1 hour", 60.0).first()
     assert (row.total, row.fire, row.no_fire) == (3, 1, 2) and row.per_minute == pytest.approx(0.05)
     assert row.alert_distribution == {"NONE": 2, "MEDIUM": 0, "HIGH": 1, "CRITICAL": 0}
+
+
+def test_a_mean_on_its_limit_raises_no_alert_in_any_order(spark):
+    """Three numbers of sum 15, added as doubles, can give a little more."""
+    above = next((a, b, round(15 - a - b, 2)) for a in (x / 100 for x in range(401, 600)) for b in (4.9, 5.2, 5.37)
+                 if a + b + round(15 - a - b, 2) > 15)
+    for order in (above, above[::-1]):
+        rows = [(0, 0, False, x, 0.6 if i else 0.7) for i, x in enumerate(order)]
+        df = spark.createDataFrame(rows, "`Fire Alarm` int, prediction int, failed boolean, seconds double, confidence double").coalesce(1)
+        found = scoring.performance_metrics(df, seconds="seconds").first()
+        assert found.response_seconds == 5.0
+    low = spark.createDataFrame([(0, 0, False, 1.0, x) for x in (0.5, 0.63, 0.7, 0.68, 0.65, 0.53, 0.51)],
+                                df.schema).coalesce(1)
+    assert scoring.performance_metrics(low, seconds="seconds").first().drift_count == 1   # the fire rate alone
