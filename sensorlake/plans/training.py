@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.operators import evaluation, scoring
+from sensorlake.session import written
 from sensorlake.spec import (ALARM, ECO2, ETHANOL, H2, HUMIDITY, NUMERIC_CHANNELS, PM1, PM25, PRESSURE,
                              TEMPERATURE, TVOC, c)
 
@@ -82,7 +83,8 @@ def _sides(df: DataFrame, row_id: str, label: str, seed: int, train_percent: int
             .where(F.col("_upto") * 100 <= F.col("_all") * train_percent)
             .groupBy("_class").agg(F.max("_b").alias("_cut")))
     placed = df.withColumn("_b", _bucket(row_id, seed))
-    return (placed.join(cuts, c(label).eqNullSafe(F.col("_class")), "left")
+    # One row a class. A shuffle by class would put all rows of a class into one task.
+    return (placed.join(F.broadcast(cuts), c(label).eqNullSafe(F.col("_class")), "left")
             .withColumn("_train", F.coalesce(F.col("_b") <= F.col("_cut"), F.lit(False)))
             .drop("_b", "_class", "_cut"))
 
@@ -156,7 +158,8 @@ def search(df: DataFrame, estimator, grid: list, label: str = ALARM, *, folds: i
     Imputing and scaling are fitted on each fold's training rows only, once for all points
     of the grid. Ties go to the earlier point.
     """
-    labelled = _with_label(df, label)
+    # Every fold's stages and the last fit read it, which would compute the split each time.
+    labelled = written(_with_label(df.select(c(row_id), c(label), *[c(n) for n in channels if n not in (row_id, label)]), label), "labelled")
     fold = _bucket(row_id, 7) % folds
     judge = MulticlassClassificationEvaluator(labelCol="_label", metricName="fMeasureByLabel", metricLabel=1.0)
     totals = [0.0] * len(grid)
@@ -171,7 +174,7 @@ def search(df: DataFrame, estimator, grid: list, label: str = ALARM, *, folds: i
         unseen.unpersist()
     scores = [t / folds for t in totals]
     best = estimator.copy(grid[max(range(len(grid)), key=scores.__getitem__)])
-    return SearchResult(fit(df, best, label, channels, scale), grid, scores)
+    return SearchResult(fit(labelled, best, label, channels, scale), grid, scores)
 
 
 def search_results(found: SearchResult, spark: SparkSession) -> DataFrame:
@@ -183,7 +186,7 @@ def search_results(found: SearchResult, spark: SparkSession) -> DataFrame:
 
 def evaluate(model: PipelineModel, df: DataFrame, name: str, label: str = ALARM) -> DataFrame:
     """Metrics row of a fitted pipeline on held-out readings."""
-    scored = scoring.model_scores(model, df)
+    scored = written(scoring.model_scores(model, df).select(c(label), "prediction", "score"), "scored")
     weighted = evaluation.averaged_metrics(evaluation.class_report(scored, label))
     ranking = evaluation.ranking_metrics(scored, label)
     row = weighted.crossJoin(F.broadcast(ranking))   # one row each

@@ -272,3 +272,15 @@ def test_a_mean_on_its_limit_raises_no_alert_in_any_order(spark):
     low = spark.createDataFrame([(0, 0, False, 1.0, x) for x in (0.5, 0.63, 0.7, 0.68, 0.65, 0.53, 0.51)],
                                 df.schema).coalesce(1)
     assert scoring.performance_metrics(low, seconds="seconds").first().drift_count == 1   # the fire rate alone
+
+
+def test_split_never_shuffles_readings_by_class(spark, make_readings):
+    """A class would be one task's; tables too large for Spark's size estimate had that."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        train, _ = training.split(make_readings([NORMAL, FIRE] * 20), "event_id")
+        plan = train._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
