@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.spec import (DEFAULT_SPEC, ECO2, ETHANOL, H2, HUMIDITY, PM1, PM25, PRESSURE,
                              TEMPERATURE, TVOC, SensorSpec, c)
 
+# Quantiles among the window statistics: name -> (channel, probability).
+QUANTILES = {"temp_median": (TEMPERATURE, 0.5), "tvoc_95th_percentile": (TVOC, 0.95)}
+
 
 def analytics_columns(spec: SensorSpec = DEFAULT_SPEC) -> list[Column]:
     """The window statistics. All have bounded state: sums, extremes and sketches."""
@@ -25,8 +30,7 @@ def analytics_columns(spec: SensorSpec = DEFAULT_SPEC) -> list[Column]:
         F.max(tvoc).alias("max_tvoc"), F.max(c(PM25)).alias("max_pm25"),
         F.stddev_samp(t).alias("temp_stddev"), F.stddev_samp(h).alias("humidity_stddev"),
         F.stddev_samp(tvoc).alias("tvoc_stddev"), F.var_samp(t).alias("temp_variance"),
-        F.percentile_approx(t, 0.5).alias("temp_median"),
-        F.percentile_approx(tvoc, 0.95).alias("tvoc_95th_percentile"),
+        *[F.percentile_approx(c(n), p).alias(name) for name, (n, p) in QUANTILES.items()],
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(alarm).alias("fire_alarm_count"),
         F.sum(F.when(alarm, 1).otherwise(0)).alias("total_fire_alarms"),
@@ -46,6 +50,36 @@ def window_analytics(df: DataFrame, duration: str = "5 minutes", slide: str = "1
         *analytics_columns(spec))
 
 
+def with_exact_quantiles(windows: DataFrame, df: DataFrame, duration: str, slide: str,
+                         *by: str, event_time: str | None = None,
+                         spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """``windows`` of ``df`` with the exact discrete quantiles in place of the sketches' values.
+
+    For tables, such as a stream's archive. Equal values of a window are counted before they
+    are ranked, and ranks are running sums of these counts: a window's distinct values are
+    sorted, which may spill, and are never one row's state.
+    """
+    ts, keys = c(event_time or spec.event_time), ["window", *by]
+    cells = F.array(*[F.struct(F.lit(name).alias("_name"), c(n).cast("double").alias("_value"))
+                      for name, (n, _) in QUANTILES.items()])
+    counts = (df.select(ts.alias("_ts"), *[c(b) for b in by], F.inline(cells)).where("_value IS NOT NULL")
+              .groupBy(F.window("_ts", duration, slide), *[c(b) for b in by], "_name", "_value")
+              .agg(F.count(F.lit(1)).alias("_n")))
+    group = Window.partitionBy(*[c(k) for k in keys], "_name")
+    # Decimals: 0.95 of a whole number must not fall a hair above its rank.
+    share = F.create_map(*[x for name, (_, p) in QUANTILES.items() for x in (F.lit(name), F.lit(Decimal(str(p))))])
+    rank = F.ceil(share[F.col("_name")] * F.sum("_n").over(group).cast("decimal(20,0)"))
+    ranked = counts.withColumns({"_upto": F.sum("_n").over(group.orderBy("_value")), "_rank": rank})
+    found = (ranked.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+             .groupBy(*[c(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+             .agg(*[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(f"_q_{name}") for name in QUANTILES]))
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & c(k).eqNullSafe(F.col(f"_k{i}"))
+    return windows.join(found, match, "left").select(
+        *[F.col(f"_q_{n}").alias(n) if n in QUANTILES else c(n) for n in windows.columns])
+
+
 def window_members(df: DataFrame, duration: str, slide: str,
                    spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Which devices and locations reported in each window, one row each with its count.

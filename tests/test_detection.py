@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators import alerts, quality, rolling, windows
 from sensorlake.plans.detect import detect_all, messages
-from sensorlake.spec import DEFAULT_SPEC, REQUIRED_CHANNELS, WindowLimits
+from sensorlake.spec import DEFAULT_SPEC, READING_SCHEMA, REQUIRED_CHANNELS, WindowLimits
 from tests.conftest import FIRE, NORMAL, OUTLIER
 
 
@@ -103,6 +103,32 @@ def test_device_windows(make_readings):
     assert (got["s0"].max_temperature, got["s0"].min_temperature, got["s0"].avg_temperature) == (29.0, 20.0, 24.5)
 
 
+def test_exact_window_quantiles(spark):
+    """Beyond 10,000 values of a window the sketches' quantiles are near values only."""
+    n = 60_001
+    df = spark.range(n).select(
+        F.timestamp_seconds(F.lit(1_704_067_200)).alias("timestamp"), F.lit("s").alias("device_id"), F.lit("lab").alias("location"),
+        *[F.lit(None).cast("double").alias(x) for x in windows_channels()],
+        F.when(F.col("id") % 20 > 0, (F.col("id") * 7919 % n).cast("double")).alias("Temperature[C]"),
+        (F.col("id") * 104_729 % n).cast("double").alias("TVOC[ppb]"), F.lit(0).alias("Fire Alarm"))
+    sketched = windows.window_analytics(df, "1 hour", "30 minutes")
+    got = windows.with_exact_quantiles(sketched, df, "1 hour", "30 minutes")
+    assert got.columns == sketched.columns
+    present = sorted(i * 7919 % n for i in range(n) if i % 20)
+    rows = got.collect()
+    assert len(rows) == 2
+    for r in rows:
+        assert r.temp_median == present[-(-len(present) // 2) - 1]
+        assert r.tvoc_95th_percentile == -(-n * 95 // 100) - 1
+    none = windows.with_exact_quantiles(sketched, df.where("false"), "1 hour", "30 minutes").first()
+    assert none.temp_median is None and none.record_count == n
+
+
+def windows_channels():
+    return [f.name for f in READING_SCHEMA.fields
+            if f.name not in ("Temperature[C]", "TVOC[ppb]", "Fire Alarm", "timestamp", "device_id", "location")]
+
+
 def test_window_quality(spark):
     df = spark.createDataFrame([(5, 0.05, 101.0, -60.0), (50, 3.0, 30.0, 20.0), (200, 0.0, 30.0, 20.0)],
                                "record_count long, temp_stddev double, max_temperature double, min_temperature double")
