@@ -6,7 +6,10 @@ of similarity 0.8 shares a block with probability 0.8 ** 5, so that all 32 block
 3 times in a million. (Sums of signs, as in ``simhash``, differ in a seventh of their bits at
 that similarity: blocks that such pairs share are too short to tell texts apart.) The lowest
 bits of the values give a 160-bit fingerprint, whose Hamming distance drops unlike pairs
-before their texts are read; the exact Jaccard similarity decides.
+before their texts are read; so does a parity of the shingles in each of ``PARITIES`` classes,
+whose distance is never more than the number of shingles that only one of two texts has. It
+tells texts of up to some thousand words apart that are just less similar than asked, and loses
+no pair. The exact Jaccard similarity decides.
 
 Copies are merged before. Each text is compared with the first of each of its blocks, and what
 is linked becomes a component; then, in blocks that hold several components, the texts
@@ -36,6 +39,9 @@ VALUES = BLOCKS * ROWS
 # many happens once in ten million such pairs.
 FARTHEST = 37
 BITS = ("b0", "b1", "b2")
+# Classes of shingles whose parities are kept, 64 in a long.
+PARITIES = 1024
+ODD = tuple(f"p{i}" for i in range(PARITIES // 64))
 # Shingles minimised at a time: the products stay in a core's cache.
 CHUNK = 512
 # Shingle sets that a task keeps for its next pairs.
@@ -87,11 +93,17 @@ def bits_of(low: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view("<i8")
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each class is odd, in ``PARITIES`` / 64 longs."""
+    counts = np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
 def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, th, set, n, keys, b0, b1, b2) of every row: ``th`` its text's hash, ``set`` its shingle set's."""
+    """(doc_id, th, set, n, keys, b0 to b2, p0 to p15) of every row: ``th`` its text's hash, ``set`` its shingle set's."""
     bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("set", pa.int64()), ("n", pa.int64()),
-                        ("keys", pa.list_(pa.int64())), *[(b, pa.int64()) for b in BITS]])
+                        ("keys", pa.list_(pa.int64())), *[(b, pa.int64()) for b in BITS + ODD]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,13 +113,13 @@ def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
                     shingles = shingle_set(t.as_py(), width)
                     low = minima(shingles)
                     found.append((xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63), len(shingles),
-                                  block_keys(low), *bits_of(low).tolist()))
+                                  block_keys(low), *bits_of(low).tolist(), *parities(shingles).tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), piece.column("th"),
-                     *[pa.array([f[i] for f in found], schema.field(i + 2).type) for i in range(6)]], schema=schema)
+                     *[pa.array([f[i] for f in found], schema.field(i + 2).type) for i in range(len(schema) - 2)]], schema=schema)
 
     return _hashed(docs).select("doc_id", "th", "text").mapInArrow(
-        run, "doc_id long, th long, set long, n long, keys array<long>, b0 long, b1 long, b2 long")
+        run, "doc_id long, th long, set long, n long, keys array<long>, " + ", ".join(f"{b} long" for b in BITS + ODD))
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -117,9 +129,13 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 def _alike(similar: float) -> Column:
     """Whether sketches ``x`` and ``y`` may belong to sets of that similarity."""
-    apart = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BITS])
-    return ((apart <= FARTHEST) & (F.col("x.n") >= F.col("y.n") * similar - 1e-9)
-            & (F.col("y.n") >= F.col("x.n") * similar - 1e-9))
+    def apart(bits: tuple[str, ...]) -> Column:
+        return reduce(lambda p, q: p + q, [F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in bits])
+
+    # Of a + b shingles at most this part is in one of the sets only: J = (a + b - d) / (a + b + d).
+    most = (F.col("x.n") + F.col("y.n")) * ((1 - similar) / (1 + similar)) + 1e-9
+    return ((apart(BITS) <= FARTHEST) & (F.col("x.n") >= F.col("y.n") * similar - 1e-9)
+            & (F.col("y.n") >= F.col("x.n") * similar - 1e-9) & (apart(ODD) <= most))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, similar: float) -> DataFrame:
@@ -168,8 +184,8 @@ def similar_documents(docs: DataFrame, *, width: int = 5, similar: float = 0.8)
     every = written(sketches(docs, width), "sketches")
     distinct = written(every.groupBy("set").agg(
         F.min("th").alias("rep"), F.min("doc_id").alias("first"),
-        F.first(F.struct("n", "keys", *BITS)).alias("s")).select("set", "rep", "first", "s.*"), "sets")
-    marks = distinct.select("rep", "n", *BITS)
+        F.first(F.struct("n", "keys", *BITS, *ODD)).alias("s")).select("set", "rep", "first", "s.*"), "sets")
+    marks = distinct.select("rep", "n", *BITS, *ODD)
     keyed = distinct.where("n > 0").select("rep", F.explode("keys").alias("key"))
     heads = keyed.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = written(keyed.join(heads, "key").select("key", "rep", "head"), "shared-blocks")

@@ -3,7 +3,8 @@ from collections import defaultdict
 
 import pytest
 
-from sensorlake.llm.nearcopies import one_of_similar, similar_documents
+from sensorlake.llm import nearcopies
+from sensorlake.llm.nearcopies import one_of_similar, parities, shingle_set, similar_documents
 from tests.llm.conftest import prose
 
 
@@ -90,3 +91,27 @@ def test_odd_rows(odd, nothing):
     assert kept.columns == odd.columns and kept.where("doc_id IS NULL").count() == 2
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 4, 5, 7, 8, 10]
     assert similar_documents(nothing).collect() == [] and one_of_similar(nothing).collect() == []
+
+
+def test_parities_never_exceed_the_difference():
+    base = prose(800, 400)
+    for i in range(40):
+        a, b = shingle_set(base), shingle_set(edited(base, 5000 + i, 5 + 4 * i))
+        apart = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in parities(a) ^ parities(b))
+        only = len(set(a.tolist()) ^ set(b.tolist()))
+        assert apart <= only and (apart - only) % 2 == 0
+    assert not parities(shingle_set(None)).any()
+
+
+def test_crowd_of_less_similar_texts_is_not_verified_pair_by_pair(spark, monkeypatch):
+    """Copies of one text that are all a little under 0.8 alike share blocks, but few pairs' texts are read."""
+    base, seen = prose(900, 150), []
+    crowd = [edited(base, 7000 + i, 22) for i in range(120)]
+    links = [edited(crowd[i], 8000 + i, 140) for i in range(0, 120, 10)]
+    rows = list(enumerate(crowd + links, 1))
+    verified = nearcopies.verified
+    monkeypatch.setattr(nearcopies, "verified", lambda pairs, *more: seen.append(pairs.count()) or verified(pairs, *more))
+    got = dict(similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows)
+    assert len(set(got.values())) > 60
+    assert sum(seen) < 5 * len(rows)
