@@ -150,3 +150,16 @@ def test_busy_key_is_spread_over_tasks(skewed):
     hot = skewed.where("key = 'hot'")
     per_slice = hot.groupBy(F.floor(F.unix_micros("ts") / (width * 1e6))).count().agg(F.max("count")).first()[0]
     assert per_slice < hot.count() / 4
+
+
+def test_sliding_sums_of_one_key_are_spread_over_tasks(spark):
+    """Rows that lie by key already, after a plain window, are dealt again by key and block."""
+    df = spark.range(20_000).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("timestamp"),
+                                    F.lit("one").alias("place"), F.col("id").cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = rolling_mean(df, ["place"], {"m": "v"}, size=50)
+        tasks = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 10_000
