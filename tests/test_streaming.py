@@ -8,10 +8,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sensorlake.catalog import streams
 from sensorlake.catalog.base import tidy
 from sensorlake.operators import rolling, windows
 from sensorlake.operators.scoring import rule_scores
 from sensorlake.sources.kafka import MESSAGE_SCHEMA, file_stream
+from sensorlake.sources.readings import project_readings
 from sensorlake.spec import READING_SCHEMA, REQUIRED_CHANNELS
 from sensorlake.streaming import pipeline
 from sensorlake.streaming import progress as progress_module
@@ -337,6 +339,23 @@ def test_a_large_part_is_written_as_several_files_of_one_batch(spark, make_readi
     assert len(list((tmp_path / "gap").glob("*.parquet"))) == 3
 
 
+def test_parts_of_a_stored_table_are_written_once_and_unprojected(spark, tmp_path, monkeypatch):
+    """The registered replays part the events themselves; no table of readings is written before."""
+    monkeypatch.setattr(replay_module, "written", lambda *_: pytest.fail("written twice"))
+    monkeypatch.setattr(streams, "scratch_dir", lambda _, name: f"{tmp_path}/{name}")
+    folder = "/root/testdata/sf0.001"
+    stream = streams._parted(spark, folder, "p", 3)
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    assert spark.read.parquet(f"{tmp_path}/p").columns == events.columns
+    batches = []
+    stream.writeStream.foreachBatch(lambda batch, epoch: batches.append(batch.collect())).option(
+        "checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == 3
+    assert all(max(r.timestamp for r in a) < min(r.timestamp for r in b) for a, b in zip(batches, batches[1:]))
+    key = lambda r: r.event_id
+    assert sorted(sum(batches, []), key=key) == sorted(project_readings(events).collect(), key=key)
+
+
 def test_one_state_scores_all_channels_of_a_device(spark, make_readings, tmp_path):
     """Frames count present values of their channel, also over restarts of the query."""
     rows = [(20.0 + (i * 7 % 13), 40.0 + (i * 5 % 11), *NORMAL[2:]) for i in range(150)]
