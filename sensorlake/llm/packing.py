@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.common import bounded_batches, pieces_of, written
 from sensorlake.llm.histogram import MOST_PARTS, bucketed, splitters
-from sensorlake.llm.wordbpe import ID, WordBpe
+from sensorlake.llm.wordbpe import ID, word_bpe
 
 LENGTH = 2048
 # Added after each document.
@@ -78,7 +78,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, plane = WordBpe(path), projection()
+        tokens, plane = word_bpe(path), projection()
         for batch in batches:
             for piece in pieces_of(batch, most_bytes=2 << 20):
                 ids = [x + ONE_END for x in tokens.encode(piece.column("text").to_pylist())]

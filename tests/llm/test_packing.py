@@ -86,3 +86,13 @@ def test_matrix_merges_equal_the_library(tokenizer):
     assert [np.frombuffer(x, ID).tolist() for x in own.encode(texts)] == want
     own.matrix = False
     assert [np.frombuffer(x, ID).tolist() for x in own.encode(texts)] == want
+
+
+def test_a_tokeniser_is_kept_for_the_next_task(tokenizer):
+    from sensorlake.llm.wordbpe import ID, word_bpe
+
+    own = word_bpe(PATH)
+    texts = ["a\0 \0b c\0\0d \0", "plain words, naïve ones; " + "y" * 31 + " " + "é" * 16 + " " + "z" * 33]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, ID).tolist() for x in own.encode(texts)] == want
+    assert word_bpe(PATH) is own and "naïve" in own.new
