@@ -34,7 +34,8 @@ EDGE = CODES  # stands beside the first and last word
 CODE = "<u2"  # as written
 SIDE = 2
 DIMS, HIDDEN = 12, 24
-BATCH = 8192
+# Words scored at once.
+BATCH = 1024
 # Words to a step of learning.
 STEP = 2048
 SHAPES = (("embed", (CODES + 1, DIMS)), ("mix", (2 * SIDE * DIMS, HIDDEN)), ("mix_bias", (HIDDEN,)),
@@ -100,12 +101,6 @@ def _around(line: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.stack([line[place + o] for o in range(-SIDE, SIDE + 1) if o], axis=1)
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
-
-
 def _hidden(w: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x = w["embed"][context].reshape(len(context), -1)
     return x, np.tanh(x @ w["mix"] + w["mix_bias"])
@@ -136,15 +131,31 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _log_sums(z: np.ndarray) -> np.ndarray:
+    """Logarithms of the summed exponentials of each column; ``z`` is used up."""
+    top = z.max(axis=0)
+    z -= top
+    np.exp(z, out=z)
+    return top + np.log(z.sum(axis=0))
+
+
 def log_probabilities(w: dict, line: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Log-probability of the word at each place given its neighbours."""
+    """Log-probability of the word at each place given its neighbours.
+
+    Words of one upper half are scored together, as columns: both halves' scores are one product.
+    """
     out = np.empty(len(line))
-    for at in range(0, len(place), BATCH):
-        part, high, low, groups = _by_upper(line, place[at:at + BATCH])
-        _, h = _hidden(w, _around(line, part))
-        own = np.arange(len(part))
-        out[part] = _log_softmax(h @ w["upper"] + w["upper_bias"])[own, high]
-        out[part] += _log_softmax(_lower_scores(w, h, high, groups))[own, low]
+    part, _, low, groups = _by_upper(line, place)
+    for k, rows in groups:
+        both = np.concatenate([w["upper"], w["lower"][k]], axis=1).T
+        bias = np.concatenate([w["upper_bias"], w["lower_bias"][k]])[:, None]
+        for at in range(rows.start, rows.stop, BATCH):
+            here = slice(at, min(at + BATCH, rows.stop))
+            _, h = _hidden(w, _around(line, part[here]))
+            z = both @ h.T
+            z += bias
+            found = z[k] + z[HALF + low[here], np.arange(len(h))]
+            out[part[here]] = found - _log_sums(z[:HALF]) - _log_sums(z[HALF:])
     return out[place]
 
 

@@ -102,6 +102,20 @@ def test_words_that_share_a_code(make_docs, monkeypatch):
         assert r["n_words"] == len(own) and (r["mean_log_prob"] is None) == (not own)
 
 
+def test_columns_give_the_scores_of_single_words():
+    """Words scored together have the log-probabilities of both steps, written out word by word."""
+    rng = np.random.default_rng(5)
+    w = lm.views(lm.with_frequencies(lm.initial(), rng.integers(0, 50, lm.CODES)))
+    line, place, _ = lm.laid_out([rng.integers(0, 200, 1500), rng.integers(0, lm.CODES, 300)])
+    got = lm.log_probabilities(w, line, place)
+    for n in rng.choice(len(place), 50, replace=False):
+        at = place[n]
+        _, h = lm._hidden(w, line[at + np.array([-2, -1, 1, 2])][None])
+        high, low = divmod(int(line[at]), lm.HALF)
+        z, y = h[0] @ w["upper"] + w["upper_bias"], h[0] @ w["lower"][high] + w["lower_bias"][high]
+        assert abs(got[n] - (z[high] - np.log(np.exp(z).sum()) + y[low] - np.log(np.exp(y).sum()))) < 1e-4
+
+
 def test_odd_rows(odd, nothing):
     got = lm.pseudo_likelihood(odd)
     assert sorted(got.columns) == sorted({*odd.columns, "n_words", "log_likelihood", "mean_log_prob"})
