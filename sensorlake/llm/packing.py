@@ -144,12 +144,15 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, slice_tokens: int
         else:
             bounds.append(s.key)
             slices.append((len(bounds), s.weight))
-    # At most MOST_PARTS rows of two numbers.
-    before = F.broadcast(spark.createDataFrame(slices, "_slice int, _before long"))
+    # At most MOST_PARTS rows of two numbers; an Arrow table reaches the executors without Python workers.
+    before = F.broadcast(spark.createDataFrame(pa.table(
+        {"_slice": pa.array([s for s, _ in slices], pa.int32()), "_before": pa.array([w for _, w in slices], pa.int64())})))
     order = Window.partitionBy("_slice").orderBy("key", "row")
     sofar = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # Every slice is in ``before``. An inner join would filter by the slice first and so work out each key twice, by
+    # two Python workers a core.
     line = bucketed(_keyed(tokens, *measured).drop(*[f"p{i}" for i in range(DIMS)]), "key", bounds, "_slice").join(
-        before, "_slice").withColumn("at", F.col("_before") + F.coalesce(sofar, F.lit(0)))
+        before, "_slice", "left").withColumn("at", F.col("_before") + F.coalesce(sofar, F.lit(0)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in pieces_of(whole, "ids")):

@@ -55,6 +55,14 @@ def test_copies_share_a_place_but_not_a_slice(make_docs, tokenizer):
     check(docs, pack(make_docs(docs), PATH, slice_tokens=512).collect(), tokenizer, 2048)
 
 
+def test_a_task_uses_one_python_worker(make_docs):
+    """The curve's key is worked out once, and the slices' totals come without Python."""
+    docs = [(i, prose(i, 50)) for i in range(200)]
+    plan = pack(make_docs(docs), PATH, slice_tokens=512)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert "_before" in plan and "LogicalRDD [_slice" not in plan
+
+
 def test_alike_documents_are_neighbours(make_docs):
     docs = [(i, prose(0, 30) if i % 2 else "zebra quartz " * 30) for i in range(40)]
     pieces = pack(make_docs(docs), PATH, length=1 << 20).collect()
