@@ -10,13 +10,14 @@ on by one each round, so that every place is learned from once. A document's sco
 
 Many words share a code. ``word_likelihood`` adds to a code's log-probability that of the
 word among the words of its code, from counts over the whole corpus that stay a table; the
-``COMMON`` commonest words are looked up in every task, all others are joined.
+``COMMON`` commonest words are looked up in every task, all others are joined. It splits each
+text twice: for codes and counts, and for scores and shares.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorlake.llm.common import bounded_batches, fresh, pieces_of, without, written
+from sensorlake.llm.common import bounded_batches, columns_of, fresh, pieces_of, without, written
 
 HALF = 64
 CODES = HALF * HALF
@@ -38,6 +39,8 @@ DIMS, HIDDEN = 12, 24
 BATCH = 1024
 # Words to a step of learning.
 STEP = 2048
+# Scores below this need no shift before their exponentials are added.
+SAFE = 40
 SHAPES = (("embed", (CODES + 1, DIMS)), ("mix", (2 * SIDE * DIMS, HIDDEN)), ("mix_bias", (HIDDEN,)),
           ("upper", (HIDDEN, HALF)), ("upper_bias", (HALF,)),
           ("lower", (HALF, HIDDEN, HALF)), ("lower_bias", (HALF, HALF)))
@@ -46,6 +49,8 @@ SIZES = [int(np.prod(s)) for _, s in SHAPES]
 CHUNK = 4096
 # Words whose log-probabilities go to every task (1 MB).
 COMMON = 1 << 16
+# A task starts a new vocabulary beyond so many words.
+MOST_WORDS = 500_000
 
 
 class _Codes(dict):
@@ -61,6 +66,25 @@ def codes_of(text: str | None, known: dict) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
+class _Vocabulary(dict):
+    """Numbers of the words that a task has met, with each word's code and 64-bit hash."""
+
+    def __init__(self):
+        super().__init__()
+        self.codes, self.keys = array("H"), array("q")
+
+    def __missing__(self, word: str) -> int:
+        raw = word.encode("utf-8", "surrogatepass")
+        self.codes.append(zlib.crc32(raw) % CODES)
+        self.keys.append(xxhash.xxh64_intdigest(raw) - (1 << 63))
+        number = self[word] = len(self)
+        return number
+
+    def numbers(self, text: str | None) -> np.ndarray:
+        words = (text or "").lower().split()
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
 def initial(seed: int = 11) -> np.ndarray:
     rng = np.random.default_rng(seed)
     parts = [rng.normal(0, 0.1 if len(s) > 1 and "bias" not in n else 0.0, s) for n, s in SHAPES]
@@ -102,7 +126,7 @@ def _around(line: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def _hidden(w: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = w["embed"][context].reshape(len(context), -1)
+    x = w["embed"].take(context, axis=0).reshape(len(context), -1)
     return x, np.tanh(x @ w["mix"] + w["mix_bias"])
 
 
@@ -115,24 +139,20 @@ def _by_upper(line: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return part, high, low, [(k, slice(a, b)) for k, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
 
 
-def _lower_scores(w: dict, h: np.ndarray, high: np.ndarray, groups: list) -> np.ndarray:
-    """Scores of all lower halves: one product a group, written to its place."""
-    z = np.empty((len(h), HALF), h.dtype)
-    for k, rows in groups:
-        np.matmul(h[rows], w["lower"][k], out=z[rows])
-    z += w["lower_bias"][high]
-    return z
-
-
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+    """The softmax of each row, in place."""
+    # Exponentials of such numbers neither overflow nor vanish; single rows are looked through only beyond them.
+    if not -SAFE < z.min() <= z.max() < SAFE:
+        z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
     return z
 
 
 def _log_sums(z: np.ndarray) -> np.ndarray:
     """Logarithms of the summed exponentials of each column; ``z`` is used up."""
+    if -SAFE < z.min() <= z.max() < SAFE:
+        return np.log(np.exp(z, out=z).sum(axis=0))
     top = z.max(axis=0)
     z -= top
     np.exp(z, out=z)
@@ -163,29 +183,37 @@ def learn(flat: np.ndarray, squares: np.ndarray, line: np.ndarray, place: np.nda
     """AdaGrad steps over the masked ``place``s, in place."""
     w, grad = views(flat), np.empty_like(flat)
     g, step = views(grad), np.empty_like(flat)
+    # Biases are the last row of their weights, for a neuron that is always 1.
+    lower, g_lower = (np.empty((HALF, HIDDEN + 1, HALF), flat.dtype) for _ in range(2))
     for at in range(0, len(place), STEP):
         part, high, low, groups = _by_upper(line, place[at:at + STEP])
         context, own = _around(line, part), np.arange(len(part))
-        grad[:] = 0
-        x, h = _hidden(w, context)
-        p = _softmax(h @ w["upper"] + w["upper_bias"])
+        x, hidden = _hidden(w, context)
+        h = np.ones((len(part), HIDDEN + 1), flat.dtype)
+        h[:, :-1] = hidden
+        p = _softmax(hidden @ w["upper"] + w["upper_bias"])
         p[own, high] -= 1
-        g["upper"][:], g["upper_bias"][:] = h.T @ p, p.sum(axis=0)
-        back = p @ w["upper"].T
-        q = _softmax(_lower_scores(w, h, high, groups))
-        q[own, low] -= 1
+        both = h.T @ p
+        g["upper"][:], g["upper_bias"][:] = both[:-1], both[-1]
+        lower[:, :-1], lower[:, -1] = w["lower"], w["lower_bias"]
+        q = np.empty((len(part), HALF), flat.dtype)
         for k, rows in groups:
-            np.matmul(h[rows].T, q[rows], out=g["lower"][k])
-            back[rows] += q[rows] @ w["lower"][k].T
-        first = [rows.start for _, rows in groups]
-        g["lower_bias"][[k for k, _ in groups]] = np.add.reduceat(q, first, axis=0)
-        back *= 1 - h * h
+            np.dot(h[rows], lower[k], out=q[rows])
+        _softmax(q)[own, low] -= 1
+        g_lower[:] = 0
+        back = np.empty_like(hidden)
+        for k, rows in groups:
+            np.dot(h[rows].T, q[rows], out=g_lower[k])
+            np.dot(q[rows], w["lower"][k].T, out=back[rows])
+        g["lower"][:], g["lower_bias"][:] = g_lower[:, :-1], g_lower[:, -1]
+        back += p @ w["upper"].T
+        back *= 1 - hidden * hidden
         g["mix"][:], g["mix_bias"][:] = x.T @ back, back.sum(axis=0)
-        dx = (back @ w["mix"].T).reshape(-1, DIMS)
-        seen = context.ravel()
+        dx = (w["mix"] @ back.T).reshape(2 * SIDE, DIMS, -1)
+        seen = context.T.ravel()
         for d in range(DIMS):
-            g["embed"][:, d] = np.bincount(seen, dx[:, d], CODES + 1)
-        grad /= len(part)
+            g["embed"][:, d] = np.bincount(seen, dx[:, d].ravel(), CODES + 1)
+        grad *= 1 / len(part)
         np.multiply(grad, grad, out=step)
         squares += step
         np.sqrt(squares, out=step)
@@ -218,13 +246,15 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trained_weights(docs: DataFrame, *, rounds: int = 3, rate: float = 0.2) -> np.ndarray:
-    """Weights learned from every word of ``docs``: each round masks one in ``rounds`` of every document.
+    """Weights learned from every word of ``docs``, whose codes are written once and read in every round."""
+    return _learned(written(coded(docs), "codes"), rounds=rounds, rate=rate)
 
-    The words' codes are written once and read in every round. Weights are summed
-    in two levels of partitions; ``len(weights)`` numbers reach the driver, once a round.
-    """
-    lines = written(coded(docs), "codes")
 
+def _learned(lines: DataFrame, *, rounds: int, rate: float = 0.2) -> np.ndarray:
+    """Weights learned from ``codes`` of a written table: each round masks one in ``rounds`` of every document.
+
+    Weights are summed in two levels of partitions; ``len(weights)`` numbers reach the driver, once a round.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(CODES)
         for batch in batches:
@@ -309,75 +339,92 @@ def pseudo_likelihood(docs: DataFrame, *, rounds: int = 3) -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
-class _Keys(dict):
-    """64-bit hashes of words."""
+def counted(docs: DataFrame) -> DataFrame:
+    """(codes binary, word long, code int, n long): the codes of every text, and a task's counts of words, in rows apart."""
+    bounded_batches(docs.sparkSession)
+    names = ["codes", "word", "code", "n"]
+    types = [pa.binary(), pa.int64(), pa.int32(), pa.int64()]
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        key = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
-        return key
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = _Vocabulary(), np.zeros(0, np.int64)
 
+        def counts() -> pa.RecordBatch:
+            return pa.record_batch([pa.nulls(len(seen), types[0]), pa.array(np.array(known.keys)),
+                                    pa.array(np.array(known.codes, np.int32)), pa.array(seen)], names=names)
 
-def word_log_shares(docs: DataFrame) -> DataFrame:
-    """(word long, n long, log_share double) of every word: its share of the places of its code."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, known = _Keys(), _Codes()
         for batch in batches:
             for piece in pieces_of(batch):
-                seen = Counter()
-                for t in piece.column("text"):
-                    seen.update((t.as_py() or "").lower().split())
-                yield pa.record_batch([pa.array([keys[w] for w in seen], pa.int64()),
-                                       pa.array([known[w] for w in seen], pa.int32()),
-                                       pa.array(seen.values(), pa.int64())], names=["word", "code", "n"])
-
-    bounded_batches(docs.sparkSession)
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word long, code int, n long")
-    words = written(counts.groupBy("word", "code").agg(F.sum("n").alias("n")), "words")
+                if len(known) > MOST_WORDS:
+                    yield counts()
+                    known, seen = _Vocabulary(), np.zeros(0, np.int64)
+                texts = [known.numbers(t.as_py()) for t in piece.column("text")]
+                code, more = np.array(known.codes).astype(CODE), np.zeros(len(known), np.int64)
+                more[:len(seen)] = seen
+                seen = more + np.bincount(np.concatenate(texts), minlength=len(known))
+                yield pa.record_batch([pa.array([code[x].tobytes() for x in texts], types[0]),
+                                       *[pa.nulls(len(texts), t) for t in types[1:]]], names=names)
+        if len(known):
+            yield counts()
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "codes binary, word long, code int, n long")
+
+
+def word_log_shares(lines: DataFrame) -> DataFrame:
+    """(word long, n long, log_share double) of every word ``counted``: its share of the places of its code."""
+    words = written(lines.where("word IS NOT NULL").groupBy("word", "code").agg(F.sum("n").alias("n")), "words")
     codes = words.groupBy("code").agg(F.sum("n").alias("total"))
     return words.join(F.broadcast(codes), "code").select(   # at most CODES rows
         "word", "n", F.log(F.col("n") / F.col("total")).alias("log_share"))
 
 
-def mean_log_shares(docs: DataFrame) -> DataFrame:
-    """(tid long, mean_share double): mean ``log_share`` of the words of each text, by its hash."""
-    shares = written(word_log_shares(docs), "word-shares")
+def word_likelihood(docs: DataFrame, *, rounds: int = 3) -> DataFrame:
+    """``docs`` less ``text``, with the columns of ``pseudo_likelihood`` for words instead of their codes."""
+    spark = docs.sparkSession
+    lines = written(counted(docs), "codes")
+    weights = spark.sparkContext.broadcast(_learned(lines.where("codes IS NOT NULL").select("codes"), rounds=rounds))
+    shares = written(word_log_shares(lines), "word-shares")
     top = shares.orderBy(F.desc("n"), "word").limit(COMMON).select("word", "log_share").toArrow()
-    common = docs.sparkSession.sparkContext.broadcast(
+    common = spark.sparkContext.broadcast(
         dict(zip(top.column("word").to_pylist(), top.column("log_share").to_pylist())))
-    texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("tid"), F.col("text").cast("string").alias("text"))
+    rows = without(docs, "n_words", "log_likelihood", "mean_log_prob", "text")
+    row, text, rare, n_rare, own, share = fresh(rows, "_row", "_text", "_rare", "_n_rare", "_own", "_share")
+    kept = len(rows.columns) + 1
+    given = without(docs, "n_words", "log_likelihood", "mean_log_prob").select(
+        *columns_of(rows), F.monotonically_increasing_id().alias(row), F.col("text").cast("string").alias(text))
+    out = given.selectExpr("* EXCEPT (" + text + ")", "0L AS n_words", "0D AS log_likelihood",
+                           f"array(0L) AS {rare}", f"array(0L) AS {n_rare}").schema
+    arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, own = _Keys(), common.value
+        w, known, found = views(weights.value), _Vocabulary(), np.zeros(0)
         for batch in batches:
-            for piece in pieces_of(batch, most_bytes=2 << 20):
-                rows: list[tuple] = []
-                for tid, t in zip(piece.column("tid").to_pylist(), piece.column("text")):
-                    found = [own.get(k, k) for k in map(keys.__getitem__, (t.as_py() or "").lower().split())]
-                    rare = Counter(x for x in found if type(x) is int)
-                    n = len(found) - rare.total()
-                    total = sum(x for x in found if type(x) is float)
-                    if n:
-                        rows.append((tid, None, n, total))
-                    rows.extend((tid, k, m, None) for k, m in rare.items())
-                yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                    (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["tid", "word", "n", "total"])
-
-    parts = written(texts.mapInArrow(run, "tid long, word long, n long, total double"), "shares-of-texts")
-    joined = parts.where("word IS NOT NULL").join(shares.select("word", "log_share"), "word").select(
-        "tid", "n", (F.col("n") * F.col("log_share")).alias("total"))
-    every = parts.where("word IS NULL").select("tid", "n", "total").unionByName(joined)
-    # Repeated texts add to both sums alike.
-    return every.groupBy("tid").agg((F.sum("total") / F.sum("n")).alias("mean_share"))
-
-
-def word_likelihood(docs: DataFrame, *, rounds: int = 3) -> DataFrame:
-    """``docs`` less ``text``, with the columns of ``pseudo_likelihood`` for words instead of their codes."""
-    tid, share, own = fresh(docs, "_tid", "_share", "_own")
-    scored = pseudo_likelihood(docs.withColumn(tid, F.xxhash64(F.col("text").cast("string"))), rounds=rounds).drop("text")
-    shares = mean_log_shares(docs).select(F.col("tid").alias(own), F.col("mean_share").alias(share))
-    added = F.coalesce(share, F.lit(0.0))
-    return (scored.join(shares, F.col(tid) == F.col(own), "left")
-            .withColumn("log_likelihood", F.col("log_likelihood") + F.col("n_words") * added)
-            .withColumn("mean_log_prob", F.col("mean_log_prob") + added).drop(tid, own, share))
+            for piece in pieces_of(batch, text, 2 << 20):
+                if len(known) > MOST_WORDS:
+                    known, found = _Vocabulary(), np.zeros(0)
+                texts = [known.numbers(t.as_py()) for t in piece.column(text)]
+                code, key = np.array(known.codes).astype(np.int64), np.array(known.keys)
+                # Not a number: a word that is joined.
+                found = np.concatenate([found, [common.value.get(k, np.nan) for k in key[len(found):].tolist()]])
+                line, place, owner = laid_out([code[x] for x in texts])
+                every = np.concatenate(texts).astype(np.int64)
+                added = found[every]
+                joined = np.isnan(added)
+                added[joined] = 0
+                total = np.bincount(owner, log_probabilities(w, line, place) + added, len(texts))
+                pairs, n = np.unique(owner[joined] * len(known) + every[joined], return_counts=True)
+                ends = pa.array(np.searchsorted(pairs, np.arange(len(texts) + 1) * len(known)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.cast(f.type) for c, f in zip(piece.columns[:kept], arrow)],
+                     pa.array([len(x) for x in texts], pa.int64()), pa.array(total, pa.float64()),
+                     *[pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())).cast(f.type)
+                       for x, f in ((key[pairs % max(1, len(known))], arrow.field(rare)), (n, arrow.field(n_rare)))]], schema=arrow)
+
+    scored = written(given.mapInArrow(run, out), "scores")
+    parts = scored.select(F.col(row).alias(own), F.inline(F.arrays_zip(
+        F.col(rare).alias("word"), F.col(n_rare).alias("times"))).alias("word", "times"))
+    joined = parts.join(shares.select("word", "log_share"), "word").groupBy(own).agg(
+        F.sum(F.col("times") * F.col("log_share")).alias(share))
+    total = F.col("log_likelihood") + F.coalesce(share, F.lit(0.0))
+    return (scored.join(joined, F.col(row) == F.col(own), "left").withColumn("log_likelihood", total)
+            .withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+            .drop(row, rare, n_rare, own, share))

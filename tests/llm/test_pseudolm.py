@@ -116,6 +116,31 @@ def test_columns_give_the_scores_of_single_words():
         assert abs(got[n] - (z[high] - np.log(np.exp(z).sum()) + y[low] - np.log(np.exp(y).sum()))) < 1e-4
 
 
+def test_scores_of_any_size_are_shifted_before_their_exponentials():
+    """Large scores, which alone would overflow or vanish, give the same as small ones."""
+    z = np.random.default_rng(2).normal(0, 3, (50, lm.HALF)).astype(np.float32)
+    for shift in (0, 300, -300):
+        own = np.exp(z - z.max(axis=1, keepdims=True))
+        assert np.allclose(lm._softmax(z + np.float32(shift)), own / own.sum(axis=1, keepdims=True), rtol=1e-3, atol=1e-6)
+        assert np.allclose(lm._log_sums(z.T + np.float32(shift)), shift + np.log(np.exp(z).sum(axis=1)), atol=1e-3)
+
+
+def test_texts_are_split_once_for_codes_and_counts(make_docs, monkeypatch):
+    """One table holds the codes of every text and the exact counts of all words, over vocabularies that fill up."""
+    monkeypatch.setattr(lm, "MOST_WORDS", 10)
+    rows = [(i, prose(i % 50, 60)) for i in range(80)] + [(90, None), (91, " "), (92, "ǅ \u2003 x\x1cy")]
+    got = lm.counted(make_docs(rows)).collect()
+    known = lm._Codes()
+    wanted = sorted(lm.codes_of(t, known).astype(lm.CODE).tobytes() for _, t in rows)
+    assert sorted(bytes(r["codes"]) for r in got if r["word"] is None) == wanted
+    counts = Counter()
+    for r in got:
+        if r["word"] is not None:
+            counts[r["word"], r["code"]] += r["n"]
+    words = Counter(w for _, t in rows for w in (t or "").lower().split())
+    assert sorted((known[w], n) for w, n in words.items()) == sorted((c, n) for (_, c), n in counts.items())
+
+
 def test_odd_rows(odd, nothing):
     got = lm.pseudo_likelihood(odd)
     assert sorted(got.columns) == sorted({*odd.columns, "n_words", "log_likelihood", "mean_log_prob"})
@@ -124,3 +149,12 @@ def test_odd_rows(odd, nothing):
         assert (rows[i]["n_words"], rows[i]["log_likelihood"], rows[i]["mean_log_prob"]) == (0, 0.0, None)
     assert rows[4]["n_words"] == 100_000 and got.count() == odd.count()
     assert lm.pseudo_likelihood(nothing).collect() == []
+
+
+def test_odd_rows_of_words(odd, nothing):
+    every = lm.word_likelihood(odd)
+    assert sorted(every.columns) == sorted({*odd.columns, "n_words", "log_likelihood", "mean_log_prob"} - {"text"})
+    words = {r["doc_id"]: r for r in every.where("doc_id IN (1, 2, 3, 4, 9)").collect()}
+    assert every.count() == odd.count() and words[4]["n_words"] == 100_000
+    assert [(words[i]["log_likelihood"], words[i]["mean_log_prob"]) for i in (1, 2, 3, 9)] == [(0.0, None)] * 4
+    assert lm.word_likelihood(nothing).collect() == []
