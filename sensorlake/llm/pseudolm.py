@@ -17,8 +17,9 @@ text twice: for codes and counts, and for scores and shares.
 from __future__ import annotations
 
 import zlib
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -66,23 +67,29 @@ def codes_of(text: str | None, known: dict) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
-class _Vocabulary(dict):
+class _Vocabulary:
     """Numbers of the words that a task has met, with each word's code and 64-bit hash."""
 
     def __init__(self):
-        super().__init__()
-        self.codes, self.keys = array("H"), array("q")
-
-    def __missing__(self, word: str) -> int:
-        raw = word.encode("utf-8", "surrogatepass")
-        self.codes.append(zlib.crc32(raw) % CODES)
-        self.keys.append(xxhash.xxh64_intdigest(raw) - (1 << 63))
-        number = self[word] = len(self)
-        return number
-
-    def numbers(self, text: str | None) -> np.ndarray:
-        words = (text or "").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        self.known: dict[str, int] = defaultdict(count().__next__)
+        self.codes, self.keys = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.known)
+
+    def numbers(self, texts: pa.Array) -> list[np.ndarray]:
+        number, out = self.known.__getitem__, []
+        for text in texts:
+            words = (text.as_py() or "").lower().split()
+            out.append(np.fromiter(map(number, words), np.int32, len(words)))
+        # The last words are the new ones, latest first.
+        new = [w.encode("utf-8", "surrogatepass")
+               for w in islice(reversed(self.known), len(self.known) - len(self.codes))][::-1]
+        codes = np.fromiter(map(zlib.crc32, new), np.int64, len(new)) % CODES
+        keys = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new)) ^ np.uint64(1 << 63)
+        self.codes = np.concatenate([self.codes, codes])
+        self.keys = np.concatenate([self.keys, keys.view(np.int64)])
+        return out
 
 
 def initial(seed: int = 11) -> np.ndarray:
@@ -255,14 +262,14 @@ def _learned(lines: DataFrame, *, rounds: int, rate: float = 0.2) -> np.ndarray:
 
     Weights are summed in two levels of partitions; ``len(weights)`` numbers reach the driver, once a round.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(CODES)
         for batch in batches:
             for x in batch.column("codes"):
                 seen += np.bincount(np.frombuffer(x.as_py(), CODE), minlength=CODES)
         yield pa.RecordBatch.from_pylist(list(_rows(seen, 1, int(seen.sum()) % 61)), schema=SUMS_ARROW)
 
-    total = _summed(lines.mapInArrow(count, SUMS))
+    total = _summed(lines.mapInArrow(tally, SUMS))
     flat = with_frequencies(initial(), total[0]) if total else initial()
     for r in range(rounds):
         start, step = flat, rate / (1 + r)
@@ -349,16 +356,16 @@ def counted(docs: DataFrame) -> DataFrame:
         known, seen = _Vocabulary(), np.zeros(0, np.int64)
 
         def counts() -> pa.RecordBatch:
-            return pa.record_batch([pa.nulls(len(seen), types[0]), pa.array(np.array(known.keys)),
-                                    pa.array(np.array(known.codes, np.int32)), pa.array(seen)], names=names)
+            return pa.record_batch([pa.nulls(len(seen), types[0]), pa.array(known.keys),
+                                    pa.array(known.codes.astype(np.int32)), pa.array(seen)], names=names)
 
         for batch in batches:
             for piece in pieces_of(batch):
                 if len(known) > MOST_WORDS:
                     yield counts()
                     known, seen = _Vocabulary(), np.zeros(0, np.int64)
-                texts = [known.numbers(t.as_py()) for t in piece.column("text")]
-                code, more = np.array(known.codes).astype(CODE), np.zeros(len(known), np.int64)
+                texts = known.numbers(piece.column("text"))
+                code, more = known.codes.astype(CODE), np.zeros(len(known), np.int64)
                 more[:len(seen)] = seen
                 seen = more + np.bincount(np.concatenate(texts), minlength=len(known))
                 yield pa.record_batch([pa.array([code[x].tobytes() for x in texts], types[0]),
@@ -396,15 +403,15 @@ def word_likelihood(docs: DataFrame, *, rounds: int = 3) -> DataFrame:
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, known, found = views(weights.value), _Vocabulary(), np.zeros(0)
+        w, share_of, known, found = views(weights.value), common.value, _Vocabulary(), np.zeros(0)
         for batch in batches:
             for piece in pieces_of(batch, text, 2 << 20):
                 if len(known) > MOST_WORDS:
                     known, found = _Vocabulary(), np.zeros(0)
-                texts = [known.numbers(t.as_py()) for t in piece.column(text)]
-                code, key = np.array(known.codes).astype(np.int64), np.array(known.keys)
+                texts = known.numbers(piece.column(text))
+                code, key = known.codes, known.keys
                 # Not a number: a word that is joined.
-                found = np.concatenate([found, [common.value.get(k, np.nan) for k in key[len(found):].tolist()]])
+                found = np.concatenate([found, [share_of.get(k, np.nan) for k in key[len(found):].tolist()]])
                 line, place, owner = laid_out([code[x] for x in texts])
                 every = np.concatenate(texts).astype(np.int64)
                 added = found[every]
